@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sheafline.functions.text import concat_truthy, strip, truthy, words
+from sheafline.functions.text import concat_truthy, let, strip, truthy, words
 
 # Tokens read as a title before, or a suffix after, a personal name, and family-name particles.
 TITLES = (
@@ -41,73 +41,88 @@ def _lead(tokens: Column, test) -> Column:
     return F.when(position == 0, F.size(tokens)).otherwise(position - 1).cast("int")
 
 
+def _from(tokens: Column, start: Column) -> Column:
+    return F.slice(tokens, start, F.greatest(F.size(tokens), F.lit(1)))
+
+
 def _drop_titles(tokens: Column) -> Column:
     """Titles stand before the first name and never take the last token."""
-    n = F.least(_lead(tokens, _is_title), F.size(tokens) - 1)
-    return F.slice(tokens, F.greatest(n, F.lit(0)) + 1, F.greatest(F.size(tokens), F.lit(1)))
+    return _from(tokens, F.greatest(F.least(_lead(tokens, _is_title), F.size(tokens) - 1), F.lit(0)) + 1)
 
 
 def _drop_suffixes(tokens: Column, keep: int = 2) -> Column:
     """Suffixes stand at the end and never take the first ``keep`` tokens."""
-    n = F.least(_lead(F.reverse(tokens), _is_suffix), F.size(tokens) - keep)
-    return F.slice(tokens, F.lit(1), F.greatest(F.size(tokens) - F.greatest(n, F.lit(0)), F.lit(0)))
+    n = F.greatest(F.least(_lead(F.reverse(tokens), _is_suffix), F.size(tokens) - keep), F.lit(0))
+    return F.slice(tokens, F.lit(1), F.size(tokens) - n)
 
 
-def _from(tokens: Column, start: Column) -> Column:
-    return F.slice(tokens, start, F.greatest(F.size(tokens), F.lit(1)))
+def _family_size(tokens: Column) -> Column:
+    """Tokens of the family name: from the first particle after the first name, else the last one."""
+    particle = F.array_position(F.transform(_from(tokens, F.lit(2)), lambda t: _bare(t).isin(*PARTICLES)), F.lit(True))
+    return let(
+        particle.cast("int"),
+        lambda at: F.when((at > 0) & (at < F.size(tokens) - 1), F.size(tokens) - at).otherwise(1),
+    )
 
 
-def _family(tokens: Column) -> Column:
-    """Last token, or everything from the first particle after the first name."""
-    tail = _from(tokens, F.lit(2))
-    particle = F.array_position(F.transform(tail, lambda t: _bare(t).isin(*PARTICLES)), F.lit(True))
-    return F.when(
-        (particle > 0) & (particle < F.size(tail)), F.array_join(_from(tail, particle.cast("int")), " ")
-    ).otherwise(F.element_at(tokens, -1))
+def _name(first: Column, last: Column) -> Column:
+    return F.struct(first.alias("first"), last.alias("last"))
 
 
-def split_name(name: Column) -> Column:
-    """``struct<first,last>`` of a personal name: comma form, title or suffix form, plain form."""
-    text = strip(name)
-    tokens = words(text)
-    n_titles = F.least(_lead(tokens, _is_title), F.size(tokens) - 1)
-    core = _drop_suffixes(_drop_titles(tokens))
-    decorated = (n_titles > 0) | (F.size(core) < F.size(_drop_titles(tokens)))
-
-    parts = F.split(text, ",")
-    before = words(parts[0])
-    after = words(F.coalesce(F.get(parts, F.lit(1)), F.lit("")))
+def _first_and_family(tokens: Column, with_middle: bool) -> Column:
+    """Split tokens that carry no title or suffix any more."""
+
+    def cut(n: Column) -> Column:
+        given = F.slice(tokens, F.lit(1), F.greatest(F.size(tokens) - n, F.lit(0)))
+        first = F.array_join(given, " ") if with_middle else F.coalesce(F.get(given, F.lit(0)), F.lit(""))
+        return _name(first, F.array_join(_from(tokens, F.greatest(F.size(tokens) - n, F.lit(0)) + 1), " "))
+
+    return let(F.least(_family_size(tokens), F.size(tokens)), cut)
+
+
+def _comma_form(w: Column) -> Column:
+    """``Last, First Middle``, or a full name followed by credentials."""
+    before, after = w["before"], w["after"]
     credentials = (F.size(before) > 1) & (F.size(after) > 0) & F.forall(after, _is_suffix)
-    own = _drop_titles(before)
     given = F.filter(_from(after, _lead(after, _is_title) + 1), lambda t: ~_is_suffix(t))
-    comma = F.when(
-        credentials,
-        F.struct(
-            F.array_join(
-                F.slice(own, F.lit(1), F.greatest(F.size(own) - F.size(F.split(_family(own), " ")), F.lit(0))), " "
-            ).alias("first"),
-            _family(own).alias("last"),
-        ),
-    ).otherwise(
-        F.struct(
-            F.array_join(given, " ").alias("first"),
-            F.array_join(_drop_suffixes(before, keep=1), " ").alias("last"),
-        )
+    return F.when(
+        credentials, let(_drop_titles(before), lambda own: _first_and_family(own, with_middle=True))
+    ).otherwise(_name(F.array_join(given, " "), F.array_join(_drop_suffixes(before, keep=1), " ")))
+
+
+def _plain_form(tokens: Column) -> Column:
+    """First token, then the rest; one token is a family name. A title or suffix drops the middle names."""
+    plain = F.when(F.size(tokens) == 1, _name(F.lit(""), tokens[0])).otherwise(
+        _name(tokens[0], F.array_join(_from(tokens, F.lit(2)), " "))
     )
-    titled = F.when(
-        F.size(core) <= 1, F.struct(F.lit("").alias("first"), F.array_join(core, " ").alias("last"))
-    ).otherwise(F.struct(core[0].alias("first"), _family(core).alias("last")))
-    plain = F.when(
-        F.size(tokens) == 1, F.struct(F.lit("").alias("first"), tokens[0].alias("last"))
-    ).otherwise(F.struct(tokens[0].alias("first"), F.array_join(_from(tokens, F.lit(2)), " ").alias("last")))
-    return (
-        F.when(truthy(text).isNull(), F.struct(F.lit("").alias("first"), F.lit("").alias("last")))
-        .when(text.contains(","), comma)
-        .when(decorated, titled)
-        .otherwise(plain)
+    return let(
+        _drop_titles(tokens),
+        lambda untitled: let(
+            _drop_suffixes(untitled),
+            lambda core: F.when(F.size(core) == F.size(tokens), plain).otherwise(
+                _first_and_family(core, with_middle=False)
+            ),
+        ),
     )
 
 
+def split_name(name: Column) -> Column:
+    """``struct<first,last>`` of a personal name: comma form, title or suffix form, plain form."""
+
+    def split(text: Column) -> Column:
+        parts = F.split(text, ",")
+        sides = F.struct(
+            words(parts[0]).alias("before"), words(F.coalesce(F.get(parts, F.lit(1)), F.lit(""))).alias("after")
+        )
+        return (
+            F.when(truthy(text).isNull(), _name(F.lit(""), F.lit("")))
+            .when(text.contains(","), let(sides, _comma_form))
+            .otherwise(let(words(text), _plain_form))
+        )
+
+    return let(strip(name), split)
+
+
 def split_name_at_last_blank(name: Column) -> Column:
     """``struct<given,family>``: family is the last blank-separated part; a single part fills both."""
     parts = F.split(name, " ")

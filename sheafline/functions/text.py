@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 _SPACE = r"[\s\x1c-\x1f]"
 
 
+def let(value: Column, fn) -> Column:
+    """``fn(value)`` with the value computed once however often ``fn`` uses it."""
+    return F.get(F.transform(F.array(value), lambda v: fn(v)), F.lit(0))
+
+
 def truthy(c: Column) -> Column:
     """The text, or null when it is empty."""
     return F.nullif(c, F.lit(""))

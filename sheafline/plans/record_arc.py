@@ -147,9 +147,8 @@ def ontology_sources(standard: Column, version: Column) -> Column:
     return F.array_compact(F.array(own, *common))
 
 
-def map_investigation(r) -> Column:
-    """Investigation of a record."""
-    people = persons(all_contacts(r("contacts"), r("creators"), r("publishers"), r("contributors")))
+def map_investigation(r, people: Column) -> Column:
+    """Investigation of a record with the given persons."""
     return F.struct(
         investigation_id(r("identifier"), r("title")).alias("identifier"),
         r("title").alias("title"),
@@ -308,6 +307,10 @@ def map_study(r) -> Column:
     ).cast(STUDY)
 
 
+def _field(name: str):
+    return lambda x: x[name]
+
+
 def assay_table(r) -> Column:
     """Measurement: where the data is, and what else is known about its online resources.
 
@@ -323,7 +326,7 @@ def assay_table(r) -> Column:
         cell("output", "URI", address),
         cell("comment", "Online Resource", fold(F.transform(listed, lambda o: o["url"]), ";")),
         *[
-            cell("comment", f"Online Resource {label}", joined_or_omit(F.transform(listed, lambda o, f=f: o[f])))
+            cell("comment", f"Online Resource {label}", joined_or_omit(F.transform(listed, _field(f))))
             for label, f in (
                 ("Name", "name"),
                 ("Protocol", "protocol"),
@@ -356,11 +359,13 @@ def map_records(records: DataFrame) -> DataFrame:
         return F.col(name)
 
     keep = [c for c in records.columns if c not in RECORD_FIELDS]
-    return records.select(
+    everyone = all_contacts(*[F.col(c) for c in ("contacts", "creators", "publishers", "contributors")])
+    with_people = records.withColumn("__people", persons(everyone))
+    return with_people.select(
         *keep,
         F.col("identifier"),
         F.col("hierarchy"),
-        map_investigation(r).alias("investigation"),
+        map_investigation(r, F.col("__people")).alias("investigation"),
         map_study(r).alias("study"),
         map_assay(r).alias("assay"),
         archive_files(F.col("raw_xml")).alias("files"),

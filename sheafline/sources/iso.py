@@ -70,7 +70,7 @@ RECORD_XML = (
     f"lineage:struct<LI_Lineage:struct<statement:{_TEXT}>>,"
     "report:array<struct<DQ_DomainConsistency:struct<result:array<struct<DQ_ConformanceResult:struct<"
     f"specification:struct<CI_Citation:struct<title:{_TEXT},date:array<{_CITATION_DATE}>>>,"
-    "pass:struct<Boolean:string>>>>>>>>>, _corrupt_record string"
+    "pass:struct<Boolean:string>>>>>>>>>>, _corrupt_record string"
 )
 
 _XML_OPTIONS = {"ignoreNamespace": "true", "ignoreSurroundingSpaces": "false", "mode": "PERMISSIVE"}
@@ -192,10 +192,19 @@ def all_tagged(metadata_contacts: Column, resource_contacts: Column) -> Column:
 
 
 def split_records(responses: DataFrame) -> DataFrame:
-    """One row per record element of each landed response: the input columns, ``pos`` and ``raw``."""
+    """One row per record element of each landed response: the input columns, ``pos``, ``raw`` and ``x``.
+
+    Elements are parsed before they are exploded: what leaves a generator is never copied into the filters
+    and projections above it.
+    """
     pieces = F.regexp_extract_all(F.col("body"), F.lit(_RECORD_ELEMENT), F.lit(0))
-    keep = [F.col(c) for c in responses.columns if c != "body"]
-    return responses.select(*keep, F.posexplode(pieces).alias("pos", "raw"))
+    parsed = F.transform(
+        pieces, lambda p: F.struct(p.alias("raw"), F.from_xml(p, RECORD_XML, _XML_OPTIONS).alias("x"))
+    )
+    keep = [c for c in responses.columns if c != "body"]
+    return responses.select(*keep, F.posexplode(parsed).alias("pos", "piece")).select(
+        *keep, "pos", F.col("piece.raw").alias("raw"), F.col("piece.x").alias("x")
+    )
 
 
 def page_header(body: Column) -> Column:
@@ -449,11 +458,11 @@ def _typed(columns: dict[str, Column]) -> list[Column]:
 def parse_records(pieces: DataFrame) -> DataFrame:
     """Typed record columns plus ``record_id`` and ``error`` (null for a good record).
 
-    ``pieces`` carries ``raw`` (one record element) and ``pos``; other columns pass through. An element
-    without identifier gets a placeholder built from its place in the response, stable across reruns.
+    ``pieces`` comes from :func:`split_records`; other columns pass through. An element without
+    identifier gets a placeholder built from its place in the response, stable across reruns.
     """
-    keep = [c for c in pieces.columns if c != "raw"]
-    parsed = _with_parts(pieces.select("*", F.from_xml("raw", RECORD_XML, _XML_OPTIONS).alias("x")))
+    keep = [c for c in pieces.columns if c not in ("raw", "x")]
+    parsed = _with_parts(pieces)
     typed = parsed.select(*keep, F.col("x._corrupt_record").alias("__bad"), *_typed(_extract()))
     place = F.abs(F.hash(*[F.col(c) for c in keep if c in ("rdi", "batch", "url", "pos")]))
     key = F.coalesce("identifier", F.concat(F.lit(RANDOM_PREFIX), place.cast("string")))
