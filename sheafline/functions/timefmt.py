@@ -66,9 +66,9 @@ def retry_after_seconds(value: Column, now: Column) -> Column:
     stamp = F.regexp_replace(F.regexp_replace(text, r"^[A-Za-z]{3},\s*", ""), r"\s*(GMT|UTC|Z|\+0000|-0000)$", "")
     when = F.try_to_timestamp(F.concat(stamp, F.lit(" UTC")), F.lit("d MMM yyyy HH:mm:ss z"))
     micros = F.unix_micros(when) - F.unix_micros(now)
-    return F.when(truthy(value).isNotNull(), F.when(text.rlike("^[0-9]+$"), text.try_cast("double")).otherwise(
-        F.greatest(micros / F.lit(1e6), F.lit(0.0))
-    ))
+    return F.when(text.rlike("^[0-9]+$"), text.try_cast("double")).when(
+        truthy(value).isNotNull() & micros.isNotNull(), F.greatest(micros / F.lit(1e6), F.lit(0.0))
+    )
 
 
 def effective_delay(local: Column, status: Column, server_wait: Column, cap: float = 600.0) -> Column:
