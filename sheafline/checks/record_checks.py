@@ -18,7 +18,7 @@ from sheafline.functions.text import fold, head, joined_or_omit, truthy, truthy_
 from sheafline.operators.catalog import filter_hierarchy
 from sheafline.operators.outcomes import arc_identifier
 from sheafline.plans import record_arc as ra
-from sheafline.schemas import CONTACT, PERSON, RECORD_FIELDS
+from sheafline.schemas import CONTACT, ONLINE, PERSON, RECORD_FIELDS
 from sheafline.sources import iso
 
 
@@ -213,7 +213,7 @@ _WORDS = "string_split(text, ' ')"
 WITH w AS (SELECT doc_id, {_WORDS} AS w FROM documents),
      i AS (SELECT *, range(1, len(w) + 1) AS ix, len(w) // 2 AS half FROM w)
 SELECT doc_id,
-  md5(array_to_string([CASE len(w[k]) % 5 WHEN 1 THEN 'http' || w[k] ELSE w[k] END || '|' || CASE WHEN k <= half THEN upper(left(w[k], 1)) ELSE '-' END
+  md5(array_to_string([CASE len(w[k]) % 5 WHEN 1 THEN 'http' || w[k] ELSE w[k] END || '|' || CASE WHEN k <= half THEN left(w[k], 1) ELSE '-' END
         || '|' || CASE len(w[k]) % 5 WHEN 1 THEN 'http' || w[k] ELSE '-' END for k in ix if len(w[k]) % 5 <> 0 AND w[k] <> ''], ';')) AS identifiers,
   md5(array_to_string([w[k] || '|' || CASE WHEN k <= half THEN 'd' || len(w[k]) ELSE '-' END || '|' || CASE WHEN k <= half + 1 THEN 'true' ELSE '-' END
         for k in ix if k <= half AND w[k] <> ''], ';')) AS conformance,
@@ -232,7 +232,7 @@ def iso_arrays(spark, d):
         F.col("w"),
         lambda x: F.when(F.length(x) % 5 == 0, "").when(F.length(x) % 5 == 1, F.concat(s("http"), x)).otherwise(x),
     )
-    spaces = F.slice(per(F.col("w"), lambda x: F.upper(F.substring(x, 1, 1))), F.lit(1), half)
+    spaces = F.slice(per(F.col("w"), lambda x: F.substring(x, 1, 1)), F.lit(1), half)
     ids = iso.zip_identifiers(codes, spaces)
     conf = iso.zip_conformance(
         F.slice("w", F.lit(1), half),
@@ -647,16 +647,14 @@ def assay_table(spark, d):
     none = F.lit(None).cast("string")
 
     def online(url, name, function):
-        return F.struct(url, none, none, name, none, s(" "), none, function)
+        return F.struct(url, none, none, name, none, s(" "), none, function).cast(ONLINE)
 
     r = record_fields(
         title=F.concat(s("Page "), F.col("page_id").cast("string")),
         dataset_uri=F.when(k == 0, F.concat(s("doi:"), F.col("page_id").cast("string"))).otherwise(""),
         online_resources=F.when(
             k < 2,
-            F.array(online(F.col("url"), s("first"), none), online(F.concat("url", s("/b")), none, s("download"))).cast(
-                RECORD_FIELDS["online_resources"]
-            ),
+            F.array(online(F.col("url"), s("first"), none), online(F.concat("url", s("/b")), none, s("download"))),
         ).otherwise(F.array().cast(RECORD_FIELDS["online_resources"])),
         graphic_overviews=F.when(
             F.col("page_id") % 2 == 0, F.array(F.concat("url", s(".png")), s("x.png"))

@@ -89,16 +89,17 @@ def run_lines(
             F.lit(vocab.namespace).alias(vocab.prefix),
         )
     )
-    seconds = (F.unix_micros("end_time") - F.unix_micros("start_time")) / F.lit(1e6)
+    start, end = F.col("start_time").cast("timestamp"), F.col("end_time").cast("timestamp")
+    seconds = (F.unix_micros(end) - F.unix_micros(start)) / F.lit(1e6)
     head = F.concat(
         F.lit('{"@context":'),
         context,
         F.lit(',"@type":"schema:Action","name":'),
         F.to_json(F.lit(vocab.run_name).cast("variant")),
         F.lit(',"schema:startTime":"'),
-        iso_timestamp(F.col("start_time")),
+        iso_timestamp(start),
         F.lit('","schema:endTime":"'),
-        iso_timestamp(F.col("end_time")),
+        iso_timestamp(end),
         F.lit(f'","{p}:harvestDurationSeconds":'),
         seconds.cast("string"),
         F.lit(',"schema:result":['),

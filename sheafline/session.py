@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,21 +22,28 @@ def build_session(app_name: str = "sheafline", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and continue from the written copy.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for checkpoints and intermediate tables: the one the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. A local session
-    without one gets a temporary folder; a cluster without one is a configuration error,
+    A local session without one gets a temporary folder; a cluster without one is a configuration error,
     because a machine-local folder would not survive the loss of an executor.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if configured:
+        return configured
+    if spark.sparkContext.master.startswith("local"):
+        return tempfile.mkdtemp(prefix="spark-")
+    raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder for checkpoints")
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path under the shared folder."""
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the reliable checkpoint folder and continue from the written copy."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        if configured:
-            context.setCheckpointDir(configured)
-        elif context.master.startswith("local"):
-            context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
-        else:
-            raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder for checkpoints")
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)

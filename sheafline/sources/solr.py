@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheafline.functions.text import base_url, receive_url
+from sheafline.operators.once import compute_once
 
 
 def _integral(doc: Column, path: str) -> Column:
@@ -20,9 +21,9 @@ def read_solr(pages: DataFrame) -> DataFrame:
 
     ``docs`` stays semi-structured: only ids are read from it, and entries may be anything.
     """
-    keep = [F.col(c) for c in pages.columns if c != "body"]
-    parsed = pages.select(*keep, F.try_parse_json("body").alias("__v"))
-    envelope = F.try_variant_get("__v", "$.response", "map<string,variant>")
+    keep = [c for c in pages.columns if c != "body"]
+    parsed = compute_once(pages, keep, __v=F.try_parse_json("body"))
+    envelope = F.try_variant_get("__v", "$.response", "struct<docs:variant>")
     found = _integral(F.col("__v"), "$.response.numFound")
     start = _integral(F.col("__v"), "$.response.start")
     docs = F.try_variant_get("__v", "$.response.docs", "array<variant>")
@@ -32,7 +33,7 @@ def read_solr(pages: DataFrame) -> DataFrame:
         .when(start.isNull(), F.lit("Missing or invalid response.start"))
         .when(docs.isNull(), F.lit("Missing expected response.docs array"))
     )
-    return parsed.select(*keep, found.alias("num_found"), start.alias("start"), docs.alias("docs"), error.alias("error"))
+    return compute_once(parsed, keep, num_found=found, start=start, docs=docs, error=error)
 
 
 def solr_docs(pages: DataFrame) -> DataFrame:
