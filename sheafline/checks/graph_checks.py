@@ -67,7 +67,11 @@ def _triple_pages(spark, d):
         F.struct(
             F.struct(s("http://schema.org/").alias("@vocab"), s("http://purl.org/dc/terms/").alias("dct")).alias("@context"),
             F.array(
-                _obj(__id=F.concat(s("http://d/"), pid), name=page_title(F.col("html"))).withField("dct:source", F.col("url"))
+                F.struct(
+                    F.concat(s("http://d/"), pid).alias("@id"),
+                    page_title(F.col("html")).alias("name"),
+                    F.col("url").alias("dct:source"),
+                )
             ).alias("@graph"),
         )
     )

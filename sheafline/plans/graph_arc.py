@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from sheafline.functions.names import split_name_at_last_blank
 from sheafline.functions.terms import GRAPH_VOCABULARIES, term
 from sheafline.functions.text import concat_truthy, doi_from, fold, slug, truthy
+from sheafline.operators.once import compute_once
 from sheafline.operators.outcomes import to_outcomes
 from sheafline.plans.parts import cell, comment, crate_json, framed, ontology_source, table
 from sheafline.schemas import ASSAY, COMMENT, INVESTIGATION, PERSON, PUBLICATION, STUDY
@@ -314,26 +315,23 @@ def assay_table(address: Column, license_text: Column, has_publisher: Column, pu
 def map_graphs(graphs: DataFrame) -> DataFrame:
     """Add ``investigation, study, assay`` to page graphs; all null where ``graph`` has no triple."""
     keep = [c for c in graphs.columns if c != "graph"]
-    laid_out = with_subject(graphs).select("*", linked_nodes().alias("nodes"))
+    located = with_subject(graphs)
+    laid_out = compute_once(located, [*keep, "ns", "subject", "own"], nodes=linked_nodes())
     publisher = F.get(F.filter("nodes", lambda n: n["role"] == "publisher"), F.lit(0))
-    facts = (
-        laid_out.select(
-            *keep,
-            "ns",
-            "subject",
-            "own",
-            "nodes",
-            *[_value(p).alias(p) for p in ("name", "description", "license", "inLanguage", "version")],
-            _value("url").alias("dataset_url"),
-            _value("datePublished").alias("published"),
-            _value("dateModified").alias("modified"),
-            doi_from(_value("identifier"), F.col("subject")).alias("doi"),
-            people().alias("people"),
-            publisher.alias("publisher"),
-            texts(F.col("own"), _p("keywords")).alias("keywords"),
-        )
-        .select("*", contacts().alias("contacts"))
+    carried = [*keep, "ns", "subject", "own", "nodes"]
+    read = compute_once(
+        laid_out,
+        carried,
+        **{p: _value(p) for p in ("name", "description", "license", "inLanguage", "version")},
+        dataset_url=_value("url"),
+        published=_value("datePublished"),
+        modified=_value("dateModified"),
+        doi=doi_from(_value("identifier"), F.col("subject")),
+        people=people(),
+        publisher=publisher,
+        keywords=texts(F.col("own"), _p("keywords")),
     )
+    facts = compute_once(read, read.columns, contacts=contacts())
     title = F.coalesce(truthy(F.col("name")), F.lit("Untitled Dataset"))
     ident = F.coalesce(truthy(slug(title)), F.lit("dataset"))
     investigation = F.struct(

@@ -18,6 +18,7 @@ from sheafline.functions.text import (
     truthy,
 )
 from sheafline.operators.catalog import is_dataset_level
+from sheafline.operators.once import compute_once
 from sheafline.operators.outcomes import to_outcomes
 from sheafline.plans.parts import cell, cells, comment, crate_json, framed, ontology_source, table
 from sheafline.schemas import ASSAY, CELL, COMMENT, INVESTIGATION, PERSON, PUBLICATION, STUDY, TERM
@@ -360,7 +361,7 @@ def map_records(records: DataFrame) -> DataFrame:
 
     keep = [c for c in records.columns if c not in RECORD_FIELDS]
     everyone = all_contacts(*[F.col(c) for c in ("contacts", "creators", "publishers", "contributors")])
-    with_people = records.withColumn("__people", persons(everyone))
+    with_people = compute_once(records, records.columns, __people=persons(everyone))
     return with_people.select(
         *keep,
         F.col("identifier"),
