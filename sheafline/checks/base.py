@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sheafline.session import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -45,6 +47,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table as the input of costly row-local work."""
+    return spread(table(spark, sf_dir, name))
+
+
 def s(value: str) -> Column:
     """Text literal."""
     return F.lit(value)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sheafline.checks.base import HOST_SQL, check, s, table
+from sheafline.checks.base import HOST_SQL, check, s, spread_table, table
 from sheafline.operators import fetchlog
 from sheafline.operators.dedup import dedup_urls, duplicate_outcomes
 from sheafline.operators.scan import blocked_row_number, ordinal_block
@@ -103,7 +103,7 @@ def _search_pages(spark, d):
         F.array_join(F.concat(hits, F.array(s('{"id":5}'), s('"x"'), s("{}"))), ","),
         s("]}}"),
     )
-    return table(spark, d, "documents").select(
+    return spread_table(spark, d, "documents").select(
         F.col("lang").alias("rdi"),
         F.col("doc_id").alias("batch"),
         F.concat(s("https://"), "lang", s(".example.org:8443/solr?q=*")).alias("url"),

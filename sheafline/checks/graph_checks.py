@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sheafline.checks.base import HOST_SQL, PAGE_TITLE_SQL, check, page_title, s, slug_sql, table
+from sheafline.checks.base import HOST_SQL, PAGE_TITLE_SQL, check, page_title, s, slug_sql, spread_table, table
 from sheafline.checks.builders import cells_text, pairs_text
 from sheafline.functions.text import url_host
 from sheafline.operators.dedup import dedup_urls, duplicate_outcomes
@@ -75,7 +75,7 @@ def _triple_pages(spark, d):
             ).alias("@graph"),
         )
     )
-    return table(spark, d, "pages").select(
+    return spread_table(spark, d, "pages").select(
         F.concat(s("http://p/"), pid).alias("url"), F.concat("html", script(first), script(again)).alias("html")
     )
 
@@ -135,7 +135,7 @@ def _dataset_pages(spark, d):
     )
     publisher = F.to_json(_obj(__context=s("http://schema.org"), __id=s("#pub"), __type=s("Organization"), name=s("Pub House")))
     blocks = F.when(k == 2, s("")).otherwise(F.concat(script(json), script(publisher)))
-    return table(spark, d, "pages").select(
+    return spread_table(spark, d, "pages").select(
         s("web").alias("rdi"),
         F.col("page_id").alias("seq"),
         F.concat(s("http://p/"), pid).alias("url"),
@@ -277,7 +277,7 @@ def _doc_pages(spark, d):
             _obj(__type=s("DataDownload"), encodingFormat=F.lit(None).cast("string"), contentUrl=F.lit(None).cast("string")),
         ),
     )
-    return table(spark, d, "documents").select(
+    return spread_table(spark, d, "documents").select(
         "doc_id", F.concat(s("http://p/"), key).alias("url"), script(F.to_json(body)).alias("html")
     )
 
@@ -335,7 +335,7 @@ def host_harvest(spark, d):
             creator=_obj(__type=s("Person"), name=F.concat(s("Curator "), pid)),
         )
     )
-    pages = table(spark, d, "pages").select(
+    pages = spread_table(spark, d, "pages").select(
         url_host(F.col("url")).alias("rdi"),
         F.col("page_id").alias("seq"),
         F.regexp_replace("url", "[?#].*$", "").alias("url"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sheafline.checks.base import check, s, slug_sql, table
+from sheafline.checks.base import check, s, slug_sql, spread_table, table
 from sheafline.checks.builders import (
     cells_text,
     full_contact,
@@ -16,6 +16,7 @@ from sheafline.checks.builders import (
 from sheafline.functions.terms import term
 from sheafline.functions.text import fold, head, joined_or_omit, truthy, truthy_list
 from sheafline.operators.catalog import filter_hierarchy
+from sheafline.operators.once import compute_once
 from sheafline.operators.outcomes import arc_identifier
 from sheafline.plans import record_arc as ra
 from sheafline.schemas import CONTACT, ONLINE, PERSON, RECORD_FIELDS
@@ -72,7 +73,7 @@ def validate_records(spark, d):
 
 def _responses(spark, d):
     """One response per document: a good record, a second one that may lack its id, at times a broken one."""
-    docs = table(spark, d, "documents")
+    docs = spread_table(spark, d, "documents")
     key = F.col("doc_id").cast("string")
     levels = F.element_at(F.array(s("dataset"), s("Series"), s("service"), s("")), (F.col("doc_id") % 4 + 1).cast("int"))
     first = iso_record(
@@ -226,7 +227,7 @@ def iso_arrays(spark, d):
     def per(w, fn):
         return F.transform(w, fn)
 
-    docs = table(spark, d, "documents").select("doc_id", F.split("text", " ").alias("w"))
+    docs = compute_once(spread_table(spark, d, "documents"), ["doc_id"], w=F.split("text", " "))
     half = F.floor(F.size("w") / 2).cast("int")
     codes = per(
         F.col("w"),

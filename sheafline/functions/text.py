@@ -25,6 +25,11 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, rf"(?U)\A{_SPACE}+|{_SPACE}+\z", "")
 
 
+def is_filled(c: Column) -> Column:
+    """Whether the text has anything but white space."""
+    return c.rlike(r"(?U)[^\s\x1c-\x1f]")
+
+
 def words(c: Column) -> Column:
     """Non-empty tokens between runs of white space."""
     return F.filter(F.split(c, rf"(?U){_SPACE}+"), lambda w: w != "")
@@ -104,7 +109,8 @@ def float_text(x: Column) -> Column:
     scientific = F.concat(
         mantissa,
         F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+")),
-        F.lpad(F.abs(exponent).cast("string"), 2, "0"),
+        F.when(F.abs(exponent) < 10, F.lit("0")).otherwise(""),
+        F.abs(exponent).cast("string"),
     )
     return (
         F.when(F.isnan(x), F.lit("nan"))
@@ -153,7 +159,7 @@ def url_target(url: Column) -> Column:
 
 def receive_url(base: Column, object_id: Column) -> Column:
     """Landing page of one search hit; null for a blank id."""
-    return F.when(truthy(strip(object_id)).isNotNull(), F.concat(base, F.lit("/receive/"), object_id))
+    return F.when(is_filled(object_id), F.concat(base, F.lit("/receive/"), object_id))
 
 
 def form_encode(c: Column) -> Column:

@@ -48,10 +48,12 @@ def robots_allowed(urls: DataFrame, rules: DataFrame, product: str, respect: boo
     """
     if not respect:
         return urls.withColumn("allowed", F.lit(True))
-    keyed = urls.withColumn("__host", url_host(F.col("url")))
+    # Host and target are columns below the join, so they are computed once per URL and not once per rule.
+    keyed = urls.withColumn("__host", url_host(F.col("url"))).withColumn("__target", url_target(F.col("url")))
     per_host = host_rules(rules, product).select(F.col("host").alias("__host"), "rules")
-    target = url_target(F.col("url"))
-    hit = F.get(F.filter("rules", lambda r: (r["path"] == "*") | target.startswith(r["path"])), F.lit(0))
+    hit = F.get(
+        F.filter("rules", lambda r: (r["path"] == "*") | F.col("__target").startswith(r["path"])), F.lit(0)
+    )
     return keyed.join(per_host, "__host", "left").select(
         *[F.col(c) for c in urls.columns], F.coalesce(hit["allow"], F.lit(True)).alias("allowed")
     )

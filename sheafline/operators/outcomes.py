@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheafline.functions.text import truthy
+from sheafline.operators.once import compute_once
 from sheafline.operators.scan import BLOCK_ROWS, blocked_row_number, ordinal_block
 from sheafline.schemas import OUTCOME_FIELDS
 
@@ -64,7 +65,9 @@ def harvest_counts(outcomes: DataFrame) -> DataFrame:
 def arc_urls(outcomes: DataFrame) -> DataFrame:
     """Distinct source URLs per research object, one row each with its first arrival."""
     arcs = outcomes.filter((F.col("kind") == "arc") & F.col("source_url").isNotNull())
-    keyed = arcs.select("rdi", arc_identifier(F.col("arc_json")).alias("arc_id"), F.col("source_url").alias("url"), "seq")
+    keyed = compute_once(
+        arcs.withColumnRenamed("source_url", "url"), ["rdi", "url", "seq"], arc_id=arc_identifier(F.col("arc_json"))
+    )
     return (
         keyed.filter(truthy(F.col("arc_id")).isNotNull())
         .groupBy("rdi", "arc_id", "url")

@@ -43,6 +43,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out to all cores when the input has fewer splits than that, as one big file has.
+
+    Meant for inputs of costly row-local work. With as many splits as cores, the usual case at scale, the
+    input is left alone and nothing is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the reliable checkpoint folder and continue from the written copy."""
     context = df.sparkSession.sparkContext

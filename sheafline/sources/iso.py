@@ -139,10 +139,13 @@ def zip_conformance(titles: Column, urls: Column, dates: Column, types: Column,
 
 def zip_distances(values: Column, units: Column) -> Column:
     """Distances with units by position; a missing or empty unit is metres, an unreadable distance goes."""
+    empty = F.array().cast("array<string>")
+    # Zipped rather than looked up: what a lambda closes over is evaluated for every element.
+    pairs = F.arrays_zip(F.coalesce(values, empty).alias("value"), F.coalesce(units, empty).alias("uom"))
     rows = F.transform(
-        F.coalesce(values, F.array().cast("array<string>")),
-        lambda v, i: F.struct(
-            parse_float(v).alias("value"), F.coalesce(truthy(F.get(units, i)), F.lit("m")).alias("uom")
+        pairs,
+        lambda p: F.struct(
+            parse_float(p["value"]).alias("value"), F.coalesce(truthy(p["uom"]), F.lit("m")).alias("uom")
         ),
     )
     return F.filter(rows, lambda r: r["value"].isNotNull())

@@ -21,15 +21,16 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 RDF_TYPE = "http://www.w3.org/1999/02/22-rdf-syntax-ns#type"
 SCHEMA_HTTPS = "https://schema.org/"
 SCHEMA_HTTP = "http://schema.org/"
 
 OBJECTS = "array<struct<kind:string,o:string>>"
-PROPERTIES = f"map<string,{OBJECTS}>"
-GRAPH = f"map<string,{PROPERTIES}>"
-_READ = f"struct<graph:{GRAPH},error:string>"
+_OBJECT_TYPE = T.StructType().add("kind", T.StringType()).add("o", T.StringType())
+_GRAPH_TYPE = T.MapType(T.StringType(), T.MapType(T.StringType(), T.ArrayType(_OBJECT_TYPE)))
+_READ_TYPE = T.StructType().add("graph", _GRAPH_TYPE).add("error", T.StringType())
 
 _SCRIPT_OR_COMMENT = (
     r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b(?:[^>\"']+|\"[^\"]*\"|'[^']*')*+>.*?</\1(?=[\s/>])"
@@ -169,7 +170,7 @@ _ARROW_READ = pa.struct(
 )
 
 
-@F.arrow_udf(_READ)
+@F.arrow_udf(_READ_TYPE)
 def _read_graphs(urls: pa.Array, blocks: pa.Array) -> pa.Array:
     rows = []
     for url, texts in zip(urls.to_pylist(), blocks.to_pylist(), strict=True):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheafline.functions.text import base_url, receive_url
+from sheafline.functions.text import base_url, is_filled, receive_url
 from sheafline.operators.once import compute_once
 
 
@@ -41,13 +41,16 @@ def solr_docs(pages: DataFrame) -> DataFrame:
 
     ``pages``: ``rdi, batch, url, body``; the hit's landing page is built on the page URL's host.
     """
-    good = read_solr(pages).filter("error IS NULL")
-    hits = good.select("rdi", "batch", base_url(F.col("url")).alias("base"), F.posexplode("docs").alias("pos", "doc"))
-    raw = F.try_variant_get("doc", "$.id", "variant")
-    object_id = F.when(F.schema_of_variant(raw) == "STRING", F.try_variant_get("doc", "$.id", "string"))
-    return (
-        hits.select("rdi", "batch", "pos", object_id.alias("object_id"), "base")
-        .withColumn("url", receive_url(F.col("base"), F.col("object_id")))
-        .filter("url IS NOT NULL")
-        .drop("base")
+    with_base = compute_once(pages, pages.columns, __base=base_url(F.col("url")))
+    good = read_solr(with_base).filter("error IS NULL")
+    ids = F.transform(
+        "docs",
+        lambda doc: F.when(
+            F.schema_of_variant(F.try_variant_get(doc, "$.id", "variant")) == "STRING",
+            F.try_variant_get(doc, "$.id", "string"),
+        ),
+    )
+    hits = good.select("rdi", "batch", "__base", F.posexplode(ids).alias("pos", "object_id"))
+    return hits.filter(is_filled(F.col("object_id"))).select(
+        "rdi", "batch", "pos", "object_id", receive_url(F.col("__base"), F.col("object_id")).alias("url")
     )
