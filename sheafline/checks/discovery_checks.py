@@ -39,8 +39,7 @@ def sitemap_urls(spark, d):
     docs = table(spark, d, "pages").select(
         F.concat(s("sm-"), F.col("page_id").cast("string")).alias("sitemap_url"), body.alias("body")
     )
-    usable = docs.filter(sitemap.sitemap_error(F.col("body")).isNull())
-    urls = SITEMAPS["xml"](usable).withColumn("message", F.lit(None).cast("string"))
+    urls = SITEMAPS["xml"](docs).withColumn("message", F.lit(None).cast("string"))
     return urls.unionByName(sitemap.sitemap_errors(docs), allowMissingColumns=True)
 
 
@@ -50,7 +49,7 @@ _FAN = 16
 def _tree(spark, d):
     """Page i is an index of pages 16i+1 .. 16i+16 where those exist, else a URL set; every index also names itself and the root."""
     pages = table(spark, d, "pages")
-    size = pages.agg(F.count(F.lit(1)).alias("n"))
+    size = pages.agg(F.count(F.lit(1)).alias("n")).scalar()
     child = F.transform(
         F.sequence(F.col("page_id") * _FAN + 1, F.least(F.col("page_id") * _FAN + _FAN, F.col("n") - 1)),
         lambda i: F.concat(s("<sitemap><loc>sm-"), i.cast("string"), s("</loc></sitemap>")),
@@ -63,7 +62,7 @@ def _tree(spark, d):
         s("</sitemapindex>"),
     )
     leaf = F.concat(s(_NS + "<url><loc>"), _xml(F.col("url")), s("</loc></url></urlset>"))
-    return pages.crossJoin(F.broadcast(size)).select(
+    return pages.withColumn("n", size).select(
         F.concat(s("sm-"), F.col("page_id").cast("string")).alias("sitemap_url"),
         F.when(F.col("page_id") * _FAN + 1 < F.col("n"), index).otherwise(leaf).alias("body"),
     )

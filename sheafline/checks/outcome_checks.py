@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sheafline.checks.base import check, s, table
+from sheafline.checks.base import check, s, spread_table, table
 from sheafline.operators import catalog, fallback, outcomes, paging, report
 from sheafline.plans.registry import repository_rows, run_sources
 from sheafline.session import scratch_path
@@ -331,8 +331,8 @@ def expected_counts(spark, d):
 
 @check("count_probe", "SL5", "SELECT count(*) AS n_rows, max(doc_id) AS matches FROM (SELECT * FROM (SELECT max(doc_id) AS doc_id FROM documents) LIMIT 1)")
 def count_probe(spark, d):
-    total = table(spark, d, "documents").agg(F.max("doc_id").alias("matches")).withColumn("rdi", s("r"))
-    pages = table(spark, d, "documents").select(F.col("doc_id").alias("batch")).crossJoin(F.broadcast(total))
+    docs = table(spark, d, "documents")
+    pages = docs.select(s("r").alias("rdi"), docs.agg(F.max("doc_id")).scalar().alias("matches"))
     return paging.count_probe(pages).agg(F.count(F.lit(1)).alias("n_rows"), F.max("matches").alias("matches"))
 
 
@@ -426,8 +426,8 @@ def any_text(spark, d):
     "union_sources",
     "SO4 UD1",
     """
-WITH r AS (SELECT 'de' AS rdi, 'iso' AS source_type UNION ALL SELECT 'web', 'html_jsonld' UNION ALL SELECT 'ftp', 'ftp'),
- n AS (SELECT 'de' AS rdi, count(*) AS harvested, 0 AS failed FROM documents WHERE lang = 'de'
+WITH r AS (SELECT 'docs' AS rdi, 'iso' AS source_type UNION ALL SELECT 'web', 'html_jsonld' UNION ALL SELECT 'ftp', 'ftp'),
+ n AS (SELECT 'docs' AS rdi, count(*) AS harvested, 0 AS failed FROM documents
        UNION ALL SELECT 'web', 0, count(*) FROM pages)
 SELECT r.rdi, source_type, source_type <> 'ftp' AS harvest_started, harvested, failed, 0::BIGINT AS skipped FROM r LEFT JOIN n USING (rdi)
 """,
@@ -435,16 +435,16 @@ SELECT r.rdi, source_type, source_type <> 'ftp' AS harvest_started, harvested, f
 def union_sources(spark, d):
     from sheafline.checks.builders import iso_record, iso_response
 
-    docs = table(spark, d, "documents").filter("lang = 'de'")
+    docs = spread_table(spark, d, "documents")
     record = iso_record(F.col("doc_id").cast("string"), F.col("source"), F.col("text"))
     landed_iso = docs.select(
-        F.col("lang").alias("rdi"), s("http://c/csw").alias("base_url"), F.col("doc_id").alias("batch"), iso_response(F.lit(1), record).alias("body")
+        s("docs").alias("rdi"), s("http://c/csw").alias("base_url"), F.col("doc_id").alias("batch"), iso_response(F.lit(1), record).alias("body")
     )
     landed_html = table(spark, d, "pages").select(
         s("web").alias("rdi"), F.col("page_id").alias("seq"), F.concat("url", s("#"), F.col("page_id").cast("string")).alias("url"), F.col("html").alias("body")
     )
     out = run_sources({"iso": landed_iso, "html_jsonld": landed_html, "ftp": landed_html})
-    types = F.array(*[F.struct(s(r).alias("rdi"), s(t).alias("source_type")) for r, t in (("de", "iso"), ("web", "html_jsonld"), ("ftp", "ftp"))])
+    types = F.array(*[F.struct(s(r).alias("rdi"), s(t).alias("source_type")) for r, t in (("docs", "iso"), ("web", "html_jsonld"), ("ftp", "ftp"))])
     repos = spark.range(1).select(F.inline(types))
     return outcomes.finalize_counts(repository_rows(repos), outcomes.harvest_counts(out))
 

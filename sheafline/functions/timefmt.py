@@ -63,8 +63,9 @@ def backoff(
 def retry_after_seconds(value: Column, now: Column) -> Column:
     """Wait asked for by the server: digits, or an HTTP date measured from ``now``; null when unreadable."""
     text = strip(value)
-    stamp = F.regexp_replace(F.regexp_replace(text, r"^[A-Za-z]{3},\s*", ""), r"\s*(GMT|UTC|Z|\+0000|-0000)$", "")
-    when = F.try_to_timestamp(F.concat(stamp, F.lit(" UTC")), F.lit("d MMM yyyy HH:mm:ss z"))
+    stamp = F.regexp_replace(F.regexp_replace(text, r"^[A-Za-z]{3},\s*", ""), r"\s*(GMT|UTC|Z)$", "")
+    zoned = F.when(stamp.rlike(r"[+-][0-9]{4}$"), stamp).otherwise(F.concat(stamp, F.lit(" +0000")))
+    when = F.try_to_timestamp(zoned, F.lit("d MMM yyyy HH:mm:ss xx"))
     micros = F.unix_micros(when) - F.unix_micros(now)
     return F.when(text.rlike("^[0-9]+$"), text.try_cast("double")).when(
         truthy(value).isNotNull() & micros.isNotNull(), F.greatest(micros / F.lit(1e6), F.lit(0.0))

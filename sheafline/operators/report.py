@@ -80,7 +80,9 @@ def run_lines(
         F.min(F.struct("section", "seq", "part")).alias("__first"), F.count(F.lit(1)).alias("__n_failed")
     )
     numbered = repos.join(counted, "rdi", "left")
-    last_repo = repos.agg(F.max("repo_no").alias("__last_repo"))
+    # A join on the number itself marks the last repository without comparing every row with it.
+    last_repo = repos.agg(F.max("repo_no").alias("repo_no")).withColumn("__is_last", F.lit(True))
+    numbered = numbered.join(last_repo, "repo_no", "left")
 
     context = F.to_json(
         F.struct(
@@ -118,9 +120,8 @@ def run_lines(
     opening = run.select(*line(lit(-1), lit(-1), lit(0), lit(0), head))
     has_failed = F.col("__n_failed").isNotNull()
     body = F.regexp_replace(repo_jsonld(vocab), r"\}$", "")
-    is_last = F.col("repo_no") == F.col("__last_repo")
-    comma = F.when(is_last, lit("")).otherwise(lit(","))
-    entries = numbered.crossJoin(F.broadcast(last_repo)).select(
+    comma = F.when(F.col("__is_last"), lit("")).otherwise(lit(","))
+    entries = numbered.select(
         *line(
             F.col("repo_no"),
             lit(-1),
@@ -129,7 +130,7 @@ def run_lines(
             F.when(has_failed, F.concat(body, lit(f',"{p}:failedRecords":['))).otherwise(F.concat(body, lit("}"), comma)),
         )
     )
-    closings = numbered.crossJoin(F.broadcast(last_repo)).filter(has_failed).select(
+    closings = numbered.filter(has_failed).select(
         *line(F.col("repo_no"), lit(9), lit(0), lit(0), F.concat(lit("]}"), comma))
     )
     records = failed.join(numbered.select("rdi", "repo_no", "__first"), "rdi").select(

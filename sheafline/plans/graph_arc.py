@@ -16,6 +16,7 @@ from sheafline.operators.once import compute_once
 from sheafline.operators.outcomes import to_outcomes
 from sheafline.plans.parts import cell, comment, crate_json, framed, ontology_source, table
 from sheafline.schemas import ASSAY, COMMENT, INVESTIGATION, PERSON, PUBLICATION, STUDY
+from sheafline.session import built_once
 from sheafline.sources.jsonld import OBJECTS, RDF_TYPE, SCHEMA_HTTP, SCHEMA_HTTPS
 
 EMPTY_GRAPH = "Graph does not contain a Schema.org Dataset entity"
@@ -316,7 +317,7 @@ def map_graphs(graphs: DataFrame) -> DataFrame:
     """Add ``investigation, study, assay`` to page graphs; all null where ``graph`` has no triple."""
     keep = [c for c in graphs.columns if c != "graph"]
     located = with_subject(graphs)
-    laid_out = compute_once(located, [*keep, "ns", "subject", "own"], nodes=linked_nodes())
+    laid_out = compute_once(located, [*keep, "ns", "subject", "own"], nodes=built_once("graph nodes", linked_nodes))
     publisher = F.get(F.filter("nodes", lambda n: n["role"] == "publisher"), F.lit(0))
     carried = [*keep, "ns", "subject", "own", "nodes"]
     read = compute_once(
@@ -327,11 +328,11 @@ def map_graphs(graphs: DataFrame) -> DataFrame:
         published=_value("datePublished"),
         modified=_value("dateModified"),
         doi=doi_from(_value("identifier"), F.col("subject")),
-        people=people(),
+        people=built_once("graph people", people),
         publisher=publisher,
         keywords=texts(F.col("own"), _p("keywords")),
     )
-    facts = compute_once(read, read.columns, contacts=contacts())
+    facts = compute_once(read, read.columns, contacts=built_once("graph contacts", contacts))
     title = F.coalesce(truthy(F.col("name")), F.lit("Untitled Dataset"))
     ident = F.coalesce(truthy(slug(title)), F.lit("dataset"))
     investigation = F.struct(
@@ -392,13 +393,18 @@ def graph_outcomes(graphs: DataFrame) -> DataFrame:
         "rdi", "seq", "url", "investigation", "study", "assay", problem.alias("problem")
     )
     good = F.col("problem").isNull()
-    none = F.array().cast("array<string>")
+    document = built_once(
+        "graph document",
+        lambda: crate_json(
+            F.col("investigation"), F.col("study"), F.col("assay"), F.array().cast("array<string>")
+        ),
+    )
     return to_outcomes(
         staged,
         rdi=F.col("rdi"),
         seq=F.col("seq"),
         kind=F.when(good, F.lit("arc")).otherwise(F.lit("error")),
-        arc_json=F.when(good, crate_json(F.col("investigation"), F.col("study"), F.col("assay"), none)),
+        arc_json=F.when(good, document),
         record_id=F.when(~good, F.col("url")),
         source_url=F.col("url"),
         message=F.when(~good, F.concat(F.lit("Failed to map dataset "), "url", F.lit(": "), "problem")),

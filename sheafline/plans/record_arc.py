@@ -21,7 +21,18 @@ from sheafline.operators.catalog import is_dataset_level
 from sheafline.operators.once import compute_once
 from sheafline.operators.outcomes import to_outcomes
 from sheafline.plans.parts import cell, cells, comment, crate_json, framed, ontology_source, table
-from sheafline.schemas import ASSAY, CELL, COMMENT, INVESTIGATION, PERSON, PUBLICATION, STUDY, TERM
+from sheafline.schemas import (
+    ASSAY,
+    CELL,
+    COMMENT,
+    INVESTIGATION,
+    PERSON,
+    PUBLICATION,
+    RECORD_FIELDS,
+    STUDY,
+    TERM,
+)
+from sheafline.session import built_once
 from sheafline.sources.sinks import archive_files
 
 STUDY_DEFAULT_DESCRIPTION = "Imported from INSPIRE metadata"
@@ -354,23 +365,21 @@ def map_assay(r) -> Column:
 
 def map_records(records: DataFrame) -> DataFrame:
     """Add ``investigation, study, assay, files`` to typed records and drop the record columns."""
-    from sheafline.schemas import RECORD_FIELDS
+    keep = [c for c in records.columns if c not in RECORD_FIELDS]
 
-    def r(name: str) -> Column:
-        return F.col(name)
+    def people() -> Column:
+        return persons(all_contacts(*[F.col(c) for c in ("contacts", "creators", "publishers", "contributors")]))
 
-    keep = [c for c in records.columns if c not in RECORD_FIELDS]
-    everyone = all_contacts(*[F.col(c) for c in ("contacts", "creators", "publishers", "contributors")])
-    with_people = compute_once(records, records.columns, __people=persons(everyone))
-    return with_people.select(
-        *keep,
-        F.col("identifier"),
-        F.col("hierarchy"),
-        map_investigation(r, F.col("__people")).alias("investigation"),
-        map_study(r).alias("study"),
-        map_assay(r).alias("assay"),
-        archive_files(F.col("raw_xml")).alias("files"),
-    )
+    def mapped() -> list[Column]:
+        return [
+            map_investigation(F.col, F.col("__people")).alias("investigation"),
+            map_study(F.col).alias("study"),
+            map_assay(F.col).alias("assay"),
+            archive_files(F.col("raw_xml")).alias("files"),
+        ]
+
+    with_people = compute_once(records, records.columns, __people=built_once("record people", people))
+    return with_people.select(*keep, "identifier", "hierarchy", *built_once("record mapping", mapped))
 
 
 def record_outcomes(parsed: DataFrame, base_url: Column | str) -> DataFrame:
@@ -382,7 +391,10 @@ def record_outcomes(parsed: DataFrame, base_url: Column | str) -> DataFrame:
     kept = parsed.filter(F.col("error").isNotNull() | is_dataset_level(F.col("hierarchy")))
     mapped = map_records(kept)
     good = F.col("error").isNull()
-    document = crate_json(F.col("investigation"), F.col("study"), F.col("assay"), F.col("files"))
+    document = built_once(
+        "record document",
+        lambda: crate_json(F.col("investigation"), F.col("study"), F.col("assay"), F.col("files")),
+    )
     return to_outcomes(
         mapped,
         rdi=F.col("rdi"),

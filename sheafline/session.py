@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -24,6 +26,21 @@ def build_session(app_name: str = "sheafline", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+_BUILT: dict = {}
+
+
+def built_once(name: str, build: Callable):
+    """Columns that depend on nothing but names, built once per driver JVM.
+
+    A large expression costs thousands of round trips to the JVM; the built columns are immutable and serve
+    every later plan.
+    """
+    key = (name, id(SparkContext._gateway))
+    if key not in _BUILT:
+        _BUILT[key] = build()
+    return _BUILT[key]
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder for checkpoints and intermediate tables: the one the cluster names in ``spark.checkpoint.dir``.
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from sheafline.functions.text import parse_float, parse_int, truthy, truthy_list
 from sheafline.operators.fallback import RANDOM_PREFIX
 from sheafline.schemas import CONTACT, RECORD_FIELDS
+from sheafline.session import built_once
 
 _TEXT = "struct<CharacterString:string,Anchor:struct<_VALUE:string,_href:string>>"
 _DATE = "struct<Date:string,DateTime:string>"
@@ -235,29 +236,32 @@ def _parties(list_of_parties: Column) -> Column:
     )
 
 
-def _with_parts(df: DataFrame) -> DataFrame:
+def _entry_columns() -> list[Column]:
     """First identification, quality and reference entries of the parsed element ``x``."""
     ident = F.get(F.col("x.identificationInfo"), F.lit(0))
-    return df.select(
-        "*", F.coalesce(ident["MD_DataIdentification"], ident["SV_ServiceIdentification"]).alias("idn")
-    ).select(
-        "*",
-        F.col("idn.citation.CI_Citation").alias("cit"),
+    return [
+        F.coalesce(ident["MD_DataIdentification"], ident["SV_ServiceIdentification"]).alias("idn"),
         F.get(F.col("x.dataQualityInfo"), F.lit(0))["DQ_DataQuality"].alias("dq"),
         F.get(F.col("x.referenceSystemInfo"), F.lit(0))["MD_ReferenceSystem"]["referenceSystemIdentifier"][
             "RS_Identifier"
         ].alias("rs"),
         F.col("x.distributionInfo.MD_Distribution").alias("dist"),
-        _flat(F.col("idn.extent"), lambda e: e["EX_Extent"]["geographicElement"]).alias("geo"),
-        _flat(F.col("idn.extent"), lambda e: e["EX_Extent"]["temporalElement"]).alias("tmp"),
+    ]
+
+
+def _list_columns() -> list[Column]:
+    """Lists below those entries."""
+    boxes = F.transform(
+        _flat(F.col("idn.extent"), lambda e: e["EX_Extent"]["geographicElement"]),
+        lambda g: g["EX_GeographicBoundingBox"],
+    )
+    periods = _flat(F.col("idn.extent"), lambda e: e["EX_Extent"]["temporalElement"])
+    return [
+        F.col("idn.citation.CI_Citation").alias("cit"),
         F.coalesce(F.col("idn.resourceConstraints"), F.array()).alias("rc"),
-    ).select(
-        "*",
-        F.get(
-            F.filter(F.transform("geo", lambda g: g["EX_GeographicBoundingBox"]), lambda b: b.isNotNull()), F.lit(0)
-        ).alias("box"),
-        F.get(F.col("tmp"), F.lit(0))["EX_TemporalExtent"]["extent"]["TimePeriod"].alias("period"),
-        F.transform("rc", lambda r: r["MD_LegalConstraints"]).alias("legal"),
+        F.get(F.filter(boxes, lambda b: b.isNotNull()), F.lit(0)).alias("box"),
+        F.get(periods, F.lit(0))["EX_TemporalExtent"]["extent"]["TimePeriod"].alias("period"),
+        F.transform(F.col("idn.resourceConstraints"), lambda r: r["MD_LegalConstraints"]).alias("legal"),
         _flat(
             F.col("dq.report"),
             lambda r: F.transform(r["DQ_DomainConsistency"]["result"], lambda q: q["DQ_ConformanceResult"]),
@@ -268,8 +272,15 @@ def _with_parts(df: DataFrame) -> DataFrame:
             lambda t: F.transform(t["MD_DigitalTransferOptions"]["onLine"], lambda o: o["CI_OnlineResource"]),
         ).alias("online"),
         _parties(F.col("idn.pointOfContact")).alias("poc"),
-        F.transform("cit.identifier", lambda i: F.coalesce(i["MD_Identifier"], i["RS_Identifier"])).alias("ids"),
-    )
+        F.transform(
+            "idn.citation.CI_Citation.identifier", lambda i: F.coalesce(i["MD_Identifier"], i["RS_Identifier"])
+        ).alias("ids"),
+    ]
+
+
+def _with_parts(df: DataFrame) -> DataFrame:
+    entries = df.select("*", *built_once("iso entries", _entry_columns))
+    return entries.select("*", *built_once("iso lists", _list_columns))
 
 
 def _extract() -> dict[str, Column]:
@@ -466,7 +477,7 @@ def parse_records(pieces: DataFrame) -> DataFrame:
     """
     keep = [c for c in pieces.columns if c not in ("raw", "x")]
     parsed = _with_parts(pieces)
-    typed = parsed.select(*keep, F.col("x._corrupt_record").alias("__bad"), *_typed(_extract()))
+    typed = parsed.select(*keep, F.col("x._corrupt_record").alias("__bad"), *built_once("iso fields", lambda: _typed(_extract())))
     place = F.abs(F.hash(*[F.col(c) for c in keep if c in ("rdi", "batch", "url", "pos")]))
     key = F.coalesce("identifier", F.concat(F.lit(RANDOM_PREFIX), place.cast("string")))
     error = F.when(F.col("__bad").isNotNull(), F.lit("Record is not well-formed XML.")).otherwise(
@@ -501,6 +512,19 @@ def read_iso_files(spark: SparkSession, path: str, rdi: str) -> DataFrame:
     return read_iso(bodies)
 
 
+def read_iso_dump(reader, path: str, rdi: str) -> DataFrame:
+    """Records straight from large XML files, split at record elements.
+
+    ``reader`` is ``spark.read`` or ``spark.readStream``. A file of any size is divided over tasks, but
+    neither the original text nor the position within the file is known.
+    """
+    parsed = reader.format("xml").schema(RECORD_XML).options(rowTag="MD_Metadata", **_XML_OPTIONS).load(path)
+    pieces = parsed.select(
+        F.lit(rdi).alias("rdi"), F.struct(*parsed.columns).alias("x"), F.lit(None).cast("string").alias("raw")
+    )
+    return parse_records(pieces)
+
+
 def read_brief_ids(responses: DataFrame) -> DataFrame:
     """Brief identifiers of each page: ``rdi, batch, pos, dc_id``; a missing or broken page has none."""
     brief = (

@@ -6,12 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheafline.functions.text import strip
+from sheafline.operators.once import compute_once
 from sheafline.session import cut_lineage
 
-_XML_OPTIONS = {"ignoreNamespace": "true", "mode": "PERMISSIVE"}
-_URLSET = "url array<struct<loc:array<string>>>, sitemap array<struct<loc:array<string>>>, _corrupt_record string"
+_XML_OPTIONS = {"ignoreNamespace": "true", "ignoreSurroundingSpaces": "false", "mode": "PERMISSIVE"}
 # First element after the prolog, comments and processing instructions.
 _ROOT = r"(?s)\A\s*(?:<\?.*?\?>\s*|<!--.*?-->\s*|<![^>]*>\s*)*<(?:[\w.-]+:)?([\w.-]+)"
+# Text of every location element at any depth, in any namespace, up to its first child element.
+_LOC = r"(?s)<(?:[\w.-]+:)?loc(?:\s[^>]*)?(?<!/)>((?:[^<]++|<!\[CDATA\[.*?\]\]>)*+)"
 
 #: A level with at most this many documents is sent to every executor instead of shuffling the edges.
 BROADCAST_FRONTIER_ROWS = 100_000
@@ -25,29 +27,46 @@ def sitemap_root(body: Column) -> Column:
 def sitemap_error(body: Column) -> Column:
     """Message for a document that is neither a URL set nor a sitemap index, else null."""
     root = sitemap_root(body)
-    malformed = F.from_xml(body, _URLSET, _XML_OPTIONS)["_corrupt_record"].isNotNull()
+    malformed = F.from_xml(body, "_corrupt_record string", _XML_OPTIONS)["_corrupt_record"].isNotNull()
     return F.when((root == "") | malformed, F.lit("Sitemap is not well-formed XML")).when(
         ~root.isin("urlset", "sitemapindex"), F.concat(F.lit("Unsupported sitemap root element: "), root)
     )
 
 
-def _locs(docs: DataFrame, child: str, keep: list[str]) -> DataFrame:
-    parsed = docs.select(*keep, F.from_xml("body", _URLSET, _XML_OPTIONS).alias("x"))
-    texts = F.flatten(F.transform(F.col(f"x.{child}"), lambda e: F.coalesce(e["loc"], F.array())))
-    filled = F.filter(texts, lambda t: t.isNotNull() & (t != ""))
-    return parsed.select(*keep, F.posexplode(filled).alias("pos", "loc")).withColumn("loc", strip(F.col("loc")))
+def locations(body: Column) -> Column:
+    """Trimmed texts of the location elements, entities resolved; empty elements are left out."""
+    found = F.regexp_extract_all(F.regexp_replace(body, "(?s)<!--.*?-->", ""), F.lit(_LOC), F.lit(1))
+    return F.transform(
+        F.filter(found, lambda t: t != ""),
+        lambda t: strip(
+            F.when(
+                t.contains("&") | t.contains("<"),
+                F.from_xml(F.concat(F.lit("<l><t>"), t, F.lit("</t></l>")), "t string", _XML_OPTIONS)["t"],
+            ).otherwise(t)
+        ),
+    )
+
+
+def _locs(docs: DataFrame, root: str, keep: list[str]) -> DataFrame:
+    read = compute_once(
+        docs.filter(sitemap_root(F.col("body")) == root),
+        keep,
+        __error=sitemap_error(F.col("body")),
+        __locs=locations(F.col("body")),
+    )
+    return read.filter("__error IS NULL").select(*keep, F.posexplode("__locs").alias("pos", "loc"))
 
 
 def read_urlset(docs: DataFrame) -> DataFrame:
     """``sitemap_url, pos, url`` of every location in the URL sets among ``docs`` (``sitemap_url, body``)."""
     keep = [c for c in docs.columns if c != "body"]
-    sets = docs.filter(sitemap_root(F.col("body")) == "urlset")
-    return _locs(sets, "url", keep).withColumnRenamed("loc", "url")
+    return _locs(docs, "urlset", keep).withColumnRenamed("loc", "url")
 
 
 def sitemap_errors(docs: DataFrame) -> DataFrame:
-    """Documents with an unsupported root."""
-    return docs.select("sitemap_url", sitemap_error(F.col("body")).alias("message")).filter("message IS NOT NULL")
+    """Documents that are malformed or have an unsupported root."""
+    read = compute_once(docs, ["sitemap_url"], message=sitemap_error(F.col("body")))
+    return read.filter("message IS NOT NULL")
 
 
 def expand_sitemaps(roots: DataFrame, docs: DataFrame) -> DataFrame:
@@ -57,9 +76,8 @@ def expand_sitemaps(roots: DataFrame, docs: DataFrame) -> DataFrame:
     the same root is not visited again, so cycles and self-links end. Links and levels are written to the
     checkpoint folder: XML is parsed once and lineage does not grow with the depth.
     """
-    indexes = docs.filter(sitemap_root(F.col("body")) == "sitemapindex")
     links = cut_lineage(
-        _locs(indexes, "sitemap", ["sitemap_url"]).select("sitemap_url", F.col("loc").alias("child")).distinct()
+        _locs(docs, "sitemapindex", ["sitemap_url"]).select("sitemap_url", F.col("loc").alias("child")).distinct()
     )
     frontier = cut_lineage(
         roots.select(F.col("root"), F.col("root").alias("sitemap_url"), F.lit(0).alias("depth")).distinct()

@@ -93,8 +93,8 @@ def test_durations_and_stamps(spark):
 
 def test_retry_after(spark):
     now = F.lit("2015-10-21 07:27:00").cast("timestamp")
-    items = ["120", " 7 ", "Wed, 21 Oct 2015 07:28:00 GMT", "Wed, 21 Oct 2014 07:28:00 GMT", "soon", "", None]
-    assert values(spark, lambda x: timefmt.retry_after_seconds(x, now), items) == [120.0, 7.0, 60.0, 0.0, None, None, None]
+    items = ["120", " 7 ", "Wed, 21 Oct 2015 07:28:00 GMT", "Wed, 21 Oct 2014 07:28:00 GMT", "21 Oct 2015 09:28:00 +0200", "soon", "", None]
+    assert values(spark, lambda x: timefmt.retry_after_seconds(x, now), items) == [120.0, 7.0, 60.0, 0.0, 60.0, None, None, None]
 
 
 def test_conformance_and_publications(spark):

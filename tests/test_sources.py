@@ -119,6 +119,15 @@ def test_sitemap_tree_with_cycles(spark):
     assert [u for u in urls if u] == ["http://d/1", "http://d/1"]
 
 
+def test_locations_at_any_depth(spark):
+    body = (
+        "<s:urlset xmlns:s='s' xmlns:i='i'><!-- <loc>no</loc> --><s:url><s:loc>http://d/1?a=1&amp;b=2</s:loc><i:image><i:loc>http://d/i</i:loc></i:image>"
+        "</s:url><url><loc a='1'><![CDATA[http://d/<2>]]></loc></url><url><loc/></url><location>x</location></s:urlset>"
+    )
+    docs = spark.createDataFrame([("a", body)], "sitemap_url string, body string")
+    assert [r["url"] for r in sitemap.read_urlset(docs).orderBy("pos").collect()] == ["http://d/1?a=1&b=2", "http://d/i", "http://d/<2>"]
+
+
 def test_sitemap_errors(spark):
     docs = spark.createDataFrame([("a", "<feed/>"), ("b", "<urlset>"), ("c", "<urlset/>")], "sitemap_url string, body string")
     got = {r["sitemap_url"]: r["message"] for r in sitemap.sitemap_errors(docs).collect()}
@@ -161,3 +170,6 @@ def test_iso_files(spark, tmp_path):
     (tmp_path / "2.xml").write_text(body.replace(">a<", ">b<"))
     rows = iso.read_iso_files(spark, str(tmp_path), "r").select("identifier").collect()
     assert sorted(r["identifier"] for r in rows) == ["a", "b"]
+    dump = iso.read_iso_dump(spark.read, str(tmp_path), "r").select("identifier", "error").collect()
+    assert sorted(r["identifier"] for r in dump) == ["a", "b"]
+    assert all("missing a title" in r["error"] for r in dump)
