@@ -228,6 +228,33 @@ def robots_allowed(spark, d):
     return ignored.select("page_id", F.col("a").alias("allowed"), F.col("allowed").alias("ignored"))
 
 
+@check(
+    "robots_files",
+    "JN11 JN12",
+    f"""
+WITH h AS (SELECT DISTINCT {HOST_SQL} AS host FROM pages)
+SELECT host, 0 AS entry, 0 AS pos, '*' AS agent, FALSE AS allow, '/en/1' AS path, NULL::DOUBLE AS crawl_delay FROM h
+UNION ALL SELECT host, 0, 1, '*', TRUE, '/en', NULL FROM h
+UNION ALL SELECT host, 0, 2, '*', FALSE, NULL, len(host) FROM h
+UNION ALL SELECT host, 1, 3, host, FALSE, '', NULL FROM h
+UNION ALL SELECT host, 1, 4, 'bot', FALSE, '', NULL FROM h
+""",
+)
+def robots_files(spark, d):
+    from sheafline.functions.text import url_host
+    from sheafline.sources.robots import read_robots
+
+    hosts = table(spark, d, "pages").select(url_host(F.col("url")).alias("host")).distinct()
+    body = F.concat(
+        s("# rules\nUser-agent: *\nDisallow: /en/1 # part\n  \nAllow: /en\nCrawl-delay: "),
+        F.length("host").cast("string"),
+        s("\nSitemap: http://x/\n\nDisallow: /lost\nUser-agent: "),
+        "host",
+        s("\nUser-agent: bot\nDisallow:\n"),
+    )
+    return read_robots(hosts.select("host", body.alias("body")))
+
+
 @check(
     "host_delay",
     "JN12",

@@ -208,6 +208,11 @@ def record_url(base: Column, record_id: Column) -> Column:
     )
 
 
+def unquote(c: Column) -> Column:
+    """Percent escapes decoded; ``+`` stays, malformed text stays as it is."""
+    return F.when(c.contains("%"), _form_decode(F.replace(c, F.lit("+"), F.lit("%2B")))).otherwise(c)
+
+
 def doi_from(identifier: Column, subject: Column) -> Column:
     """DOI of a dataset: its identifier, the part after ``doi.org/`` up to the next slash, or the subject."""
     in_subject = F.regexp_extract(subject, r"(?i)doi\.org/(10\.[^/?#]+)", 1)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sheafline.functions.text import url_host, url_target
+from sheafline.functions.text import unquote, url_host, url_target
 from sheafline.functions.timefmt import retry_class
 from sheafline.operators.scan import blocked_row_number, blocked_scan, ordinal_block
 
@@ -13,19 +13,26 @@ from sheafline.operators.scan import blocked_row_number, blocked_scan, ordinal_b
 def host_rules(rules: DataFrame, product: str) -> DataFrame:
     """One row per host: the rule lines and crawl delay of the group that applies to ``product``.
 
-    ``rules``: ``host, pos, agent, allow, path, crawl_delay``. The first group that names the product
-    wins over ``*``. A host's rules are one robots file, so the array stays small.
+    ``rules``: ``host, pos, agent, allow, path, crawl_delay`` and, when known, ``entry`` (the number of the
+    group within the file; without it rules of one agent are one group). The first group that names the
+    product wins over the first group for ``*``. A host's rules are one robots file, so the array stays small.
     """
     agent = F.lower("agent")
     named = (agent != "*") & F.lit(product.split("/")[0].lower()).contains(agent)
+    entry = F.col("entry").cast("string") if "entry" in rules.columns else agent
     lines = rules.withColumn("__named", named).filter(F.col("__named") | (agent == "*"))
     per_host = lines.groupBy("host").agg(
         F.array_sort(
-            F.collect_list(F.struct("pos", "__named", agent.alias("agent"), "allow", "path", "crawl_delay"))
+            F.collect_list(F.struct("pos", "__named", entry.alias("entry"), "allow", "path", "crawl_delay"))
         ).alias("lines")
     )
-    first_named = F.get(F.filter("lines", lambda r: r["__named"]), F.lit(0))["agent"]
-    chosen = F.filter("lines", lambda r: r["agent"] == F.coalesce(first_named, F.lit("*")))
+    leading = F.coalesce(F.get(F.filter("lines", lambda r: r["__named"]), F.lit(0)), F.get("lines", F.lit(0)))
+    # Any named line outranks the starred ones, so the leading line's own flag tells which kind it is.
+    per_host = per_host.withColumn("__lead", leading)
+    chosen = F.filter(
+        "lines",
+        lambda r: (r["entry"] == F.col("__lead.entry")) & (r["__named"] == F.col("__lead.__named")),
+    )
     return per_host.select(
         "host",
         F.transform(
@@ -49,7 +56,7 @@ def robots_allowed(urls: DataFrame, rules: DataFrame, product: str, respect: boo
     if not respect:
         return urls.withColumn("allowed", F.lit(True))
     # Host and target are columns below the join, so they are computed once per URL and not once per rule.
-    keyed = urls.withColumn("__host", url_host(F.col("url"))).withColumn("__target", url_target(F.col("url")))
+    keyed = urls.withColumn("__host", url_host(F.col("url"))).withColumn("__target", unquote(url_target(F.col("url"))))
     per_host = host_rules(rules, product).select(F.col("host").alias("__host"), "rules")
     hit = F.get(
         F.filter("rules", lambda r: (r["path"] == "*") | F.col("__target").startswith(r["path"])), F.lit(0)
@@ -88,19 +95,33 @@ def polite_schedule(
 
     ``send_n = max(arrival_n, send_{n-1} + delay)`` has the closed form
     ``max(arrival_i - i*delay) + n*delay``. Requests arriving together (a whole sitemap usually does)
-    are first folded to one row per host and instant, and that series is scanned in time blocks; inside
-    an instant requests go out in id order. No step holds a whole host.
+    are first folded to one row per host and instant. That series is cut into time blocks; inside a block
+    positions count from the block's start, and one row per block carries count and peak on to the next, so
+    no step holds a whole host. Inside an instant requests go out in id order.
 
-    ``arrival`` and ``delay`` are whole microseconds, ``rid`` is a unique whole number.
+    ``arrival`` and ``delay`` are whole microseconds, ``delay`` is one value per host, ``rid`` is a unique
+    whole number.
     """
     instants = requests.groupBy(host, arrival).agg(F.count(F.lit(1)).alias("__n"), F.max(delay).alias("__d"))
-    block = ordinal_block(F.col(arrival), block_micros)
-    order = [F.col(arrival)]
-    ranked = blocked_scan(instants, [host], order, block, {"__upto": ("sum", F.col("__n"))})
-    ranked = ranked.withColumn("__before", F.col("__upto") - F.col("__n"))
-    slack = F.col(arrival) - F.col("__before") * F.col("__d")
-    started = blocked_scan(ranked, [host], order, block, {"__peak": ("max", slack)})
-    starts = started.select(host, arrival, (F.col("__peak") + F.col("__before") * F.col("__d")).alias("__first"))
+    blocked = instants.withColumn("__b", ordinal_block(F.col(arrival), block_micros))
+    inside = Window.partitionBy(host, "__b").orderBy(arrival)
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    local = blocked.withColumn("__k", F.sum("__n").over(upto) - F.col("__n"))
+    slack = F.col(arrival) - F.col("__k") * F.col("__d")
+
+    per_block = local.groupBy(host, "__b").agg(
+        F.sum("__n").alias("__bn"), F.max(slack).alias("__bpeak"), F.max("__d").alias("__bd")
+    )
+    earlier = Window.partitionBy(host).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_block.withColumn("__off", F.coalesce(F.sum("__bn").over(earlier), F.lit(0))).select(
+        host, "__b", "__off", F.max(F.col("__bpeak") - F.col("__off") * F.col("__bd")).over(earlier).alias("__carry")
+    )
+    peaked = local.withColumn("__peak", F.max(slack).over(upto)).join(offsets, [host, "__b"])
+    first = F.greatest(F.col("__peak") - F.col("__off") * F.col("__d"), F.col("__carry")) + (
+        F.col("__off") + F.col("__k")
+    ) * F.col("__d")
+    starts = peaked.select(host, arrival, first.alias("__first"))
+
     numbered = blocked_row_number(
         requests, [host, arrival], [F.col(rid)], ordinal_block(F.col(rid)), name="__k"
     )

@@ -13,7 +13,7 @@ from sheafline.operators.dedup import dedup_urls
 from sheafline.operators.scan import blocked_scan, ordinal_block
 from sheafline.plans import record_arc as ra
 from sheafline.plans.registry import MAPPERS, SOURCES, Registry
-from sheafline.sources import iso, sinks
+from sheafline.sources import iso, robots, sinks
 from sheafline.streaming import flows
 
 
@@ -156,6 +156,26 @@ def test_robots(spark):
     assert {r["host"]: r["delay"] for r in fetchlog.host_delay(hosts, rules, "Bot/1.0", 0).collect()} == {"h": 4.0, "free": 0.0}
 
 
+def test_robots_files(spark):
+    body = (
+        "# c\nUser-agent: other\nUser-Agent: HarvestBot # us\nDisallow: /p%20q\nAllow: /p\nCrawl-delay: 7\n\nDisallow: /ignored\n\n"
+        "user-agent: *\ndisallow:\n\nUser-agent: harvestbot\nDisallow: /\nUser-agent: *\nDisallow: /"
+    )
+    files = spark.createDataFrame([("h", body), ("lone", "User-agent: harvestbot\n\nDisallow: /"), ("none", None), ("star", "User-agent: *\r\nDisallow: /x\r\nUser-agent: *\r\nDisallow: /y")], "host string, body string")
+    rules = robots.read_robots(files)
+    rows = rules.filter("host = 'h'").orderBy("pos").collect()
+    assert [(r["entry"], r["agent"], r["allow"], r["path"], r["crawl_delay"]) for r in rows[:6]] == [
+        (0, "other", False, "/p q", None), (0, "HarvestBot", False, "/p q", None), (0, "other", True, "/p", None),
+        (0, "HarvestBot", True, "/p", None), (0, "other", False, None, 7.0), (0, "HarvestBot", False, None, 7.0),
+    ]
+    assert [r["path"] for r in rows[6:]] == ["", "/", "/"]
+    urls = spark.createDataFrame([(u,) for u in ("http://h/p%20q/1", "http://h/p1", "http://h/z", "http://lone/", "http://none/", "http://star/x", "http://star/y")], "url string")
+    got = {r["url"][7:]: r["allowed"] for r in fetchlog.robots_allowed(urls, rules, "HarvestBot/2.0 (mail)").collect()}
+    assert got == {"h/p%20q/1": False, "h/p1": True, "h/z": True, "lone/": True, "none/": True, "star/x": False, "star/y": True}
+    hosts = spark.createDataFrame([("h",), ("lone",)], "host string")
+    assert {r["host"]: r["delay"] for r in fetchlog.host_delay(hosts, rules, "HarvestBot/2.0", None).collect()} == {"h": 7.0, "lone": 0.0}
+
+
 def test_golden_record(spark):
     c = lambda **k: full_contact(F.lit(k.pop("name")), **{n: F.lit(v) for n, v in k.items()})
     one = lambda *pairs: F.struct(*[F.lit(v).alias(n) for n, v in pairs])
