@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 from sheafline.checks.base import HOST_SQL, PAGE_TITLE_SQL, check, page_title, s, slug_sql, spread_table, table
 from sheafline.checks.builders import cells_text, pairs_text
 from sheafline.functions.text import url_host
-from sheafline.operators.dedup import dedup_urls, duplicate_outcomes
 from sheafline.operators.outcomes import arc_identifier, harvest_counts
 from sheafline.plans import graph_arc as ga
-from sheafline.plans.registry import DATASETS, MAPPERS
+from sheafline.plans.registry import DATASETS, MAPPERS, SOURCES
 from sheafline.sources import jsonld
 
 _OPEN = '<script type="application/ld+json">'
@@ -339,9 +338,6 @@ def host_harvest(spark, d):
         url_host(F.col("url")).alias("rdi"),
         F.col("page_id").alias("seq"),
         F.regexp_replace("url", "[?#].*$", "").alias("url"),
-        F.when(F.col("page_id") % 7 > 0, F.concat("html", script(json))).otherwise(F.col("html")).alias("html"),
+        F.when(F.col("page_id") % 7 > 0, F.concat("html", script(json))).otherwise(F.col("html")).alias("body"),
     )
-    flagged = dedup_urls(pages.select("rdi", "seq", "url"), mode="flag")
-    firsts = pages.join(flagged.filter(~F.col("is_duplicate")).select("rdi", "url", "seq"), ["rdi", "url", "seq"], "left_semi")
-    outcomes = ga.graph_outcomes(jsonld.page_graphs(firsts)).unionByName(duplicate_outcomes(flagged))
-    return harvest_counts(outcomes)
+    return harvest_counts(SOURCES["html_jsonld"](pages))

@@ -15,6 +15,7 @@ from sheafline.functions.text import truthy
 from sheafline.operators.once import compute_once
 from sheafline.operators.scan import BLOCK_ROWS, blocked_row_number, ordinal_block
 from sheafline.schemas import OUTCOME_FIELDS
+from sheafline.session import cut_lineage
 
 #: Source URLs named in one message; further ones continue in further rows.
 URLS_PER_MESSAGE = 1000
@@ -85,8 +86,11 @@ def enrich_client_errors(
     list grows with the data and no URL is lost.
     """
     wanted = errors.select("rdi", "arc_id").distinct()
+    # Few objects have errors. Their URLs are written once, since finding them reads whole documents and
+    # the numbering reads them twice.
+    named = cut_lineage(urls.join(wanted, ["rdi", "arc_id"], "left_semi"))
     ranked = blocked_row_number(
-        urls.join(wanted, ["rdi", "arc_id"], "left_semi"),
+        named,
         ["rdi", "arc_id"],
         [F.col("first_seq"), F.col("url")],
         ordinal_block(F.col("first_seq"), BLOCK_ROWS),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from sheafline.functions.text import truthy
 from sheafline.functions.timefmt import iso_duration, iso_timestamp
+from sheafline.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -73,16 +74,19 @@ def run_lines(
     """The run report as rows ``repo_no, section, seq, part, line``; sorted by the first four it is one document.
 
     ``run``: one row ``start_time, end_time``. ``repos``: report rows plus ``repo_no``, the configured order.
-    ``failed``: rows of :func:`sheafline.operators.outcomes.failed_records`.
+    ``failed``: rows of :func:`sheafline.operators.outcomes.failed_records`. Both are read several times, so
+    they are written to the checkpoint folder once.
     """
     p = vocab.prefix
+    failed = cut_lineage(failed)
     counted = failed.groupBy("rdi").agg(
         F.min(F.struct("section", "seq", "part")).alias("__first"), F.count(F.lit(1)).alias("__n_failed")
     )
+    repos = cut_lineage(repos)
     numbered = repos.join(counted, "rdi", "left")
     # A join on the number itself marks the last repository without comparing every row with it.
     last_repo = repos.agg(F.max("repo_no").alias("repo_no")).withColumn("__is_last", F.lit(True))
-    numbered = numbered.join(last_repo, "repo_no", "left")
+    numbered = cut_lineage(numbered.join(last_repo, "repo_no", "left"))
 
     context = F.to_json(
         F.struct(

@@ -12,7 +12,7 @@ from sheafline.operators.dedup import dedup_urls, duplicate_outcomes
 from sheafline.plans.graph_arc import graph_outcomes, map_graphs
 from sheafline.plans.record_arc import record_outcomes
 from sheafline.sources.iso import read_iso
-from sheafline.sources.jsonld import page_graphs
+from sheafline.sources.jsonld import block_graphs, page_blocks, page_graphs
 from sheafline.sources.sitemap import read_urlset
 from sheafline.sources.solr import solr_docs
 
@@ -69,11 +69,16 @@ def iso_source(landed: DataFrame) -> DataFrame:
 
 @SOURCES.register("html_jsonld")
 def html_source(landed: DataFrame) -> DataFrame:
-    """Landed dataset pages (``rdi, seq, url, body``) -> outcomes; later copies of a URL are skips."""
+    """Landed dataset pages (``rdi, seq, url, body``) -> outcomes; later copies of a URL are skips.
+
+    Repeats are found on narrow rows and taken out by an anti join. They are few as a rule, so Spark
+    broadcasts them and no page moves; otherwise the join moves JSON-LD blocks, not pages.
+    """
     pages = landed.select("rdi", "seq", "url", F.col("body").alias("html"))
     flagged = dedup_urls(pages.select("rdi", "seq", "url"), mode="flag")
-    firsts = pages.join(flagged.filter(~F.col("is_duplicate")).drop("is_duplicate"), ["rdi", "url", "seq"], "left_semi")
-    return graph_outcomes(page_graphs(firsts)).unionByName(duplicate_outcomes(flagged))
+    repeats = flagged.filter("is_duplicate").select("rdi", "url", "seq")
+    kept = page_blocks(pages).join(repeats, ["rdi", "url", "seq"], "left_anti")
+    return graph_outcomes(block_graphs(kept)).unionByName(duplicate_outcomes(flagged))
 
 
 def run_sources(landed: dict[str, DataFrame]) -> DataFrame:

@@ -193,14 +193,25 @@ def _read_graphs(urls: pa.Array, blocks: pa.Array) -> pa.Array:
 _READ_ONCE = _read_graphs.asNondeterministic()
 
 
-def page_graphs(pages: DataFrame) -> DataFrame:
-    """Add ``graph`` (subject -> predicate -> objects) and ``graph_error`` to ``pages`` (``url, html, ...``)."""
+def page_blocks(pages: DataFrame) -> DataFrame:
+    """Replace ``html`` by ``blocks``, the JSON-LD texts of the page. Joins belong after this step: blocks are
+    a small part of a page."""
     keep = [c for c in pages.columns if c != "html"]
-    found = pages.select(*keep, jsonld_blocks(F.col("html")).alias("__blocks"))
-    read = found.select(*keep, _READ_ONCE("url", "__blocks").alias("__read"))
+    return pages.select(*keep, jsonld_blocks(F.col("html")).alias("blocks"))
+
+
+def block_graphs(pages: DataFrame) -> DataFrame:
+    """Replace ``blocks`` by ``graph`` (subject -> predicate -> objects) and ``graph_error``."""
+    keep = [c for c in pages.columns if c != "blocks"]
+    read = pages.select(*keep, _READ_ONCE("url", "blocks").alias("__read"))
     return read.select(*keep, F.col("__read.graph").alias("graph"), F.col("__read.error").alias("graph_error"))
 
 
+def page_graphs(pages: DataFrame) -> DataFrame:
+    """Graphs of pages (``url, html, ...``)."""
+    return block_graphs(page_blocks(pages))
+
+
 def to_triples(graphs: DataFrame) -> DataFrame:
     """The graphs as a flat table ``url, ord, s, p, kind, o`` in document order."""
     per_subject = graphs.select("url", F.posexplode("graph").alias("sn", "s", "props"))

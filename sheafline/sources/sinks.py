@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def write_arcs(outcomes: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_arcs(outcomes: DataFrame, path: str, mode: str = "overwrite", rebalance: bool = True) -> None:
     """One JSON-LD document per line, one folder per repository.
 
-    No shuffle: every task writes its own rows, so a repository of any size spreads over many files.
+    Rebalancing gathers small repositories into few files and splits a large one over many tasks by measured
+    size. Without it every task writes a file for each repository it meets.
     """
-    outcomes.filter(F.col("kind") == "arc").select("rdi", F.col("arc_json").alias("value")).write.mode(
-        mode
-    ).partitionBy("rdi").text(path)
+    arcs = outcomes.filter(F.col("kind") == "arc").select("rdi", F.col("arc_json").alias("value"))
+    if rebalance:
+        arcs = arcs.hint("rebalance", "rdi")
+    arcs.write.mode(mode).partitionBy("rdi").text(path)
 
 
-def archive_files(raw_xml) -> F.col:
+def archive_files(raw_xml: Column) -> Column:
     """Side files of a record: the archival copy when there is one."""
     return F.when(F.length(raw_xml) > 0, F.array(F.lit("iso19115.xml"))).otherwise(F.array().cast("array<string>"))
 
