@@ -48,22 +48,27 @@ def stream_publish(spark, d):
     return spark.read.schema(f"{OUTCOME}, batch_id bigint").parquet(f"{base}/out").select("source_url", "kind")
 
 
-def _visit_files(spark, d, base, parts):
-    """Events as landed discoveries, one folder of files per micro-batch."""
-    rows = table(spark, d, "events").select(
+def _visits(spark, d):
+    """Events as landed discoveries."""
+    return table(spark, d, "events").select(
         F.col("event_type").alias("rdi"),
         F.col("event_id").alias("seq"),
         F.concat(s("http://u/"), F.col("user_id").cast("string")).alias("url"),
         F.col("ts").cast("timestamp").alias("landed_at"),
-        (F.col("event_id") % parts).alias("part"),
-    )
-    for part in range(parts):
-        rows.filter(F.col("part") == part).drop("part").coalesce(1).write.mode("append").parquet(f"{base}/landed")
-    return flows.stream_landed(
-        spark, f"{base}/landed", "rdi string, seq bigint, url string, landed_at timestamp", max_files=1
     )
 
 
+def _land_and_run(rows, base, run):
+    """Land the rows in two deliveries and run the stream after each, resuming from its checkpoint."""
+    for part in range(2):
+        rows.filter(F.col("seq") % 2 == part).write.mode("append").parquet(f"{base}/landed")
+        run(flows.stream_landed(rows.sparkSession, f"{base}/landed", _ddl(rows)))
+
+
+def _ddl(rows):
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+
+
 @check(
     "stream_dedup",
     "ST3",
@@ -71,12 +76,14 @@ def _visit_files(spark, d, base, parts):
 )
 def stream_dedup(spark, d):
     base = scratch_path(spark, "stream")
-    stream = flows.stream_dedup(_visit_files(spark, d, base, 2), ttl="60 days")
 
     def handle(batch, batch_id):
         batch.write.mode("overwrite").parquet(f"{base}/out/batch_id={batch_id}")
 
-    flows.run_available(stream, handle, f"{base}/state")
+    def run(landed):
+        flows.run_available(flows.stream_dedup(landed, ttl="60 days"), handle, f"{base}/state")
+
+    _land_and_run(_visits(spark, d), base, run)
     out = spark.read.schema("rdi string, url string, batch_id bigint").parquet(f"{base}/out")
     return out.groupBy("rdi", "url").agg(F.count(F.lit(1)).alias("n"))
 
@@ -89,7 +96,7 @@ def stream_dedup(spark, d):
 def stream_flag(spark, d):
     base = scratch_path(spark, "stream")
     handle = flows.flag_duplicates_into(f"{base}/out", f"{base}/seen")
-    flows.run_available(_visit_files(spark, d, base, 2), handle, f"{base}/state")
+    _land_and_run(_visits(spark, d), base, lambda landed: flows.run_available(landed, handle, f"{base}/state"))
     out = spark.read.schema("rdi string, seq bigint, url string, is_duplicate boolean, batch_id bigint").parquet(f"{base}/out")
     return out.groupBy("rdi").agg(F.count(F.lit(1)).alias("n"), F.count_if("is_duplicate").alias("duplicates"))
 
@@ -104,22 +111,14 @@ SELECT user_id::VARCHAR AS rdi, count(*) FILTER (event_type NOT IN ('error', 'vi
 )
 def stream_counts(spark, d):
     base = scratch_path(spark, "stream")
-    for part in range(2):
-        _outcomes(spark, d).filter(F.col("seq") % 2 == part).coalesce(1).write.mode("append").parquet(f"{base}/landed")
-    landed = flows.stream_landed(spark, f"{base}/landed", OUTCOME, max_files=1)
 
     def handle(batch, batch_id):
         batch.write.mode("overwrite").parquet(f"{base}/out/batch_id={batch_id}")
 
-    query = (
-        flows.stream_counts(landed)
-        .writeStream.outputMode("update")
-        .foreachBatch(handle)
-        .option("checkpointLocation", f"{base}/state")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    def run(landed):
+        flows.run_available(flows.stream_counts(landed), handle, f"{base}/state", mode="update")
+
+    _land_and_run(_outcomes(spark, d), base, run)
     out = spark.read.schema("rdi string, harvested bigint, failed bigint, skipped bigint, batch_id bigint").parquet(f"{base}/out")
     latest = F.max_by(F.struct("harvested", "failed", "skipped"), "batch_id")
     return out.groupBy("rdi").agg(latest.alias("c")).select("rdi", "c.*")

@@ -101,10 +101,13 @@ def publish_into(out_path: str) -> Callable[[DataFrame, int], None]:
     return handle
 
 
-def run_available(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
-    """Process everything landed so far and stop."""
+def run_available(
+    stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append"
+) -> StreamingQuery:
+    """Process everything landed so far and stop; the next run goes on from the checkpoint."""
     query = (
-        stream.writeStream.foreachBatch(handle)
+        stream.writeStream.outputMode(mode)
+        .foreachBatch(handle)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
