@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sheafline.functions.text import unquote, url_host, url_target
 from sheafline.functions.timefmt import retry_class
-from sheafline.operators.scan import blocked_row_number, blocked_scan, ordinal_block
+from sheafline.operators.scan import BLOCK_ROWS, blocked_row_number, blocked_scan, ordinal_block
 
 
 def host_rules(rules: DataFrame, product: str) -> DataFrame:
@@ -21,11 +21,9 @@ def host_rules(rules: DataFrame, product: str) -> DataFrame:
     named = (agent != "*") & F.lit(product.split("/")[0].lower()).contains(agent)
     entry = F.col("entry").cast("string") if "entry" in rules.columns else agent
     lines = rules.withColumn("__named", named).filter(F.col("__named") | (agent == "*"))
-    per_host = lines.groupBy("host").agg(
-        F.array_sort(
-            F.collect_list(F.struct("pos", "__named", entry.alias("entry"), "allow", "path", "crawl_delay"))
-        ).alias("lines")
-    )
+    line = F.struct("pos", "__named", entry.alias("entry"), "allow", "path", "crawl_delay")
+    # A set, so that a file landed many times is no larger than once.
+    per_host = lines.groupBy("host").agg(F.array_sort(F.collect_set(line)).alias("lines"))
     leading = F.coalesce(F.get(F.filter("lines", lambda r: r["__named"]), F.lit(0)), F.get("lines", F.lit(0)))
     # Any named line outranks the starred ones, so the leading line's own flag tells which kind it is.
     per_host = per_host.withColumn("__lead", leading)
@@ -90,6 +88,7 @@ def polite_schedule(
     rid: str = "id",
     delay: str = "delay",
     block_micros: int = 3_600_000_000,
+    id_width: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Send time (microseconds) of every request: not before its arrival, ``delay`` after the host's previous one.
 
@@ -100,7 +99,7 @@ def polite_schedule(
     no step holds a whole host. Inside an instant requests go out in id order.
 
     ``arrival`` and ``delay`` are whole microseconds, ``delay`` is one value per host, ``rid`` is a unique
-    whole number.
+    whole number; for sparse numbers pass ``id_width`` from :func:`sheafline.operators.scan.ordinal_width`.
     """
     instants = requests.groupBy(host, arrival).agg(F.count(F.lit(1)).alias("__n"), F.max(delay).alias("__d"))
     blocked = instants.withColumn("__b", ordinal_block(F.col(arrival), block_micros))
@@ -123,7 +122,7 @@ def polite_schedule(
     starts = peaked.select(host, arrival, first.alias("__first"))
 
     numbered = blocked_row_number(
-        requests, [host, arrival], [F.col(rid)], ordinal_block(F.col(rid)), name="__k"
+        requests, [host, arrival], [F.col(rid)], ordinal_block(F.col(rid), id_width), name="__k"
     )
     return numbered.join(starts, [host, arrival]).select(
         *[F.col(c) for c in requests.columns],

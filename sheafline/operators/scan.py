@@ -24,6 +24,17 @@ def ordinal_block(col: Column, width: int = BLOCK_ROWS) -> Column:
     return F.floor(col / F.lit(width)).cast("bigint")
 
 
+def ordinal_width(df: DataFrame, name: str, rows: int = BLOCK_ROWS) -> int:
+    """Block width that puts about ``rows`` rows in a block when the ordinal is sparse, such as hashed ids.
+
+    One aggregate over that column alone; three numbers come back.
+    """
+    low, high, n = df.agg(F.min(name), F.max(name), F.count(name)).first()
+    if not n:
+        return rows
+    return max(rows, -(-(high - low + 1) * rows // n))
+
+
 def blocked_scan(
     df: DataFrame,
     keys: Sequence[str],

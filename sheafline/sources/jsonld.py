@@ -65,7 +65,7 @@ class _Unsupported(ValueError):
     """A JSON-LD construct outside the supported part."""
 
 
-_SCHEMA_CONTEXT = re.compile(r"https?://schema\.org(/|/docs/jsonldcontext\.jsonld?)?")
+_SCHEMA_CONTEXT = re.compile(r"https?://schema\.org(/|/docs/jsonldcontext\.json(ld)?)?")
 _PASSED_OVER = {"@context", "@id", "@graph", "@index", "@language"}
 
 
@@ -98,12 +98,31 @@ def _text(value):
     return value if isinstance(value, str) else json.dumps(value)
 
 
-def _walk(node, place, vocab, terms, graph):
-    """Add a node and everything nested in it; return its (kind, id)."""
+def _open(node, place, vocab, terms):
+    """Resolve a node's context and keyword aliases: (kind, id), members, vocabulary, terms."""
     vocab, terms = _read_context(node.get("@context", []), vocab, terms)
-    keyed = {terms[k] if terms.get(k, "").startswith("@") else k: v for k, v in node.items()}
-    kind, subject = ("iri", keyed["@id"]) if isinstance(keyed.get("@id"), str) else ("bnode", place)
-    for key, value in keyed.items():
+    members = {terms[k] if terms.get(k, "").startswith("@") else k: v for k, v in node.items()}
+    own = members.get("@id")
+    if not isinstance(own, str):
+        named = ("bnode", place)
+    elif own.startswith("_:"):
+        # Labels are local to a page, so they carry its name.
+        named = ("bnode", f"{place.split('-')[0]}-{own[2:]}")
+    else:
+        named = ("iri", own)
+    return named, members, vocab, terms
+
+
+def _listed(value):
+    if isinstance(value, dict) and "@set" in value:
+        value = value["@set"]
+    return value if isinstance(value, list) else [value]
+
+
+def _walk(opened, place, graph):
+    """Add an opened node and everything nested in it to the graph."""
+    (_, subject), members, vocab, terms = opened
+    for key, value in members.items():
         if key in _PASSED_OVER:
             continue
         if key[:1] == "@" and key != "@type":
@@ -111,32 +130,27 @@ def _walk(node, place, vocab, terms, graph):
         predicate = RDF_TYPE if key == "@type" else _iri(key, vocab, terms)
         if predicate is None:
             continue
-        if isinstance(value, dict) and "@set" in value:
-            value = value["@set"]
-        for i, item in enumerate(value if isinstance(value, list) else [value]):
+        for i, item in enumerate(_listed(value)):
             if isinstance(item, dict) and "@value" in item:
                 item = item["@value"]
             if item is None or isinstance(item, list):
                 continue
+            child = None
             if key == "@type":
                 found = ("iri", _iri(item, vocab, terms))
             elif isinstance(item, dict):
-                found = None
+                child = _open(item, f"{place}-{key}-{i}", vocab, terms)
+                found = child[0]
             else:
                 found = ("literal", _text(item))
-            objects = graph.setdefault(subject, {}).setdefault(predicate, {})
-            if found is None:
-                # Reserve the triple before descending, so that subjects keep document order.
-                child = item["@id"] if isinstance(item.get("@id"), str) else f"{place}-{key}-{i}"
-                objects[("iri" if child is item.get("@id") else "bnode", child)] = None
-                _walk(item, f"{place}-{key}-{i}", vocab, terms, graph)
-            elif found[1] is not None:
-                objects[found] = None
-    members = keyed.get("@graph", [])
-    for i, item in enumerate(members if isinstance(members, list) else [members]):
+            if found[1] is not None:
+                # The triple comes before those of the node it leads to: document order.
+                graph.setdefault(subject, {}).setdefault(predicate, {})[found] = None
+            if child is not None:
+                _walk(child, f"{place}-{key}-{i}", graph)
+    for i, item in enumerate(_listed(members.get("@graph", []))):
         if isinstance(item, dict):
-            _walk(item, f"{place}-g{i}", vocab, terms, graph)
-    return kind, subject
+            _walk(_open(item, f"{place}-g{i}", vocab, terms), f"{place}-g{i}", graph)
 
 
 def read_page_graph(url: str, blocks: list[str]) -> tuple[dict | None, str | None]:
@@ -155,7 +169,7 @@ def read_page_graph(url: str, blocks: list[str]) -> tuple[dict | None, str | Non
         try:
             for i, node in enumerate(value if isinstance(value, list) else [value]):
                 if isinstance(node, dict):
-                    _walk(node, f"{page}-{n}-{i}", None, {}, graph)
+                    _walk(_open(node, f"{page}-{n}-{i}", None, {}), f"{page}-{n}-{i}", graph)
         except (_Unsupported, RecursionError, TypeError, AttributeError) as exc:
             return None, f"Failed to parse JSON-LD at {url}: {exc}\nBlock:\n{block}"
     return graph, None

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sheafline.checks.builders import full_contact, record_fields
 from sheafline.operators import fallback, fetchlog, outcomes, paging, report
 from sheafline.operators.dedup import dedup_urls
-from sheafline.operators.scan import blocked_scan, ordinal_block
+from sheafline.operators.scan import blocked_row_number, blocked_scan, ordinal_block, ordinal_width
 from sheafline.plans import record_arc as ra
 from sheafline.plans.registry import MAPPERS, SOURCES, Registry
 from sheafline.sources import iso, robots, sinks
@@ -35,6 +35,15 @@ def test_blocked_scan_equals_plain_window(spark):
     assert {(r["k"], r["i"]): (r["s"], r["m"], r["n"]) for r in out} == want
 
 
+def test_sparse_ordinals(spark):
+    df = spark.range(5000).select(F.lit("k").alias("k"), (F.abs(F.xxhash64("id")) % 10**15).alias("i"))
+    width = ordinal_width(df, "i", rows=500)
+    assert 10**15 // 20 < width < 10**15 // 5
+    assert ordinal_width(df.limit(0), "i") > 0
+    out = blocked_row_number(df, ["k"], [F.col("i")], ordinal_block(F.col("i"), width)).orderBy("i").collect()
+    assert [r["rn"] for r in out] == list(range(1, 5001))
+
+
 def test_polite_schedule_equals_the_loop(spark):
     rnd = random.Random(2)
     rows = [(rnd.choice("ab") if rnd.random() < 0.7 else f"h{i % 5}", i, rnd.randrange(0, 40) * 500_000) for i in range(1500)]

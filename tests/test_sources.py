@@ -71,6 +71,24 @@ def test_merge_removes_repeats_and_aliases_work(spark):
     }
 
 
+def test_node_names(spark):
+    block = json.dumps(
+        {
+            "@context": {"@vocab": "http://schema.org/", "id": "@id", "type": "@type"},
+            "id": "x", "type": "Dataset", "creator": {"id": "#a", "name": "A"}, "author": {"@id": "_:b1"}, "about": {"name": "C"},
+            "@graph": [{"@id": "_:b1", "name": "B"}],
+        }
+    )
+    html = f"{_OPEN}{block}</script>"
+    (row,) = graph_rows(spark, html)
+    own = {p.rsplit("/", 1)[-1]: [(o["kind"], o["o"]) for o in objects] for p, objects in row["graph"]["x"].items()}
+    assert own["creator"] == [("iri", "#a")]
+    (kind, label), (_, place) = own["author"][0], own["about"][0]
+    assert kind == "bnode" and label.endswith("-b1") and place.endswith("-about-0")
+    keys = jsonld.page_graphs(pages(spark, html)).select(F.map_keys("graph")).collect()[0][0]
+    assert keys == ["x", "#a", place, label]
+
+
 def test_full_graph(spark):
     block = {
         "@context": {"@vocab": "https://schema.org/"},
