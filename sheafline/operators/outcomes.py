@@ -134,26 +134,36 @@ def apply_client_errors(counts: DataFrame, errors: DataFrame) -> DataFrame:
 def finalize_counts(repos: DataFrame, counts: DataFrame) -> DataFrame:
     """Counters per configured repository: zero once the harvest started, unknown before.
 
-    ``repos``: at least ``rdi, harvest_started``.
+    ``repos``: at least ``rdi, harvest_started``, and optionally ``crashed`` for repositories whose whole task
+    was lost: those report nothing harvested and an unknown number of failures.
     """
     joined = repos.join(counts, "rdi", "left")
-
-    def known(name: str) -> Column:
-        return F.when(F.col("harvest_started"), F.coalesce(F.col(name), F.lit(0))).alias(name)
+    crashed = F.coalesce(F.col("crashed"), F.lit(False)) if "crashed" in repos.columns else F.lit(False)
+
+    def known(name: str, lost: Column) -> Column:
+        return (
+            F.when(crashed, lost)
+            .when(F.col("harvest_started"), F.coalesce(F.col(name), F.lit(0)))
+            .cast("bigint")
+            .alias(name)
+        )
 
     return joined.select(
         *[F.col(c) for c in repos.columns],
-        known("harvested"),
-        known("failed"),
-        F.coalesce("skipped", F.lit(0)).alias("skipped"),
+        known("harvested", F.lit(0)),
+        known("failed", F.lit(None)),
+        F.when(crashed, F.lit(0)).otherwise(F.coalesce("skipped", F.lit(0))).cast("bigint").alias("skipped"),
     )
 
 
-def failed_records(outcomes: DataFrame, enriched_errors: DataFrame | None = None) -> DataFrame:
+def failed_records(
+    outcomes: DataFrame, enriched_errors: DataFrame | None = None, run_failures: DataFrame | None = None
+) -> DataFrame:
     """One row per failed record: ``rdi, section, seq, part, message, record_id, url``.
 
-    Section 0 holds source errors in arrival order, section 1 upload errors. The list stays a table: a
-    repository may fail in a third of all rows.
+    Section 0 holds source errors in arrival order, section 1 upload errors, section 2 the failure of a whole
+    repository (``rdi, message, url``), which adds a record but no count. The list stays a table: a repository
+    may fail in a third of all rows.
     """
     own = outcomes.filter(F.col("kind") == "error").select(
         "rdi",
@@ -168,16 +178,30 @@ def failed_records(outcomes: DataFrame, enriched_errors: DataFrame | None = None
         "record_id",
         F.when(F.col("record_id").isNotNull(), F.col("source_url")).alias("url"),
     )
-    if enriched_errors is None:
-        return own
-    return own.unionByName(
-        enriched_errors.select(
-            "rdi",
-            F.lit(1).alias("section"),
-            "seq",
-            "part",
-            "message",
-            F.col("arc_id").alias("record_id"),
-            F.lit(None).cast("string").alias("url"),
+    parts = [own]
+    none = F.lit(None).cast("string")
+    if enriched_errors is not None:
+        parts.append(
+            enriched_errors.select(
+                "rdi",
+                F.lit(1).alias("section"),
+                "seq",
+                "part",
+                "message",
+                F.col("arc_id").alias("record_id"),
+                none.alias("url"),
+            )
         )
-    )
+    if run_failures is not None:
+        parts.append(
+            run_failures.select(
+                "rdi",
+                F.lit(2).alias("section"),
+                F.lit(0).cast("bigint").alias("seq"),
+                F.lit(0).alias("part"),
+                "message",
+                none.alias("record_id"),
+                "url",
+            )
+        )
+    return union_sources(*parts)

@@ -128,6 +128,19 @@ def test_counts_urls_and_errors(spark):
     assert final == {"a": (4, 1, 1), "b": (0, 1, 0), "z": (None, None, 0)}
 
 
+def test_lost_repositories(spark):
+    repos = spark.createDataFrame(
+        [("ok", True, False), ("lost", True, True), ("never", False, False)], "rdi string, harvest_started boolean, crashed boolean"
+    )
+    counts = spark.createDataFrame([("ok", 2, None, 1), ("lost", 5, 5, 5)], "rdi string, harvested bigint, failed bigint, skipped bigint")
+    got = {r["rdi"]: (r["harvested"], r["failed"], r["skipped"]) for r in outcomes.finalize_counts(repos, counts).collect()}
+    assert got == {"ok": (2, 0, 1), "lost": (0, None, 0), "never": (None, None, 0)}
+    none = spark.createDataFrame([], "rdi string, seq bigint, kind string, arc_json string, record_id string, source_url string, message string")
+    runs = spark.createDataFrame([("lost", "OSError: gone", "http://s")], "rdi string, message string, url string")
+    rows = outcomes.failed_records(none, run_failures=runs).collect()
+    assert [(r["section"], r["message"], r["record_id"], r["url"]) for r in rows] == [(2, "OSError: gone", None, "http://s")]
+
+
 def test_run_report_is_one_json_document(spark, tmp_path):
     run = spark.sql("select timestamp'2026-01-01 00:00:00' start_time, timestamp'2026-01-01 00:00:01.5' end_time")
     repos = spark.createDataFrame(
