@@ -19,7 +19,7 @@ def dedup_urls(
     keys = list(keys)
     if mode == "drop":
         rest = [c for c in df.columns if c not in keys and c != seq]
-        first = df.groupBy(*keys).agg(F.min(F.struct(seq, *rest)).alias("__first"))
+        first = df.groupBy(*keys).agg(F.min_by(F.struct(seq, *rest), seq).alias("__first"))
         return first.select(*keys, "__first.*").select(*df.columns)
     if mode != "flag":
         raise ValueError(f"unknown mode: {mode}")

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheafline.functions.text import truthy
+from sheafline.functions.text import let, truthy
 from sheafline.operators.once import compute_once
 from sheafline.operators.scan import BLOCK_ROWS, blocked_row_number, ordinal_block
 from sheafline.schemas import OUTCOME_FIELDS
@@ -23,14 +23,17 @@ URLS_PER_MESSAGE = 1000
 
 def arc_identifier(arc_json: Column) -> Column:
     """Identifier of the root entity ``./`` in a JSON-LD graph; null when absent, empty or unreadable."""
-    doc = F.try_parse_json(arc_json)
-    items = F.try_variant_get(doc, "$['@graph']", "array<variant>")
-    root = F.get(F.filter(items, lambda x: F.try_variant_get(x, "$['@id']", "string") == "./"), F.lit(0))
-    listed = F.try_variant_get(root, "$.identifier", "array<variant>")
-    scalar = F.when(listed.isNull(), F.try_variant_get(root, "$.identifier", "string")).otherwise(
-        F.try_variant_get(F.get(listed, F.lit(0)), "$", "string")
-    )
-    return F.when(~scalar.isin("", "0", "false"), scalar)
+
+    def identifier(root: Column) -> Column:
+        listed = F.try_variant_get(root, "$.identifier", "array<variant>")
+        scalar = F.when(listed.isNull(), F.try_variant_get(root, "$.identifier", "string")).otherwise(
+            F.try_variant_get(F.get(listed, F.lit(0)), "$", "string")
+        )
+        return F.when(~scalar.isin("", "0", "false"), scalar)
+
+    items = F.try_variant_get(F.try_parse_json(arc_json), "$['@graph']", "array<variant>")
+    roots = F.filter(items, lambda x: F.try_variant_get(x, "$['@id']", "string") == "./")
+    return let(F.get(roots, F.lit(0)), identifier)
 
 
 def to_outcomes(df: DataFrame, **columns: Column) -> DataFrame:
