@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheafline.llm import chat, mixing, rules
+from sheafline.llm import chat, mixing, packing, quality, rules, secret_scan, toxicity
 from sheafline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +128,35 @@ def op7_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     return chat.read_back(chat.windows(turns))
+
+
+@register("op2_quality_classifier")
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; fold 2 of four is never learnt from, fold 3 calibrates."""
+    docs, fold = table(spark, sf_dir, "documents"), quality.fold_of(F.col("doc_id"), 4)
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), fold != 2, fold == 3)
+    scored = quality.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", (fold == 2).alias("held_out"), "score", "predicted")
+
+
+@register("op5_secret_scan")
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.scan(docs, secret_scan.fit(docs), keep_text=False)
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_random")
+
+
+@register("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; fold 1 of three is never learnt from."""
+    docs, fold = table(spark, sf_dir, "documents"), quality.fold_of(F.col("doc_id"), 3)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), fold != 1)
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", (fold == 1).alias("held_out"), "score", "predicted")
+
+
+@register("op6_packing")
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"))
