@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheafline.llm import chat, mixing, packing, quality, rules, secret_scan, toxicity
+from sheafline.llm import chat, mixing, packing, quality, rp_forest, rules, secret_scan, toxicity
 from sheafline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -160,3 +160,9 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@register("op1_embedding_forest")
+def op1_embedding_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all embeddings."""
+    return rp_forest.near_duplicates(table(spark, sf_dir, "embeddings"))

@@ -4,7 +4,7 @@ Two first-order Markov models over characters, one of random strings and one of
 every long token by the logarithm of their likelihood ratio per character. They are counted on labelled samples: the
 strings that the fixed patterns find in about ``SAMPLE_DOCS`` documents and seeded random strings of the usual
 alphabets are random; the other words of those documents and joins of them by ``_``, ``-`` and case are identifiers.
-The model is a table of 64 x 64 numbers.
+The model is a table of one number per pair of characters.
 
 Null text counts as empty. Offsets are code points, ends exclusive. Repeated rows get equal results; an empty table
 gives an empty result. Other columns pass through; clashing output columns are replaced.
@@ -26,7 +26,9 @@ SAMPLE_DOCS = 2_000
 SAMPLE_WORDS = 200
 MIN_TOKEN = 20
 #: Nats per character by which a token must be likelier under the model of random strings.
-MARGIN = 0.5
+MARGIN = 1.0
+#: A token of fewer different characters is filler, such as a rule of dashes.
+MIN_DIFFERENT = 8
 
 KINDS = ("assign", "access", "hex", "random")
 _ASSIGN = re.compile(
@@ -36,7 +38,7 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _TOKEN = re.compile(rf"[A-Za-z0-9+/_=-]{{{MIN_TOKEN},}}")
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
-_CODE = {c: i for i, c in enumerate(_ALPHABET)} | {"-": 62, "_": 63, "=": 63}
+_CODE = {c: i for i, c in enumerate(_ALPHABET + "-_=.")}
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -48,13 +50,13 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def coded(token: str) -> np.ndarray:
-    """Characters as numbers below 64."""
+    """Characters as numbers."""
     return np.array([_CODE[c] for c in token], np.int64)
 
 
 def transitions(tokens: list[str]) -> np.ndarray:
     """Smoothed log probabilities of the next character."""
-    counts = np.full((64, 64), 0.5)
+    counts = np.full((len(_CODE), len(_CODE)), 0.5)
     for token in tokens:
         c = coded(token)
         np.add.at(counts, (c[:-1], c[1:]), 1)
@@ -112,7 +114,7 @@ def all_spans(text: str, ratio: np.ndarray) -> list[tuple[int, int, int]]:
     taken = [(s, e) for s, _, e in found]
     for m in _TOKEN.finditer(text):
         s, e = m.span()
-        if any(a < e and s < b for a, b in taken):
+        if len(set(m.group())) < MIN_DIFFERENT or any(a < e and s < b for a, b in taken):
             continue
         c = coded(m.group())
         if ratio[c[:-1], c[1:]].mean() >= MARGIN:
@@ -132,7 +134,7 @@ def scan(docs: DataFrame, ratio: np.ndarray, text: str = "text", keep_text: bool
     """``docs`` with counts per kind, the digest of the base spans and all spans."""
     columns = [c for c in docs.columns if c not in _OUT]
     fields = [f for f in docs.select(*columns).schema.fields if keep_text or f.name != text]
-    schema = T.StructType(fields)
+    schema = T.StructType(list(fields))
     for name in _OUT[:4]:
         schema = schema.add(name, T.LongType())
     schema = schema.add("base_sha256", T.StringType()).add("spans", T.StringType())
@@ -148,7 +150,8 @@ def scan(docs: DataFrame, ratio: np.ndarray, text: str = "text", keep_text: bool
                 spans.append(rendered(found))
             kept = [batch.column(f.name) for f in fields]
             totals = [pa.array([c[k] for c in counts], pa.int64()) for k in range(4)]
-            yield pa.RecordBatch.from_arrays([*kept, *totals, pa.array(digests, pa.string()), pa.array(spans, pa.string())], names=schema.names)
+            texts = [pa.array(digests, pa.string()), pa.array(spans, pa.string())]
+            yield pa.RecordBatch.from_arrays([*kept, *totals, *texts], names=schema.names)
 
     return docs.select(*columns).mapInArrow(run, schema)
 
