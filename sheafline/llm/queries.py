@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheafline.llm import chat, mixing, packing, quality, rp_forest, rules, secret_scan, toxicity
+from sheafline.llm import chat, mixing, ngram_join, packing, quality, rp_forest, rules, secret_scan, toxicity
 from sheafline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,3 +166,9 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_embedding_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all embeddings."""
     return rp_forest.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@register("op10_ngram_join")
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose five-word shingle sets are at least 80 per cent similar."""
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
