@@ -1,18 +1,65 @@
-"""The corpus pipeline: quality classifier, n-gram Jaccard join, secret scans, source mix, packing."""
+"""The corpus pipeline over ``documents``: quality, near duplicates, secrets, source mix, packing.
+
+``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and returns the next stage's documents,
+the last one the pieces of the packed sequences.
+"""
 
 from __future__ import annotations
 
-from sheafline.llm import mixing
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sheafline.llm import mixing, ngram_join, packing, quality, secret_scan
+from sheafline.llm.common import stored, table
+
+#: A document goes if it is likelier to be of low quality.
+REJECT_BELOW = 0.5
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not reject; it is fitted and calibrated on the labelled ones."""
+    fold = quality.fold_of(F.col("doc_id"), 4)
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), fold != 2, fold == 3)
+    scored = quality.score(docs, model)
+    return scored.where(F.col("score") >= REJECT_BELOW).select(*docs.columns)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return ngram_join.one_of_each(docs)
+
+
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their secrets replaced, and ``n_chars`` as it is then."""
+    clean = secret_scan.redact(docs, secret_scan.fit(docs))
+    return clean.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
+
+
+def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixing.mixed(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the packed sequences."""
+    return packing.pack(docs)
+
 
-STAGES = [("mix", lambda spark, docs, sf_dir: mixing.mixed(docs))]
+STAGES = [
+    ("quality", quality_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("secrets", secret_stage),
+    ("mix", mix_stage),
+    ("packing", packing_stage),
+]
 
-#: SQL has neither the classifier nor the tokenizer.
+#: SQL has neither the classifier nor the tokenizer; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    """All stages over ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each stage's result is written and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir), name)
     return docs

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheafline.llm import chat, mixing, ngram_join, packing, quality, rp_forest, rules, secret_scan, toxicity
+from sheafline.llm import chat, license_scan, mixing, ngram_join, packing, quality, rp_forest, rules, secret_scan, toxicity
 from sheafline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -172,3 +172,48 @@ def op1_embedding_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose five-word shingle sets are at least 80 per cent similar."""
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+_TEMPLATE_ROWS = ", ".join(f"({k}, '{name}', '{notice}')" for k, (name, notice) in enumerate(license_scan.TEMPLATES))
+
+
+@register(
+    "op3_license_scan",
+    rf"""
+WITH d AS (SELECT doc_id, coalesce(source, '-') || '/' || coalesce(lang, '-') AS dir, coalesce(source, '-') AS top,
+                  coalesce(text, '') AS text, len({_WORDS}) <= 60 AS short FROM documents),
+l AS (SELECT * FROM (SELECT doc_id, dir, short, unnest(string_split(regexp_replace(text, '([.!?])\x20+', '\1' || chr(10), 'g'), chr(10))) AS line FROM d)
+      WHERE regexp_matches(line, '(?i)licen[cs]e|copyright|spdx')),
+n AS (SELECT count(*) AS total FROM l),
+tf AS (SELECT doc_id, dir, short, line, term, count(*) AS tf
+       FROM (SELECT row_number() OVER () AS r, *, unnest(regexp_extract_all(lower(line), '[a-z0-9]+')) AS term FROM (SELECT DISTINCT * FROM l))
+       GROUP BY ALL),
+dl AS (SELECT line, count(*) AS times FROM l GROUP BY line),
+lt AS (SELECT line, term, any_value(tf) AS tf FROM tf GROUP BY ALL),
+df AS (SELECT term, sum(times) AS df FROM lt JOIN dl USING (line) GROUP BY term),
+tp AS (SELECT k, license, term, count(*) AS tf FROM (
+         SELECT k, license, unnest(regexp_extract_all(lower(notice), '[a-z0-9]+')) AS term
+         FROM (VALUES {_TEMPLATE_ROWS}) AS v(k, license, notice)) GROUP BY ALL),
+tw AS (SELECT k, license, term, tf * (ln((1 + total) / (1 + coalesce(df, 0))) + 1) AS w FROM tp LEFT JOIN df USING (term), n),
+lw AS (SELECT line, term, tf * (ln((1 + total) / (1 + df)) + 1) AS w FROM lt JOIN df USING (term), n),
+tn AS (SELECT k, sqrt(sum(w * w)) AS norm FROM tw GROUP BY k),
+ln_ AS (SELECT line, sqrt(sum(w * w)) AS norm FROM lw GROUP BY line),
+cs AS (SELECT lw.line, license, sum(lw.w * tw.w) / (any_value(tn.norm) * any_value(ln_.norm)) AS cosine
+       FROM lw JOIN tw USING (term) JOIN tn USING (k) JOIN ln_ ON ln_.line = lw.line GROUP BY lw.line, k, license),
+best AS (SELECT line, arg_min(license, (-round(cosine, 9), license)) AS license, max(cosine) AS cosine
+         FROM cs GROUP BY line HAVING max(cosine) >= 0.6),
+f AS (SELECT l.*, license, cosine FROM l JOIN best USING (line)),
+own AS (SELECT doc_id, arg_min(license, (-round(cosine, 9), license)) AS license, max(cosine) AS cosine FROM f GROUP BY doc_id),
+fd AS (SELECT dir, arg_min(license, (-round(cosine, 9), license, dir || '/' || doc_id)) AS license FROM f WHERE short GROUP BY dir)
+SELECT d.doc_id, own.license, round(own.cosine, 4) AS cosine,
+       CASE WHEN own.license IS NULL THEN fd.license END AS inherited,
+       CASE WHEN own.license IS NULL AND fd.license IS NOT NULL THEN d.dir END AS inherited_from
+FROM d LEFT JOIN own USING (doc_id) LEFT JOIN fd ON fd.dir = d.dir
+""",
+)
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of every document, its own or its directory's; a document's path is source/lang/doc_id."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    folder = [F.coalesce(F.col(c), F.lit("-")) for c in ("source", "lang")]
+    found = license_scan.scan(docs, "doc_id", F.concat_ws("/", *folder, F.col("doc_id").cast("string")))
+    return found.select("doc_id", "license", F.round("cosine", 4).alias("cosine"), "inherited", "inherited_from")
