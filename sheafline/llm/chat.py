@@ -144,8 +144,9 @@ def windows(turns: DataFrame) -> DataFrame:
 
 def read_back(formatted: DataFrame) -> DataFrame:
     """Conversations restored from their windows alone, as digests: one row per conversation."""
-    pieces = F.slice(F.split("text", _END_RE), F.col("repeated") + 1, F.lit(2**31 - 2))
-    pieces = F.filter(pieces, lambda x: x != "")
+    every = F.split("text", _END_RE)
+    # The last piece is empty: a window ends with a marker.
+    pieces = F.slice(every, F.col("repeated") + 1, F.size(every) - 1 - F.col("repeated"))
     turns = F.transform(
         F.col("__pieces"),
         lambda x: F.concat(

@@ -36,6 +36,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand whole texts to Python in small Arrow batches, so that a worker's memory follows neither rows nor texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
 def release() -> None:
     """Let Spark drop shuffle files of finished steps: its cleaner acts when the objects that own them are collected."""
     from pyspark import SparkContext

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheafline.llm import textbytes as tb
-from sheafline.llm.common import stored
+from sheafline.llm.common import small_batches, stored
 
 WINDOW = 2048
 OPEN = 16
@@ -234,6 +234,7 @@ def merged(windows: DataFrame) -> DataFrame:
 
 def pack(docs: DataFrame, tokenizer: str | None = None, text: str = "text") -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+    small_batches(docs.sparkSession)
     placed = stored(pieces(docs, tokenizer, text), "pieces")
     unfilled = placed.where("open")
     moves = merged(unfilled.groupBy("window").agg(F.sum("length").alias("fill")))

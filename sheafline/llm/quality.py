@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sheafline.llm import textbytes as tb
+from sheafline.llm.common import small_batches
 
 FEATURES = 256
 FIT_ROWS = 20_000
@@ -130,7 +131,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, calibrate: Column) -
 
     Returns the model as a dictionary of small arrays: it has a fixed size.
     """
-    spark = docs.sparkSession
+    small_batches(docs.sparkSession)
     known = mean_labels(labels, "quality")
     chosen = docs.where(usable & drawn(docs, known.count())).select(
         "doc_id", "text", F.coalesce(calibrate, F.lit(False)).alias("held")
@@ -209,6 +210,7 @@ def predict(model: dict, stats: np.ndarray) -> np.ndarray:
 
 def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     """``docs`` with ``score`` and ``predicted``; scores use the text alone."""
+    small_batches(docs.sparkSession)
     columns = [c for c in docs.columns if c not in ("score", "predicted")]
     kept = docs.select(*columns)
     schema = T.StructType([*kept.schema.fields, T.StructField("score", T.DoubleType())])

@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sheafline.llm.common import small_batches
+
 SAMPLE_DOCS = 2_000
 #: Words of one sample document that count as identifiers, drawn by position; the sample is bounded by this.
 SAMPLE_WORDS = 200
@@ -72,6 +74,7 @@ def random_strings(seed: int = 11, count: int = 3_000) -> list[str]:
 
 def fit(docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS) -> np.ndarray:
     """Log-likelihood ratio of each pair of characters, random against ordinary."""
+    small_batches(docs.sparkSession)
     total = docs.count()
     share = min(1.0, sample_docs / max(total, 1))
     sample = docs.where(F.pmod(F.xxhash64(text), F.lit(1_000_000)) < int(share * 1_000_000) + 1).select(text)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sheafline.llm import textbytes as tb
-from sheafline.llm.common import stored
+from sheafline.llm.common import small_batches, stored
 from sheafline.llm.quality import THRESHOLD, drawn, mean_labels, pooled
 
 SLOTS = 1 << 18
@@ -76,6 +76,7 @@ def learn(z: np.ndarray, n: np.ndarray, texts: list[np.ndarray], y: np.ndarray)
 
 def fit(docs: DataFrame, labels: DataFrame, usable: Column, text: str = "text") -> dict:
     """Weights and intercept, fitted on documents for which ``usable`` holds."""
+    small_batches(docs.sparkSession)
     known = mean_labels(labels, "toxic")
     id_type = dict(docs.dtypes)["doc_id"]
 
