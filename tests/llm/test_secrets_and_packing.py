@@ -119,4 +119,6 @@ def test_pipeline(spark, sf_dir):
     assert max(repeats.values()) <= 3
     texts = encoded([r.text for r in mixed.collect()])
     assert packed.agg({"length": "sum"}).first()[0] == sum(map(len, texts))
-    assert cp.run(spark, sf_dir).count() == packed.count()
+    # How documents are cut follows the partitions; what is packed does not.
+    tokens = lambda df: {tuple(r) for r in df.groupBy("doc_id").agg({"length": "sum"}).collect()}
+    assert tokens(cp.run(spark, sf_dir)) == tokens(packed)
