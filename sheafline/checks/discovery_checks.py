@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sheafline.checks.base import HOST_SQL, check, s, spread_table, table
+from sheafline.operators.scan import arrival_ordinal
 from sheafline.operators import fetchlog
 from sheafline.operators.dedup import dedup_urls, duplicate_outcomes
 from sheafline.operators.scan import blocked_row_number, ordinal_block
@@ -87,7 +88,7 @@ def sitemap_tree(spark, d):
 _HITS = """
 w AS (SELECT lang, doc_id, string_split(text, ' ') AS w FROM documents),
 h AS (SELECT lang, doc_id, unnest(w) AS word, unnest(range(len(w))) AS pos FROM w),
-g AS (SELECT lang, word, doc_id * 1000000 + pos AS seq FROM h WHERE NOT regexp_matches(word, '^\\s*$'))"""
+g AS (SELECT lang, word, doc_id * 4294967296 + pos AS seq FROM h WHERE NOT regexp_matches(word, '^\\s*$'))"""
 
 
 def _search_pages(spark, d):
@@ -119,7 +120,7 @@ WITH {_HITS} SELECT lang AS rdi, min(seq) AS seq, word AS object_id, 'https://'
 )
 def solr_docs(spark, d):
     hits = SITEMAPS["mycore_solr"](_search_pages(spark, d))
-    numbered = hits.select("rdi", (F.col("batch") * 1_000_000 + F.col("pos")).alias("seq"), "object_id", "url")
+    numbered = hits.select("rdi", arrival_ordinal(F.col("batch"), F.col("pos")).alias("seq"), "object_id", "url")
     return dedup_urls(numbered, mode="drop")
 
 

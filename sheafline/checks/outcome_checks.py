@@ -40,8 +40,8 @@ o AS (SELECT user_id::VARCHAR AS rdi, event_id AS seq, {_KIND} AS kind,
 
 
 def _client_errors(spark, d):
-    """Expensive purchases as upload errors; a third name no known object."""
-    e = table(spark, d, "events").filter("event_type = 'purchase' AND value > 20")
+    """Purchases as upload errors; a third name no known object."""
+    e = table(spark, d, "events").filter("event_type = 'purchase'")
     return e.select(
         F.col("user_id").cast("string").alias("rdi"),
         F.col("event_id").alias("seq"),
@@ -54,7 +54,7 @@ def _client_errors(spark, d):
 _ERR = """
 e AS (SELECT user_id::VARCHAR AS rdi, event_id AS seq, CASE WHEN event_id % 2 = 0 THEN 'DUPLICATE' ELSE 'INVALID' END AS error_type,
              CASE WHEN event_id % 3 > 0 THEN 'arc-' || (event_id % 40) END AS arc_id, 'upload ' || props AS message
-      FROM events WHERE event_type = 'purchase' AND value > 20)"""
+      FROM events WHERE event_type = 'purchase')"""
 
 _COUNTS = """
 c AS (SELECT rdi, nullif(count(*) FILTER (kind = 'arc'), 0) AS harvested, nullif(count(*) FILTER (kind = 'error'), 0) AS failed,
@@ -111,10 +111,13 @@ def arc_url_list(spark, d):
 
 _ENRICHED = """
 u AS (SELECT rdi, arc_id, url, min(seq) AS first_seq FROM o WHERE kind = 'arc' AND url IS NOT NULL GROUP BY ALL),
-l AS (SELECT rdi, arc_id, count(*) AS n, string_agg(url, ', ' ORDER BY first_seq, url) AS urls FROM u GROUP BY ALL),
-m AS (SELECT e.rdi, e.seq, e.error_type, e.arc_id, 0 AS part,
-             message || CASE WHEN n IS NULL THEN '' WHEN n = 1 THEN ' — source URL: ' || urls ELSE ' — source URLs: ' || urls END AS message
-      FROM e LEFT JOIN l ON e.rdi = l.rdi AND e.arc_id = l.arc_id)"""
+l AS (SELECT rdi, arc_id, count(*) AS n FROM u GROUP BY ALL),
+m AS (SELECT e.rdi, e.seq, e.error_type, e.arc_id,
+             message || CASE WHEN n IS NULL THEN '' WHEN n = 1 THEN ' — source URL:' ELSE ' — source URLs:' END AS message,
+             coalesce(n, 0) AS n_urls
+      FROM e LEFT JOIN l ON e.rdi = l.rdi AND e.arc_id = l.arc_id),
+eu AS (SELECT e.rdi, e.seq, row_number() OVER (PARTITION BY e.rdi, e.seq ORDER BY first_seq, url) AS rn, url
+       FROM e JOIN u ON e.rdi = u.rdi AND e.arc_id = u.arc_id)"""
 
 
 @check("client_errors", "JN8", f"WITH {_OUT}, {_ERR}, {_ENRICHED} SELECT * FROM m")
@@ -122,10 +125,15 @@ def client_errors(spark, d):
     return outcomes.enrich_client_errors(_client_errors(spark, d), outcomes.arc_urls(_outcomes(spark, d)))
 
 
+@check("client_error_urls", "JN8", f"WITH {_OUT}, {_ERR}, {_ENRICHED} SELECT * FROM eu")
+def client_error_urls(spark, d):
+    return outcomes.error_urls(_client_errors(spark, d), outcomes.arc_urls(_outcomes(spark, d)))
+
+
 _FAILED = """
-f AS (SELECT rdi, 0 AS section, seq, 0 AS part, message || CASE WHEN record_id IS NOT NULL THEN ' (record_id=' || record_id || ')' ELSE '' END AS message,
-             record_id, CASE WHEN record_id IS NOT NULL THEN url END AS url FROM o WHERE kind = 'error'
-      UNION ALL SELECT rdi, 1, seq, part, message, arc_id, NULL FROM m)"""
+f AS (SELECT rdi, 0 AS section, seq, message || CASE WHEN record_id IS NOT NULL THEN ' (record_id=' || record_id || ')' ELSE '' END AS message,
+             record_id, CASE WHEN record_id IS NOT NULL THEN url END AS url, 0::BIGINT AS n_urls FROM o WHERE kind = 'error'
+      UNION ALL SELECT rdi, 1, seq, message, arc_id, NULL, n_urls FROM m)"""
 
 
 def _failed(spark, d):
@@ -180,8 +188,8 @@ WITH {_OUT}, {_ERR}, {_COUNTS}, {_ADJUSTED}, {_ENRICHED}, {_FAILED},
 r AS (SELECT a.*, rdi::BIGINT % 4 <> 1 AS started, (SELECT max(rdi::BIGINT) FROM a) = rdi::BIGINT AS last,
              rdi IN (SELECT rdi FROM f) AS has FROM a),
 t AS (SELECT min(ts) AS t0, max(ts) AS t1 FROM events),
-g AS (SELECT *, row_number() OVER (PARTITION BY rdi ORDER BY section, seq, part) = 1 AS first FROM f)
-SELECT -1::BIGINT AS repo_no, -1 AS section, 0::BIGINT AS seq, 0 AS part,
+g AS (SELECT *, row_number() OVER (PARTITION BY rdi ORDER BY section, seq) = 1 AS first FROM f)
+SELECT -1::BIGINT AS repo_no, -1 AS section, 0::BIGINT AS seq, 0::BIGINT AS part,
   '{{"@context":{{"@vocab":"https://schema.org/","schema":"https://schema.org/","harvest":"https://example.org/harvest/"}},"@type":"schema:Action","name":"Harvest Run","schema:startTime":"'
   || strftime(t0, '%Y-%m-%dT%H:%M:%S.%fZ') || '","schema:endTime":"' || strftime(t1, '%Y-%m-%dT%H:%M:%S.%fZ') || '","harvest:harvestDurationSeconds":' || 'S,"schema:result":[' AS line FROM t
 UNION ALL
@@ -189,15 +197,19 @@ SELECT rdi::BIGINT, -1, 0, 0, {_ROW_JSON} || CASE WHEN has THEN ',"harvest:faile
 UNION ALL
 SELECT rdi::BIGINT, 9, 0, 0, ']}}' || CASE WHEN last THEN '' ELSE ',' END FROM r WHERE has
 UNION ALL
-SELECT rdi::BIGINT, section, seq, part, CASE WHEN first THEN '' ELSE ',' END || '{{"harvest:message":"' || replace(message, '"', '\\"') || '"'
-  || CASE WHEN record_id IS NOT NULL THEN ',"harvest:recordId":"' || record_id || '"' ELSE '' END
-  || CASE WHEN url IS NOT NULL THEN ',"harvest:url":"' || url || '"' ELSE '' END || '}}' FROM g
+SELECT rdi::BIGINT, section, seq, 0, CASE WHEN first THEN '' ELSE ',' END || '{{"harvest:message":"' || replace(message, '"', '\\"')
+  || CASE WHEN n_urls > 0 THEN '' ELSE '"' || CASE WHEN record_id IS NOT NULL THEN ',"harvest:recordId":"' || record_id || '"' ELSE '' END
+  || CASE WHEN url IS NOT NULL THEN ',"harvest:url":"' || url || '"' ELSE '' END || '}}' END FROM g
+UNION ALL
+SELECT m.rdi::BIGINT, 1, m.seq, rn, url || CASE WHEN rn < n_urls THEN ',' ELSE '","harvest:recordId":"' || arc_id || '"}}' END
+FROM eu JOIN m ON m.rdi = eu.rdi AND m.seq = eu.seq
 UNION ALL SELECT 4611686018427387904, 9, 0, 0, ']}}'
 """,
 )
 def run_report(spark, d):
     run = table(spark, d, "events").agg(F.min("ts").alias("start_time"), F.max("ts").alias("end_time"))
-    lines = report.run_lines(run, _report_rows(spark, d), _failed(spark, d))
+    urls = outcomes.error_urls(_client_errors(spark, d), outcomes.arc_urls(_outcomes(spark, d)))
+    lines = report.run_lines(run, _report_rows(spark, d), _failed(spark, d), urls=urls)
     # The run length is a division of microseconds; its text is left out of the comparison.
     return lines.withColumn("line", F.regexp_replace("line", 'DurationSeconds":[0-9.E]+,', 'DurationSeconds":S,'))
 

@@ -28,7 +28,7 @@ def _doc_title():
 
 
 def _random_free(message):
-    return F.regexp_replace(message, "owslib_random_[0-9]+", "owslib_random_N")
+    return F.regexp_replace(message, "owslib_random_[0-9a-f]+", "owslib_random_N")
 
 
 _LEVELS = """CASE event_type WHEN 'click' THEN 'dataset' WHEN 'view' THEN 'Series' WHEN 'purchase' THEN 'nonGeographicDataset'
@@ -72,45 +72,59 @@ def validate_records(spark, d):
 
 
 def _responses(spark, d):
-    """One response per document: a good record, a second one that may lack its id, at times a broken one."""
+    """One response per document: a good, padded record and one that may lack its id.
+
+    At times an element that is closed at once, one that is never closed, or a comment with a start tag stands
+    between them, and a broken one at the end.
+    """
     docs = spread_table(spark, d, "documents")
     key = F.col("doc_id").cast("string")
     levels = F.element_at(F.array(s("dataset"), s("Series"), s("service"), s("")), (F.col("doc_id") % 4 + 1).cast("int"))
     first = iso_record(
         F.concat(s("doc/"), key),
-        _doc_title(),
-        F.col("text"),
-        keywords=F.array("lang", "source"),
-        language=F.col("lang"),
+        F.concat(s("\n  "), _doc_title(), s(" ")),
+        F.concat(F.col("text"), s("\n")),
+        keywords=F.array(F.concat(s(" "), "lang"), "source"),
+        language=F.concat(F.col("lang"), s(" ")),
         hierarchy=levels,
         code=F.concat(s("10.1/"), key),
         denominator=F.when(F.col("doc_id") % 10 == 9, "a lot").otherwise(F.col("n_chars").cast("string")),
         contact=F.concat_ws(" ", s("Ann"), "source"),
     )
+    at = lambda k, element: F.when(F.col("doc_id") % k == 0, element).otherwise("")
+    between = F.concat(at(2, "<!-- <gmd:MD_Metadata> -->"), at(7, "<gmd:MD_Metadata/>"), at(11, "<gmd:MD_Metadata><gmd:open>"))
     second = iso_record(F.when(F.col("doc_id") % 3 > 0, F.concat(s("b-"), key)), F.col("source"), F.col("lang"))
     broken = F.when(F.col("doc_id") % 5 == 0, "<gmd:MD_Metadata><gmd:open></gmd:MD_Metadata>").otherwise("")
     return docs.select(
         F.col("lang").alias("rdi"),
         F.col("doc_id").alias("batch"),
         s("https://csw.example.org/csw").alias("base_url"),
-        iso_response(F.col("n_chars"), first, second, broken).alias("body"),
+        iso_response(F.col("n_chars"), first, between, second, broken).alias("body"),
     )
 
 
+_SECOND = "1 + CAST(doc_id % 7 = 0 AS INT) + CAST(doc_id % 11 = 0 AS INT)"
+_BROKEN = f"""SELECT doc_id, 1 AS pos, true AS closed FROM documents WHERE doc_id % 7 = 0
+UNION ALL SELECT doc_id, 1 + CAST(doc_id % 7 = 0 AS INT), false FROM documents WHERE doc_id % 11 = 0
+UNION ALL SELECT doc_id, 1 + {_SECOND}, false FROM documents WHERE doc_id % 5 = 0"""
+
+
 @check(
     "iso_roundtrip",
     "SC1 PF8 PF9 FN33",
-    """
-SELECT doc_id AS batch, 0 AS pos, 'doc/' || doc_id AS record_id, source || ' ' || doc_id AS title, md5(text) AS abstract_md5, lang AS language,
+    f"""
+SELECT doc_id AS batch, 0 AS pos, 'doc/' || doc_id AS record_id, source || ' ' || doc_id AS title, md5(trim(text, chr(10) || ' ')) AS abstract_md5, lang AS language,
        lang || ',' || source AS keywords, CASE WHEN doc_id % 10 <> 9 THEN n_chars END AS denominator,
        CASE WHEN doc_id % 10 = 9 THEN 'Record has a scale denominator that is not a whole number.' END AS error
 FROM documents
 UNION ALL
-SELECT doc_id, 1, CASE WHEN doc_id % 3 > 0 THEN 'b-' || doc_id ELSE 'owslib_random_N' END, source, md5(lang), NULL, '', NULL,
+SELECT doc_id, {_SECOND}, CASE WHEN doc_id % 3 > 0 THEN 'b-' || doc_id ELSE 'owslib_random_N' END, source, md5(lang), NULL, '', NULL,
        CASE WHEN doc_id % 3 = 0 THEN 'Record owslib_random_N is missing a valid identifier (gmd:fileIdentifier).' END
 FROM documents
 UNION ALL
-SELECT doc_id, 2, 'owslib_random_N', NULL, NULL, NULL, '', NULL, 'Record is not well-formed XML.' FROM documents WHERE doc_id % 5 = 0
+SELECT doc_id, pos, 'owslib_random_N', NULL, NULL, NULL, '', NULL,
+       CASE WHEN closed THEN 'Record owslib_random_N is missing a valid identifier (gmd:fileIdentifier).'
+            ELSE 'Record is not well-formed XML.' END FROM ({_BROKEN})
 """,
 )
 def iso_roundtrip(spark, d):
@@ -131,9 +145,12 @@ def iso_roundtrip(spark, d):
     "iso_unpaged",
     "SC2 PF4",
     """
-SELECT lang AS rdi, count(*) * 2 + count(*) FILTER (doc_id % 5 = 0) AS elements,
+SELECT lang AS rdi,
+       count(*) * 2 + count(*) FILTER (doc_id % 5 = 0) + count(*) FILTER (doc_id % 7 = 0) + count(*) FILTER (doc_id % 11 = 0)
+         AS elements,
        count(*) FILTER (doc_id % 10 <> 9) + count(*) FILTER (doc_id % 3 > 0) AS good,
-       count(*) FILTER (doc_id % 3 = 0) + count(*) FILTER (doc_id % 5 = 0) AS nameless
+       count(*) FILTER (doc_id % 3 = 0) + count(*) FILTER (doc_id % 5 = 0) + count(*) FILTER (doc_id % 7 = 0)
+         + count(*) FILTER (doc_id % 11 = 0) AS nameless
 FROM documents GROUP BY 1
 """,
 )
@@ -159,13 +176,15 @@ SELECT doc_id AS batch, 0 AS pos, CASE WHEN doc_id % 10 = 9 THEN 'error' ELSE 'a
        CASE WHEN doc_id % 10 = 9 THEN 'Record has a scale denominator that is not a whole number.' END AS message
 FROM documents WHERE doc_id % 10 = 9 OR doc_id % 4 <> 2
 UNION ALL
-SELECT doc_id, 1, CASE WHEN doc_id % 3 = 0 THEN 'error' ELSE 'arc' END, CASE WHEN doc_id % 3 > 0 THEN 'b-' || doc_id END,
+SELECT doc_id, {_SECOND}, CASE WHEN doc_id % 3 = 0 THEN 'error' ELSE 'arc' END, CASE WHEN doc_id % 3 > 0 THEN 'b-' || doc_id END,
        CASE WHEN doc_id % 3 > 0 THEN 'https://csw.example.org/csw?service=CSW&version=2.0.2&request=GetRecordById&id=b-' || doc_id
             || '&outputSchema=http%3A%2F%2Fwww.isotc211.org%2F2005%2Fgmd&elementSetName=full' END,
        CASE WHEN doc_id % 3 = 0 THEN 'Record owslib_random_N is missing a valid identifier (gmd:fileIdentifier).' END
 FROM documents
 UNION ALL
-SELECT doc_id, 2, 'error', NULL, NULL, 'Record is not well-formed XML.' FROM documents WHERE doc_id % 5 = 0
+SELECT doc_id, pos, 'error', NULL, NULL,
+       CASE WHEN closed THEN 'Record owslib_random_N is missing a valid identifier (gmd:fileIdentifier).'
+            ELSE 'Record is not well-formed XML.' END FROM ({_BROKEN})
 """,
 )
 def record_to_arc(spark, d):

@@ -19,7 +19,8 @@ from sheafline.streaming import flows
     """
 SELECT lang AS rdi, 'arc' AS kind, count(*) FILTER (doc_id % 10 <> 9 AND doc_id % 4 <> 2) + count(*) FILTER (doc_id % 3 > 0) AS n FROM documents GROUP BY 1
 UNION ALL
-SELECT lang, 'error', count(*) FILTER (doc_id % 10 = 9) + count(*) FILTER (doc_id % 3 = 0) + count(*) FILTER (doc_id % 5 = 0) FROM documents GROUP BY 1
+SELECT lang, 'error', count(*) FILTER (doc_id % 10 = 9) + count(*) FILTER (doc_id % 3 = 0) + count(*) FILTER (doc_id % 5 = 0)
+       + count(*) FILTER (doc_id % 7 = 0) + count(*) FILTER (doc_id % 11 = 0) FROM documents GROUP BY 1
 """,
 )
 def stream_pages(spark, d):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,8 +24,11 @@ def dedup_urls(
         return first.select(*keys, "__first.*").select(*df.columns)
     if mode != "flag":
         raise ValueError(f"unknown mode: {mode}")
-    firsts = df.groupBy(*keys).agg(F.min(seq).alias(seq)).withColumn("__is_first", F.lit(True))
-    return df.join(firsts, [*keys, seq], "left").select(
+    firsts = df.groupBy(*keys).agg(F.min(seq).alias(seq))
+    firsts = firsts.select(*[F.col(c).alias(f"__f_{c}") for c in (*keys, seq)], F.lit(True).alias("__is_first"))
+    # Null keys are equal to each other, as they are when grouped.
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__f_{c}")) for c in (*keys, seq)])
+    return df.join(firsts, same, "left").select(
         *[F.col(c) for c in df.columns], F.col("__is_first").isNull().alias("is_duplicate")
     )
 

@@ -13,13 +13,10 @@ from pyspark.sql import functions as F
 
 from sheafline.functions.text import let, truthy
 from sheafline.operators.once import compute_once
-from sheafline.operators.scan import BLOCK_ROWS, blocked_row_number, ordinal_block
+from sheafline.operators.scan import BLOCK_ROWS, blocked_row_number, ordinal_block, ordinal_width
 from sheafline.schemas import OUTCOME_FIELDS
 from sheafline.session import cut_lineage
 
-#: Source URLs named in one message; further ones continue in further rows.
-URLS_PER_MESSAGE = 1000
-
 
 def arc_identifier(arc_json: Column) -> Column:
     """Identifier of the root entity ``./`` in a JSON-LD graph; null when absent, empty or unreadable."""
@@ -48,11 +45,6 @@ def union_sources(*parts: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def route(outcomes: DataFrame) -> dict[str, DataFrame]:
-    """One frame per kind over the same plan."""
-    return {kind: outcomes.filter(F.col("kind") == kind) for kind in ("arc", "error", "skip")}
-
-
 def harvest_counts(outcomes: DataFrame) -> DataFrame:
     """Counters per repository; harvested and failed stay null until the first such outcome."""
 
@@ -79,42 +71,36 @@ def arc_urls(outcomes: DataFrame) -> DataFrame:
     )
 
 
-def enrich_client_errors(
-    errors: DataFrame, urls: DataFrame, per_message: int = URLS_PER_MESSAGE
-) -> DataFrame:
-    """Upload errors with the source URLs of the object they name.
+def _urls_of_errors(errors: DataFrame, urls: DataFrame) -> DataFrame:
+    """The URLs of objects that some error names: few objects have errors, so the others drop out first."""
+    return urls.join(errors.select("rdi", "arc_id").distinct(), ["rdi", "arc_id"], "left_semi")
 
-    ``errors``: ``rdi, seq, error_type, arc_id, message``; ``urls`` as from :func:`arc_urls`. An object
-    with more than ``per_message`` URLs yields further rows (``part`` 1, 2, ...) with the next URLs, so no
-    list grows with the data and no URL is lost.
+
+def enrich_client_errors(errors: DataFrame, urls: DataFrame) -> DataFrame:
+    """Upload errors, one row each, with the number of source URLs of the object they name.
+
+    ``errors``: ``rdi, seq, error_type, arc_id, message``; ``urls`` as from :func:`arc_urls`. The message ends where
+    the list of URLs begins; the list itself stays a table, :func:`error_urls`, of any length.
     """
-    wanted = errors.select("rdi", "arc_id").distinct()
-    # Few objects have errors. Their URLs are written once, since finding them reads whole documents and
-    # the numbering reads them twice.
-    named = cut_lineage(urls.join(wanted, ["rdi", "arc_id"], "left_semi"))
+    counted = _urls_of_errors(errors, urls).groupBy("rdi", "arc_id").agg(F.count(F.lit(1)).alias("__n"))
+    n = F.coalesce("__n", F.lit(0)).cast("bigint")
+    lead = F.when(n == 1, F.lit(" — source URL:")).when(n > 1, F.lit(" — source URLs:")).otherwise(F.lit(""))
+    return errors.join(counted, ["rdi", "arc_id"], "left").select(
+        "rdi", "seq", "error_type", "arc_id", F.concat("message", lead).alias("message"), n.alias("n_urls")
+    )
+
+
+def error_urls(errors: DataFrame, urls: DataFrame) -> DataFrame:
+    """The URLs that belong to each error's message: ``rdi, seq, rn, url``, by first arrival."""
+    # Written once, since finding them reads whole documents and the numbering reads them twice.
+    named = cut_lineage(_urls_of_errors(errors, urls))
     ranked = blocked_row_number(
         named,
         ["rdi", "arc_id"],
         [F.col("first_seq"), F.col("url")],
-        ordinal_block(F.col("first_seq"), BLOCK_ROWS),
-    )
-    parts = (
-        ranked.withColumn("part", F.floor((F.col("rn") - 1) / F.lit(per_message)).cast("int"))
-        .groupBy("rdi", "arc_id", "part")
-        .agg(F.array_sort(F.collect_list(F.struct("rn", "url"))).alias("__urls"))
-    )
-    urls_of = F.transform("__urls", lambda u: u["url"])
-    single = (F.size("__urls") == 1) & (F.col("part") == 0)
-    text = F.when(F.col("__urls").isNull(), F.col("message")).otherwise(
-        F.concat(
-            F.col("message"),
-            F.when(single, F.lit(" — source URL: ")).otherwise(F.lit(" — source URLs: ")),
-            F.array_join(urls_of, ", "),
-        )
-    )
-    return errors.join(parts, ["rdi", "arc_id"], "left").select(
-        "rdi", "seq", "error_type", "arc_id", F.coalesce("part", F.lit(0)).alias("part"), text.alias("message")
+        ordinal_block(F.col("first_seq"), ordinal_width(named, "first_seq", BLOCK_ROWS)),
     )
+    return errors.select("rdi", "seq", "arc_id").join(ranked, ["rdi", "arc_id"]).select("rdi", "seq", "rn", "url")
 
 
 def apply_client_errors(counts: DataFrame, errors: DataFrame) -> DataFrame:
@@ -162,7 +148,7 @@ def finalize_counts(repos: DataFrame, counts: DataFrame) -> DataFrame:
 def failed_records(
     outcomes: DataFrame, enriched_errors: DataFrame | None = None, run_failures: DataFrame | None = None
 ) -> DataFrame:
-    """One row per failed record: ``rdi, section, seq, part, message, record_id, url``.
+    """One row per failed record: ``rdi, section, seq, message, record_id, url, n_urls``.
 
     Section 0 holds source errors in arrival order, section 1 upload errors, section 2 the failure of a whole
     repository (``rdi, message, url``), which adds a record but no count. The list stays a table: a repository
@@ -172,7 +158,6 @@ def failed_records(
         "rdi",
         F.lit(0).alias("section"),
         "seq",
-        F.lit(0).alias("part"),
         F.when(
             F.col("record_id").isNotNull(), F.concat("message", F.lit(" (record_id="), "record_id", F.lit(")"))
         )
@@ -180,6 +165,7 @@ def failed_records(
         .alias("message"),
         "record_id",
         F.when(F.col("record_id").isNotNull(), F.col("source_url")).alias("url"),
+        F.lit(0).cast("bigint").alias("n_urls"),
     )
     parts = [own]
     none = F.lit(None).cast("string")
@@ -189,10 +175,10 @@ def failed_records(
                 "rdi",
                 F.lit(1).alias("section"),
                 "seq",
-                "part",
                 "message",
                 F.col("arc_id").alias("record_id"),
                 none.alias("url"),
+                "n_urls",
             )
         )
     if run_failures is not None:
@@ -201,10 +187,10 @@ def failed_records(
                 "rdi",
                 F.lit(2).alias("section"),
                 F.lit(0).cast("bigint").alias("seq"),
-                F.lit(0).alias("part"),
                 "message",
                 none.alias("record_id"),
                 "url",
+                F.lit(0).cast("bigint").alias("n_urls"),
             )
         )
     return union_sources(*parts)

@@ -25,13 +25,24 @@ class Vocabulary:
     run_name: str = "Harvest Run"
 
 
-def _failed_struct(vocab: Vocabulary) -> Column:
+def _quoted(text: Column) -> Column:
+    """A text as a JSON string."""
+    return F.to_json(text.cast("variant"))
+
+
+def _failed_head(vocab: Vocabulary) -> Column:
+    """JSON of one failed record up to the end of its message, without the closing quote."""
+    return F.concat(F.lit(f'{{"{vocab.prefix}:message":'), F.regexp_replace(_quoted(F.col("message")), '"$', ""))
+
+
+def _failed_tail(vocab: Vocabulary) -> Column:
+    """The rest: closing quote, id and URL; an empty id or URL is left out."""
     p = vocab.prefix
-    return F.struct(
-        F.col("message").alias(f"{p}:message"),
-        truthy(F.col("record_id")).alias(f"{p}:recordId"),
-        truthy(F.col("url")).alias(f"{p}:url"),
-    )
+    given = [
+        F.when(truthy(F.col(c)).isNotNull(), F.concat(F.lit(f',"{p}:{name}":'), _quoted(F.col(c)))).otherwise("")
+        for c, name in (("record_id", "recordId"), ("url", "url"))
+    ]
+    return F.concat(F.lit('"'), *given, F.lit("}"))
 
 
 def repo_jsonld(vocab: Vocabulary = Vocabulary()) -> Column:
@@ -58,7 +69,7 @@ def repo_jsonld(vocab: Vocabulary = Vocabulary()) -> Column:
 
 def failed_record_jsonld(vocab: Vocabulary = Vocabulary()) -> Column:
     """JSON of one failed record; an empty id or URL is left out."""
-    return F.to_json(_failed_struct(vocab))
+    return F.concat(_failed_head(vocab), _failed_tail(vocab))
 
 
 def all_failed(repos: DataFrame) -> DataFrame:
@@ -69,18 +80,24 @@ def all_failed(repos: DataFrame) -> DataFrame:
 
 
 def run_lines(
-    run: DataFrame, repos: DataFrame, failed: DataFrame, vocab: Vocabulary = Vocabulary()
+    run: DataFrame,
+    repos: DataFrame,
+    failed: DataFrame,
+    vocab: Vocabulary = Vocabulary(),
+    urls: DataFrame | None = None,
 ) -> DataFrame:
     """The run report as rows ``repo_no, section, seq, part, line``; sorted by the first four it is one document.
 
     ``run``: one row ``start_time, end_time``. ``repos``: report rows plus ``repo_no``, the configured order.
     ``failed``: rows of :func:`sheafline.operators.outcomes.failed_records`. Both are read several times, so
-    they are written to the checkpoint folder once.
+    they are written to the shared folder once. ``urls``: rows of
+    :func:`sheafline.operators.outcomes.error_urls`; each is a line of its own inside the message of its record.
+    Lines are to be joined by single blanks.
     """
     p = vocab.prefix
     failed = cut_lineage(failed)
     counted = failed.groupBy("rdi").agg(
-        F.min(F.struct("section", "seq", "part")).alias("__first"), F.count(F.lit(1)).alias("__n_failed")
+        F.min(F.struct("section", "seq")).alias("__first"), F.count(F.lit(1)).alias("__n_failed")
     )
     repos = cut_lineage(repos)
     numbered = repos.join(counted, "rdi", "left")
@@ -116,7 +133,7 @@ def run_lines(
             repo_no.cast("bigint").alias("repo_no"),
             section.cast("int").alias("section"),
             seq.cast("bigint").alias("seq"),
-            part.cast("int").alias("part"),
+            part.cast("bigint").alias("part"),
             text.alias("line"),
         ]
 
@@ -142,12 +159,22 @@ def run_lines(
             F.col("repo_no"),
             F.col("section"),
             F.col("seq"),
-            F.col("part"),
+            lit(0),
             F.concat(
-                F.when(F.struct("section", "seq", "part") == F.col("__first"), lit("")).otherwise(lit(",")),
-                failed_record_jsonld(vocab),
+                F.when(F.struct("section", "seq") == F.col("__first"), lit("")).otherwise(lit(",")),
+                F.when(F.col("n_urls") > 0, _failed_head(vocab)).otherwise(failed_record_jsonld(vocab)),
             ),
         )
     )
+    if urls is not None:
+        listing = failed.where("section = 1 AND n_urls > 0").join(numbered.select("rdi", "repo_no"), "rdi")
+        listing = listing.select("rdi", "repo_no", "section", "seq", "n_urls", _failed_tail(vocab).alias("__tail"))
+        inner = F.regexp_replace(_quoted(F.col("url")), '^"|"$', "")
+        ending = F.when(F.col("rn") < F.col("n_urls"), lit(",")).otherwise(F.col("__tail"))
+        records = records.unionByName(
+            urls.join(listing, ["rdi", "seq"]).select(
+                *line(F.col("repo_no"), F.col("section"), F.col("seq"), F.col("rn"), F.concat(inner, ending))
+            )
+        )
     closing = run.select(*line(lit(2**62), lit(9), lit(0), lit(0), lit("]}")))
     return opening.unionByName(entries).unionByName(records).unionByName(closings).unionByName(closing)

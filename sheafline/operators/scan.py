@@ -3,12 +3,13 @@
 A plain window sends every row of a key to one task. Here a key's ordered rows are cut into
 blocks; the window runs inside a block, the block totals (a few rows per key) are accumulated
 separately, and the two are added. ``block`` must not decrease along ``order``; that makes the
-result equal to the plain window. Keys must not be null.
+result equal to the plain window. Rows with a null key are a group of their own, as in a window.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,6 +20,20 @@ _BLOCK = "__block"
 BLOCK_ROWS = 100_000
 
 
+#: Bits of an ordinal that hold the position within a body.
+_POSITION_BITS = 32
+
+
+def arrival_ordinal(batch: Column, pos: Column) -> Column:
+    """One number that orders entries by body, then by place in the body.
+
+    A place is an array index and so below 2^31; a body number outside 0 to 2^31 - 1 is an error, not a collision.
+    """
+    wrong = F.raise_error(F.concat(F.lit("Body number out of range: "), batch.cast("string"))).cast("bigint")
+    number = F.when((batch >= 0) & (batch < 2**31), batch.cast("bigint")).when(batch.isNotNull(), wrong)
+    return F.shiftleft(number, _POSITION_BITS) + pos
+
+
 def ordinal_block(col: Column, width: int = BLOCK_ROWS) -> Column:
     """Block number of a whole-number ordinal."""
     return F.floor(col / F.lit(width)).cast("bigint")
@@ -58,7 +73,9 @@ def blocked_scan(
         ],
     )
     scanned = blocked.select("*", *[agg[op](v).over(inside).alias(n) for n, (op, v) in running.items()])
-    joined = scanned.join(offsets, [*keys, _BLOCK], "left")
+    named = offsets.select(*[F.col(k).alias(f"__k_{k}") for k in (*keys, _BLOCK)], *[f"__o_{n}" for n in running])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in (*keys, _BLOCK)])
+    joined = scanned.join(named, same, "left")
     combined = {}
     for name, (op, _) in running.items():
         offset = F.col(f"__o_{name}")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheafline.operators.dedup import dedup_urls, duplicate_outcomes
+from sheafline.operators.scan import arrival_ordinal
 from sheafline.plans.graph_arc import graph_outcomes, map_graphs
 from sheafline.plans.record_arc import record_outcomes
 from sheafline.sources.iso import read_iso
@@ -63,7 +64,7 @@ MAPPERS.register("general")(map_graphs)
 def iso_source(landed: DataFrame) -> DataFrame:
     """Landed catalogue responses (``rdi, base_url, batch, body``) -> outcomes."""
     parsed = read_iso(landed.select("rdi", "base_url", "batch", "body"))
-    numbered = parsed.withColumn("seq", F.col("batch") * F.lit(1_000_000) + F.col("pos"))
+    numbered = parsed.withColumn("seq", arrival_ordinal(F.col("batch"), F.col("pos")))
     return record_outcomes(numbered, F.col("base_url"))
 
 

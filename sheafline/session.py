@@ -35,10 +35,11 @@ def built_once(name: str, build: Callable):
     A large expression costs thousands of round trips to the JVM; the built columns are immutable and serve
     every later plan.
     """
-    key = (name, id(SparkContext._gateway))
-    if key not in _BUILT:
-        _BUILT[key] = build()
-    return _BUILT[key]
+    gateway, column = _BUILT.get(name, (None, None))
+    if gateway is None or gateway is not SparkContext._gateway:
+        column = build()
+        _BUILT[name] = (SparkContext._gateway, column)
+    return column
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -71,8 +72,10 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and continue from the written copy."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """Write ``df`` to a new table in the shared folder and continue from the written copy.
+
+    A table, unlike an RDD checkpoint, keeps column pruning, filters and sizes for the plans that read it.
+    """
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from sheafline.functions.text import parse_float, parse_int, truthy, truthy_list
 from sheafline.operators.fallback import RANDOM_PREFIX
 from sheafline.schemas import CONTACT, RECORD_FIELDS
+from sheafline.operators.once import compute_once
 from sheafline.session import built_once
 
 _TEXT = "struct<CharacterString:string,Anchor:struct<_VALUE:string,_href:string>>"
@@ -74,8 +75,10 @@ RECORD_XML = (
     "pass:struct<Boolean:string>>>>>>>>>>, _corrupt_record string"
 )
 
-_XML_OPTIONS = {"ignoreNamespace": "true", "ignoreSurroundingSpaces": "false", "mode": "PERMISSIVE"}
-_RECORD_ELEMENT = r"(?s)<((?:[\w.-]+:)?MD_Metadata)(?=[\s>/]).*?</\1\s*>"
+_XML_OPTIONS = {"ignoreNamespace": "true", "ignoreSurroundingSpaces": "true", "mode": "PERMISSIVE"}
+_RECORD_START = r"<(?:[\w.-]+:)?MD_Metadata(?=[\s>/])"
+# A record up to its end tag, or an element that is closed at once.
+_RECORD_CLOSED = r"(?s)\A(<[^<>]*/>|.*</(?:[\w.-]+:)?MD_Metadata\s*>)"
 
 
 def _txt(t: Column) -> Column:
@@ -195,20 +198,43 @@ def all_tagged(metadata_contacts: Column, resource_contacts: Column) -> Column:
 # --- response -> records ---------------------------------------------------------------------
 
 
+def _opens(piece: Column, start: str, end: str) -> Column:
+    """Whether the last ``start`` of the text has no ``end`` behind it."""
+    return piece.contains(start) & ~F.substring_index(piece, start, -1).contains(end)
+
+
+def record_pieces(body: Column) -> Column:
+    """Every record element of a response as text, cut at each start tag outside comments and CDATA.
+
+    A record without end tag reaches to the next start tag, or to the end of the body, and so costs no neighbour.
+    """
+    cut = F.split(body, f"(?={_RECORD_START})")
+    # A start tag inside a comment or CDATA cuts a piece in two: what follows an open one is put back.
+    joined = F.aggregate(
+        cut,
+        F.array().cast("array<string>"),
+        lambda done, piece: F.when(
+            (F.size(done) > 0)
+            & (_opens(F.element_at(done, -1), "<!--", "-->") | _opens(F.element_at(done, -1), "<![CDATA[", "]]>")),
+            F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.concat(F.element_at(done, -1), piece))),
+        ).otherwise(F.concat(done, F.array(piece))),
+    )
+    pieces = F.when(body.contains("<!--") | body.contains("<![CDATA["), joined).otherwise(cut)
+    starts = F.filter(pieces, lambda p: p.rlike(rf"\A{_RECORD_START}"))
+    return F.transform(
+        starts, lambda p: F.coalesce(truthy(F.regexp_extract(p, _RECORD_CLOSED, 1)), p)
+    )
+
+
 def split_records(responses: DataFrame) -> DataFrame:
     """One row per record element of each landed response: the input columns, ``pos``, ``raw`` and ``x``.
 
-    Elements are parsed before they are exploded: what leaves a generator is never copied into the filters
-    and projections above it.
+    The body is cut first and each record parsed in a row of its own; what a generator emits is not copied into
+    the filters and projections above it, so a record is parsed once.
     """
-    pieces = F.regexp_extract_all(F.col("body"), F.lit(_RECORD_ELEMENT), F.lit(0))
-    parsed = F.transform(
-        pieces, lambda p: F.struct(p.alias("raw"), F.from_xml(p, RECORD_XML, _XML_OPTIONS).alias("x"))
-    )
     keep = [c for c in responses.columns if c != "body"]
-    return responses.select(*keep, F.posexplode(parsed).alias("pos", "piece")).select(
-        *keep, "pos", F.col("piece.raw").alias("raw"), F.col("piece.x").alias("x")
-    )
+    pieces = responses.select(*keep, F.posexplode(record_pieces(F.col("body"))).alias("pos", "raw"))
+    return compute_once(pieces, [*keep, "pos", "raw"], x=F.from_xml(F.col("raw"), RECORD_XML, _XML_OPTIONS))
 
 
 def page_header(body: Column) -> Column:
@@ -473,13 +499,19 @@ def parse_records(pieces: DataFrame) -> DataFrame:
     """Typed record columns plus ``record_id`` and ``error`` (null for a good record).
 
     ``pieces`` comes from :func:`split_records`; other columns pass through. An element without
-    identifier gets a placeholder built from its place in the response, stable across reruns.
+    identifier gets a placeholder built from its place in the response, or from its content where no place is
+    known: stable across reruns.
     """
     keep = [c for c in pieces.columns if c not in ("raw", "x")]
+    place = [F.col(c) for c in keep if c in ("rdi", "batch", "url", "pos")] if "pos" in keep else [F.col("x")]
     parsed = _with_parts(pieces)
-    typed = parsed.select(*keep, F.col("x._corrupt_record").alias("__bad"), *built_once("iso fields", lambda: _typed(_extract())))
-    place = F.abs(F.hash(*[F.col(c) for c in keep if c in ("rdi", "batch", "url", "pos")]))
-    key = F.coalesce("identifier", F.concat(F.lit(RANDOM_PREFIX), place.cast("string")))
+    typed = parsed.select(
+        *keep,
+        F.col("x._corrupt_record").alias("__bad"),
+        F.lower(F.hex(F.xxhash64(*place))).alias("__place"),
+        *built_once("iso fields", lambda: _typed(_extract())),
+    )
+    key = F.coalesce("identifier", F.concat(F.lit(RANDOM_PREFIX), F.col("__place")))
     error = F.when(F.col("__bad").isNotNull(), F.lit("Record is not well-formed XML.")).otherwise(
         F.coalesce(
             validation_error(key),
@@ -500,12 +532,19 @@ def read_iso(responses: DataFrame) -> DataFrame:
     return parse_records(split_records(responses))
 
 
-def read_iso_files(spark: SparkSession, path: str, rdi: str) -> DataFrame:
-    """Landed response files, one whole body per file; the file order is the page order."""
+def read_iso_files(spark: SparkSession, path: str, rdi: str, page: str = r"(\d+)\D*$") -> DataFrame:
+    """Landed response files, one whole body per file.
+
+    ``page`` finds the page number in a file's path, by default its last digits. A path without one is an error:
+    without page numbers neither page stops nor cuts mean anything.
+    """
     files = spark.read.format("binaryFile").load(path)
+    number = F.regexp_extract("path", page, 1)
     bodies = files.select(
         F.lit(rdi).alias("rdi"),
-        F.xxhash64("path").alias("batch"),
+        F.when(number != "", number.cast("bigint"))
+        .otherwise(F.raise_error(F.concat(F.lit("No page number in "), F.col("path"))).cast("bigint"))
+        .alias("batch"),
         F.col("path").alias("url"),
         F.decode("content", "utf-8").alias("body"),
     )

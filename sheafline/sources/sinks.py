@@ -31,10 +31,9 @@ def write_archive(records: DataFrame, path: str, mode: str = "overwrite") -> Non
 
 
 def write_report(lines: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Report lines in order: the part files, read in name order, are one JSON document."""
-    lines.orderBy("repo_no", "section", "seq", "part").select("line").write.mode(mode).text(path)
+    """Report lines in order: the part files, read in name order, are one JSON document.
 
-
-def write_outcomes(outcomes: DataFrame, path: str, mode: str = "append") -> None:
-    """The outcome table itself, for later reports."""
-    outcomes.write.mode(mode).partitionBy("rdi").parquet(path)
+    Lines are joined by blanks, since a message may go on in the next line.
+    """
+    ordered = lines.orderBy("repo_no", "section", "seq", "part").select("line")
+    ordered.write.mode(mode).option("lineSep", " ").text(path)

@@ -15,9 +15,6 @@ _ROOT = r"(?s)\A\s*(?:<\?.*?\?>\s*|<!--.*?-->\s*|<![^>]*>\s*)*<(?:[\w.-]+:)?([\w
 # Text of every location element at any depth, in any namespace, up to its first child element.
 _LOC = r"(?s)<(?:[\w.-]+:)?loc(?:\s[^>]*)?(?<!/)>((?:[^<]++|<!\[CDATA\[.*?\]\]>)*+)"
 
-#: A level with at most this many documents is sent to every executor instead of shuffling the edges.
-BROADCAST_FRONTIER_ROWS = 100_000
-
 
 def sitemap_root(body: Column) -> Column:
     """Local name of the root element; empty when there is none."""
@@ -73,8 +70,9 @@ def expand_sitemaps(roots: DataFrame, docs: DataFrame) -> DataFrame:
     """Documents reachable from each root through sitemap indexes: ``root, sitemap_url, depth``.
 
     One join round per level against the links of the index documents; a document already reached from
-    the same root is not visited again, so cycles and self-links end. Links and levels are written to the
-    checkpoint folder: XML is parsed once and lineage does not grow with the depth.
+    the same root is not visited again, so cycles and self-links end. Links and each level are written to the
+    shared folder once: XML is parsed once, lineage does not grow with the depth, and no level is rewritten.
+    Spark sends a level to every executor when its measured size is small.
     """
     links = cut_lineage(
         _locs(docs, "sitemapindex", ["sitemap_url"]).select("sitemap_url", F.col("loc").alias("child")).distinct()
@@ -82,24 +80,19 @@ def expand_sitemaps(roots: DataFrame, docs: DataFrame) -> DataFrame:
     frontier = cut_lineage(
         roots.select(F.col("root"), F.col("root").alias("sitemap_url"), F.lit(0).alias("depth")).distinct()
     )
-    reached = frontier
-    depth = 0
-    while True:
+    reached, depth = frontier, 0
+    while not frontier.isEmpty():
         depth += 1
-        step = frontier.select("root", "sitemap_url")
-        if frontier.count() <= BROADCAST_FRONTIER_ROWS:
-            step = F.broadcast(step)
         nxt = (
-            links.join(step, "sitemap_url")
+            links.join(frontier.select("root", "sitemap_url"), "sitemap_url")
             .select("root", F.col("child").alias("sitemap_url"))
             .distinct()
             .join(reached.select("root", "sitemap_url"), ["root", "sitemap_url"], "left_anti")
             .withColumn("depth", F.lit(depth))
         )
         frontier = cut_lineage(nxt)
-        if frontier.isEmpty():
-            return reached
-        reached = cut_lineage(reached.unionByName(frontier))
+        reached = reached.unionByName(frontier)
+    return reached
 
 
 def discover_sitemap_urls(roots: DataFrame, docs: DataFrame) -> DataFrame:

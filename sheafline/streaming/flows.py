@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sheafline.operators.dedup import dedup_urls
+from sheafline.operators.scan import arrival_ordinal
 from sheafline.plans.graph_arc import graph_outcomes
 from sheafline.plans.record_arc import record_outcomes
 from sheafline.sources.iso import read_iso
@@ -25,20 +26,28 @@ def stream_landed(spark: SparkSession, path: str, schema: str = LANDED, max_file
     return reader.parquet(path)
 
 
-def stream_bodies(spark: SparkSession, path: str) -> DataFrame:
-    """Raw response files as they arrive, one whole body per row: ``url, body``."""
-    return (
-        spark.readStream.format("text")
-        .option("wholetext", "true")
-        .load(path)
-        .select(F.col("_metadata.file_path").alias("url"), F.col("value").alias("body"))
+def stream_bodies(spark: SparkSession, path: str, rdi: str, base_url: str, page: str = r"(\d+)\D*$") -> DataFrame:
+    """Raw response files as they arrive, one whole body per row, ready for :func:`stream_record_outcomes`.
+
+    ``page`` finds the page number in a file's path; a path without one is an error.
+    """
+    raw = spark.readStream.format("text").option("wholetext", "true").load(path)
+    named = raw.select(F.col("_metadata.file_path").alias("url"), F.col("value").alias("body"))
+    number = F.regexp_extract("url", page, 1)
+    wrong = F.raise_error(F.concat(F.lit("No page number in "), F.col("url"))).cast("bigint")
+    return named.select(
+        F.lit(rdi).alias("rdi"),
+        F.lit(base_url).alias("base_url"),
+        F.when(number != "", number.cast("bigint")).otherwise(wrong).alias("batch"),
+        "url",
+        "body",
     )
 
 
 def stream_record_outcomes(landed: DataFrame) -> DataFrame:
     """Catalogue responses -> outcomes. Row-local, so a broken record costs one error row and no state."""
     parsed = read_iso(landed.select("rdi", "base_url", "batch", "body"))
-    return record_outcomes(parsed.withColumn("seq", F.col("batch") * 1_000_000 + F.col("pos")), F.col("base_url"))
+    return record_outcomes(parsed.withColumn("seq", arrival_ordinal(F.col("batch"), F.col("pos"))), F.col("base_url"))
 
 
 def stream_page_outcomes(landed: DataFrame) -> DataFrame:
@@ -96,7 +105,8 @@ def publish_into(out_path: str) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function that writes outcomes under their micro-batch; a replay overwrites itself."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").partitionBy("rdi").parquet(f"{out_path}/batch_id={batch_id}")
+        rebalanced = batch.hint("rebalance", "rdi")
+        rebalanced.write.mode("overwrite").partitionBy("rdi").parquet(f"{out_path}/batch_id={batch_id}")
 
     return handle
 

@@ -8,8 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from sheafline.checks.builders import full_contact, record_fields
-from sheafline.operators import fallback, fetchlog, outcomes, paging, report
-from sheafline.operators.dedup import dedup_urls
+from sheafline.operators import dedup, fallback, fetchlog, outcomes, paging, report, scan
+
 from sheafline.operators.scan import blocked_row_number, blocked_scan, ordinal_block, ordinal_width
 from sheafline.plans import record_arc as ra
 from sheafline.plans.registry import MAPPERS, SOURCES, Registry
@@ -62,13 +62,13 @@ def test_dedup_modes(spark):
     first = {}
     for _, seq, url, extra in rows:
         first.setdefault(url, (seq, extra))
-    dropped = {r["url"]: (r["seq"], r["extra"]) for r in dedup_urls(df, "drop").collect()}
+    dropped = {r["url"]: (r["seq"], r["extra"]) for r in dedup.dedup_urls(df, "drop").collect()}
     assert dropped == first
-    flagged = dedup_urls(df, "flag").collect()
+    flagged = dedup.dedup_urls(df, "flag").collect()
     assert len(flagged) == 40
     assert {r["seq"] for r in flagged if not r["is_duplicate"]} == {s for s, _ in first.values()}
     with pytest.raises(ValueError):
-        dedup_urls(df, "other")
+        dedup.dedup_urls(df, "other")
 
 
 @pytest.mark.parametrize("limit", [0, 1, 60, 10_000])
@@ -117,12 +117,12 @@ def test_counts_urls_and_errors(spark):
     adjusted = {r["rdi"]: (r["harvested"], r["failed"]) for r in outcomes.apply_client_errors(counts, errors).collect()}
     assert adjusted == {"a": (2, 4), "b": (None, 1)}
     urls = outcomes.arc_urls(out)
-    whole = {(r["rdi"], r["seq"]): r["message"] for r in outcomes.enrich_client_errors(errors, urls).collect()}
+    whole = {(r["rdi"], r["seq"]): (r["message"], r["n_urls"]) for r in outcomes.enrich_client_errors(errors, urls).collect()}
     assert whole == {
-        ("a", 1): "m1 — source URLs: http://u2, http://u1", ("a", 2): "m2 — source URL: http://u3", ("a", 3): "m3", ("c", 1): "m4",
+        ("a", 1): ("m1 — source URLs:", 2), ("a", 2): ("m2 — source URL:", 1), ("a", 3): ("m3", 0), ("c", 1): ("m4", 0),
     }
-    parts = outcomes.enrich_client_errors(errors, urls, per_message=1).filter("arc_id = 'd1'").orderBy("part").collect()
-    assert [(p["part"], p["message"][-9:]) for p in parts] == [(0, "http://u2"), (1, "http://u1")]
+    listed = sorted(tuple(r) for r in outcomes.error_urls(errors, urls).collect())
+    assert listed == [("a", 1, 1, "http://u2"), ("a", 1, 2, "http://u1"), ("a", 2, 1, "http://u3")]
     repos = spark.createDataFrame([("a", True), ("b", True), ("z", False)], "rdi string, harvest_started boolean")
     final = {r["rdi"]: (r["harvested"], r["failed"], r["skipped"]) for r in outcomes.finalize_counts(repos, counts).collect()}
     assert final == {"a": (4, 1, 1), "b": (0, 1, 0), "z": (None, None, 0)}
@@ -148,23 +148,42 @@ def test_run_report_is_one_json_document(spark, tmp_path):
         "rdi string, repo_no bigint, harvest_id string, duration_seconds double, expected bigint, harvested bigint, failed bigint, skipped bigint",
     )
     failed = spark.createDataFrame(
-        [("b", 0, 7, 0, 'say "no" ü', "r1", None), ("b", 1, 1, 0, "up", "", "http://u")],
-        "rdi string, section int, seq bigint, part int, message string, record_id string, url string",
+        [("b", 0, 7, 'say "no" ü', "r1", None, 0), ("b", 1, 1, "up", "", "http://u", 0), ("b", 1, 2, "x — source URLs:", "d", None, 1500)],
+        "rdi string, section int, seq bigint, message string, record_id string, url string, n_urls bigint",
     )
-    lines = report.run_lines(run, repos, failed, report.Vocabulary("ex", "https://ex/", "Run"))
+    urls = spark.range(1, 1501).selectExpr("'b' rdi", "2L seq", "id rn", "concat('http://u/', id) url")
+    lines = report.run_lines(run, repos, failed, report.Vocabulary("ex", "https://ex/", "Run"), urls)
     sinks.write_report(lines, str(tmp_path / "report"))
     text = "".join(p.read_text() for p in sorted((tmp_path / "report").glob("part-*")))
     doc = json.loads(text)
     assert doc["name"] == "Run" and doc["ex:harvestDurationSeconds"] == 1.5
     first, second = doc["schema:result"]
     assert first["name"] == "b" and first["ex:harvestId"] == "h" and first["schema:duration"] == "PT12.3S"
-    assert first["ex:failedRecords"] == [{"ex:message": 'say "no" ü', "ex:recordId": "r1"}, {"ex:message": "up", "ex:url": "http://u"}]
+    *two, long = first["ex:failedRecords"]
+    assert two == [{"ex:message": 'say "no" ü', "ex:recordId": "r1"}, {"ex:message": "up", "ex:url": "http://u"}]
+    assert long == {"ex:message": "x — source URLs: " + ", ".join(f"http://u/{k}" for k in range(1, 1501)), "ex:recordId": "d"}
     assert second == {"@type": "schema:EntryPoint", "name": "a", "identifier": "a", "schema:duration": "PT0S", "ex:harvestId": None, "ex:skippedDatasets": 0}
     assert report.all_failed(repos).collect()[0][0] is False
     assert report.all_failed(repos.filter("rdi = 'a'")).collect()[0][0] is True
     assert report.all_failed(repos.filter("rdi = 'x'")).collect()[0][0] is False
 
 
+def test_null_keys_are_one_group(spark):
+    rows = spark.createDataFrame([(None, k, "u" if k else None) for k in range(4)], "rdi string, seq bigint, url string")
+    numbered = scan.blocked_row_number(rows, ["rdi"], [F.col("seq")], scan.ordinal_block(F.col("seq"), 2))
+    assert sorted(r["rn"] for r in numbered.collect()) == [1, 2, 3, 4]
+    flagged = {r["seq"]: r["is_duplicate"] for r in dedup.dedup_urls(rows).collect()}
+    assert flagged == {0: False, 1: False, 2: True, 3: True}
+
+
+def test_ordinals_do_not_collide(spark):
+    given = spark.createDataFrame([(0, 2**31 - 2), (1, 0), (2**31 - 1, 5), (None, 1)], "batch bigint, pos int")
+    got = [r[0] for r in given.select(scan.arrival_ordinal(F.col("batch"), F.col("pos"))).collect()]
+    assert got[:2] == sorted(got[:2]) and got[2] == (2**31 - 1) * 2**32 + 5 and got[3] is None
+    with pytest.raises(Exception, match="out of range"):
+        given.select(scan.arrival_ordinal(F.col("batch") + 1, F.col("pos"))).collect()
+
+
 def test_robots(spark):
     rules = spark.createDataFrame(
         [("h", 0, "*", False, "/a", None), ("h", 1, "*", True, "/a/b", None), ("h", 2, "*", True, None, 4.0), ("e", 0, "*", False, "", None), ("n", 0, "bot", False, "/", None), ("n", 1, "*", True, "/", None)],

@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from sheafline.plans.graph_arc import graph_outcomes, map_graphs
@@ -182,12 +183,37 @@ def test_iso_response_keeps_raw_text_and_isolates_broken_records(spark):
     assert df.select(iso.page_header(F.col("body")).alias("m")).collect()[0]["m"] == 7
 
 
+@pytest.mark.parametrize(
+    "body,found",
+    [
+        ("<r><MD_Metadata><fileIdentifier>{good}</r>", [None, "id"]),
+        ("<r><g:MD_Metadata/>{good}</r>", [None, "id"]),
+        ("<r>{good}<MD_Metadata><fileId", ["id", None]),
+        ("<r><!-- <MD_Metadata> -->{good}<!-- </MD_Metadata> --></r>", ["id"]),
+        ("<r>{cdata}{good}<![CDATA[ <MD_Metadata/> ]]></r>", ["c<MD_Metadata>", "id"]),
+        ("<r/>", []),
+        (None, []),
+    ],
+)
+def test_iso_accounts_for_every_element(spark, body, found):
+    record = "<MD_Metadata><fileIdentifier><CharacterString>{}</CharacterString></fileIdentifier></MD_Metadata>"
+    parts = {"good": record.format("\n  id\n "), "cdata": record.format("<![CDATA[c<MD_Metadata>]]>")}
+    df = spark.createDataFrame([("r", 0, body and body.format(**parts))], "rdi string, batch bigint, body string")
+    assert [r["identifier"] for r in iso.read_iso(df).orderBy("pos").collect()] == found
+
+
 def test_iso_files(spark, tmp_path):
     body = "<r><MD_Metadata><fileIdentifier><CharacterString>a</CharacterString></fileIdentifier></MD_Metadata></r>"
     (tmp_path / "1.xml").write_text(body)
     (tmp_path / "2.xml").write_text(body.replace(">a<", ">b<"))
-    rows = iso.read_iso_files(spark, str(tmp_path), "r").select("identifier").collect()
-    assert sorted(r["identifier"] for r in rows) == ["a", "b"]
+    rows = iso.read_iso_files(spark, str(tmp_path), "r").select("identifier", "batch").collect()
+    assert sorted((r["identifier"], r["batch"]) for r in rows) == [("a", 1), ("b", 2)]
     dump = iso.read_iso_dump(spark.read, str(tmp_path), "r").select("identifier", "error").collect()
     assert sorted(r["identifier"] for r in dump) == ["a", "b"]
     assert all("missing a title" in r["error"] for r in dump)
+    (tmp_path / "3.xml").write_text("<r><MD_Metadata><dateStamp><Date>2020</Date></dateStamp></MD_Metadata><MD_Metadata/></r>")
+    placeholders = [r["record_id"] for r in iso.read_iso_dump(spark.read, str(tmp_path / "3.xml"), "r").collect()]
+    assert len(set(placeholders)) == 2
+    (tmp_path / "page.xml").write_text(body)
+    with pytest.raises(Exception, match="No page number"):
+        iso.read_iso_files(spark, str(tmp_path / "page.xml"), "r", r"/([0-9]+)[^/0-9]*$").collect()
