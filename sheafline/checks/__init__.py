@@ -2,7 +2,9 @@
 
 from sheafline.checks import (  # noqa: F401
     discovery_checks,
+    full_record_checks,
     graph_checks,
+    harvest_checks,
     outcome_checks,
     record_checks,
     scalar_checks,

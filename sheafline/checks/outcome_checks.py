@@ -450,7 +450,7 @@ def union_sources(spark, d):
     docs = spread_table(spark, d, "documents")
     record = iso_record(F.col("doc_id").cast("string"), F.col("source"), F.col("text"))
     landed_iso = docs.select(
-        s("docs").alias("rdi"), s("http://c/csw").alias("base_url"), F.col("doc_id").alias("batch"), iso_response(F.lit(1), record).alias("body")
+        s("docs").alias("rdi"), s("http://c/csw").alias("base_url"), F.col("doc_id").alias("batch"), iso_response(F.lit(10**9), record).alias("body")
     )
     landed_html = table(spark, d, "pages").select(
         s("web").alias("rdi"), F.col("page_id").alias("seq"), F.concat("url", s("#"), F.col("page_id").cast("string")).alias("url"), F.col("html").alias("body")

@@ -9,10 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheafline.operators.dedup import dedup_urls, duplicate_outcomes
-from sheafline.operators.scan import arrival_ordinal
 from sheafline.plans.graph_arc import graph_outcomes, map_graphs
-from sheafline.plans.record_arc import record_outcomes
-from sheafline.sources.iso import read_iso
+from sheafline.plans.harvest import harvest_catalogue
 from sheafline.sources.jsonld import block_graphs, page_blocks, page_graphs
 from sheafline.sources.sitemap import read_urlset
 from sheafline.sources.solr import solr_docs
@@ -54,18 +52,34 @@ SITEMAPS = Registry("sitemap type")
 DATASETS = Registry("dataset type")
 MAPPERS = Registry("payload type")
 
-SITEMAPS.register("xml")(read_urlset)
-SITEMAPS.register("mycore_solr")(solr_docs)
+
+
+def _first_of_each(found: DataFrame, order: list[str]) -> DataFrame:
+    """The first row of each URL, within its repository where there is one."""
+    keys = ["rdi", "url"] if "rdi" in found.columns else ["url"]
+    return dedup_urls(found.withColumn("__at", F.struct(*order)), mode="drop", keys=keys, seq="__at").drop("__at")
+
+
+@SITEMAPS.register("xml")
+def xml_urls(docs: DataFrame) -> DataFrame:
+    """Distinct locations of XML URL sets (``sitemap_url, body``)."""
+    return _first_of_each(read_urlset(docs), ["sitemap_url", "pos"])
+
+
+@SITEMAPS.register("mycore_solr")
+def solr_urls(pages: DataFrame) -> DataFrame:
+    """Distinct landing pages of search hits (``rdi, batch, url, body``)."""
+    return _first_of_each(solr_docs(pages), ["batch", "pos"])
+
+
 DATASETS.register("html_jsonld")(page_graphs)
 MAPPERS.register("general")(map_graphs)
 
 
 @SOURCES.register("iso")
 def iso_source(landed: DataFrame) -> DataFrame:
-    """Landed catalogue responses (``rdi, base_url, batch, body``) -> outcomes."""
-    parsed = read_iso(landed.select("rdi", "base_url", "batch", "body"))
-    numbered = parsed.withColumn("seq", arrival_ordinal(F.col("batch"), F.col("pos")))
-    return record_outcomes(numbered, F.col("base_url"))
+    """Landed catalogue responses (``rdi, base_url, batch, body``) -> outcomes; pages up to the announced total."""
+    return harvest_catalogue(landed)
 
 
 @SOURCES.register("html_jsonld")
