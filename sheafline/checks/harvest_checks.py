@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 from sheafline.checks.base import check, s, table
 from sheafline.checks.graph_checks import _dataset_pages
 from sheafline.checks.record_checks import _responses
+from sheafline.operators.outcomes import finalize_counts, harvest_counts
+from sheafline.operators.paging import expected_count_catalogue
+from sheafline.operators.report import repo_jsonld, with_expected
+from sheafline.operators.scan import arrival_ordinal
 from sheafline.plans.harvest import harvest_catalogue, harvest_sitemap
+from sheafline.plans.record_arc import record_outcomes
+from sheafline.sources.iso import page_header, read_iso
 
 _LIMIT = 60
 
@@ -93,3 +99,27 @@ def harvest_sitemap_run(spark, d):
     out = harvest_sitemap(roots, indexes.unionByName(sets), landed)
     lost = F.coalesce(F.col("message").startswith("No page was landed"), F.lit(False))
     return out.select("rdi", "source_url", "kind", lost.alias("lost"))
+
+
+@check(
+    "expected_report",
+    "AG8 AG9 FN44 AG1 AG3",
+    """
+WITH n AS (SELECT lang AS rdi, count(*) FILTER (doc_id % 10 <> 9 AND doc_id % 4 <> 2) + count(*) FILTER (doc_id % 3 > 0) AS ok,
+                  count(*) FILTER (doc_id % 10 = 9) + count(*) FILTER (doc_id % 3 = 0) + count(*) FILTER (doc_id % 5 = 0)
+                  + count(*) FILTER (doc_id % 7 = 0) + count(*) FILTER (doc_id % 11 = 0) AS bad, max(n_chars) AS expected
+           FROM documents GROUP BY 1)
+SELECT rdi, '{"@type":"schema:EntryPoint","name":"' || rdi || '","identifier":"' || rdi || '","schema:duration":"PT1S","harvest:harvestedDatasets":'
+       || ok || ',"harvest:harvestId":"h","harvest:expectedDatasets":' || expected || ',"harvest:skippedDatasets":0,"harvest:failedDatasets":'
+       || bad || '}' AS json FROM n
+""",
+)
+def expected_report(spark, d):
+    landed = _responses(spark, d)
+    parsed = read_iso(landed).withColumn("seq", arrival_ordinal(F.col("batch"), F.col("pos")))
+    counts = harvest_counts(record_outcomes(parsed, F.col("base_url")))
+    repos = landed.select("rdi").distinct().withColumn("harvest_started", F.lit(True))
+    header = page_header(F.col("body")).cast("string").alias("matches_text")
+    announced = expected_count_catalogue(landed.select("rdi", header))
+    rows = with_expected(finalize_counts(repos, counts), announced)
+    return rows.withColumns({"harvest_id": s("h"), "duration_seconds": F.lit(1.0)}).select("rdi", repo_jsonld().alias("json"))

@@ -7,6 +7,7 @@ one cell: written in order, the lines form one JSON document of any size.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -72,6 +73,12 @@ def failed_record_jsonld(vocab: Vocabulary = Vocabulary()) -> Column:
     return F.concat(_failed_head(vocab), _failed_tail(vocab))
 
 
+def with_expected(repos: DataFrame, *announced: DataFrame) -> DataFrame:
+    """Report rows with ``expected`` from tables of announced totals (``rdi, expected``); unknown stays null."""
+    totals = reduce(lambda a, b: a.unionByName(b), announced).groupBy("rdi").agg(F.max("expected").alias("expected"))
+    return repos.drop("expected").join(totals, "rdi", "left")
+
+
 def all_failed(repos: DataFrame) -> DataFrame:
     """One row: true when there are repositories and none got a harvest id."""
     return repos.agg(

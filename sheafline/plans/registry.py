@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from sheafline.operators.dedup import dedup_urls, duplicate_outcomes
 from sheafline.plans.graph_arc import graph_outcomes, map_graphs
 from sheafline.plans.harvest import harvest_catalogue
+from sheafline.schemas import OUTCOME
 from sheafline.sources.jsonld import block_graphs, page_blocks, page_graphs
 from sheafline.sources.sitemap import read_urlset
 from sheafline.sources.solr import solr_docs
@@ -107,6 +108,30 @@ def run_sources(landed: dict[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def run_isolated(landed: dict[str, DataFrame], path: str) -> tuple[DataFrame, DataFrame]:
+    """Outcomes written source by source below ``path``, and the sources whose whole run failed.
+
+    A source that fails while it is planned or run leaves nothing behind but a row ``rdi, message, url`` per
+    repository, as ``failed_records`` takes them; the others are not affected.
+    """
+    spark = next(iter(landed.values())).sparkSession
+    outcomes = spark.createDataFrame([], OUTCOME)
+    failures = spark.createDataFrame([], "rdi string, message string, url string")
+    for kind, df in landed.items():
+        if kind not in SOURCES:
+            continue
+        target = f"{path.rstrip('/')}/source_type={kind}"
+        try:
+            SOURCES[kind](df).write.parquet(target)
+        except Exception as error:  # whatever a source raises is its own failure, not that of the run
+            said = F.lit(f"{type(error).__name__}: {str(error).splitlines()[0][:500]}")
+            lost = df.select("rdi").distinct().select("rdi", said.alias("message"), F.lit(None).cast("string").alias("url"))
+            failures = failures.unionByName(lost)
+        else:
+            outcomes = outcomes.unionByName(spark.read.schema(OUTCOME).parquet(target))
+    return outcomes, failures
+
+
 def repository_rows(repos: DataFrame) -> DataFrame:
     """Mark which configured repositories (``rdi, source_type, ...``) can start at all."""
     return repos.withColumn("harvest_started", F.col("source_type").isin(*SOURCES.keys()))

@@ -184,23 +184,27 @@ _ARROW_READ = pa.struct(
 )
 
 
+#: Pages whose parsed graphs exist as Python objects at the same time; an Arrow batch is read in such steps.
+PAGES_AT_ONCE = 100
+
+
+def _graph_row(url: str | None, texts: list[str] | None) -> dict:
+    graph, error = read_page_graph(url or "", texts or [])
+    if graph is None:
+        return {"graph": None, "error": error}
+    subjects = [
+        (s, [(p, [{"kind": k, "o": o} for k, o in objects]) for p, objects in props.items()]) for s, props in graph.items()
+    ]
+    return {"graph": subjects, "error": error}
+
+
 @F.arrow_udf(_READ_TYPE)
 def _read_graphs(urls: pa.Array, blocks: pa.Array) -> pa.Array:
-    rows = []
-    for url, texts in zip(urls.to_pylist(), blocks.to_pylist(), strict=True):
-        graph, error = read_page_graph(url or "", texts or [])
-        rows.append(
-            {
-                "graph": None
-                if graph is None
-                else [
-                    (s, [(p, [{"kind": k, "o": o} for k, o in objects]) for p, objects in props.items()])
-                    for s, props in graph.items()
-                ],
-                "error": error,
-            }
-        )
-    return pa.array(rows, type=_ARROW_READ)
+    done = []
+    for start in range(0, len(urls), PAGES_AT_ONCE):
+        step = zip(urls.slice(start, PAGES_AT_ONCE), blocks.slice(start, PAGES_AT_ONCE), strict=True)
+        done.append(pa.array([_graph_row(u.as_py(), b.as_py()) for u, b in step], type=_ARROW_READ))
+    return pa.concat_arrays(done) if done else pa.array([], type=_ARROW_READ)
 
 
 # Nondeterministic only so that the optimizer never copies the call into filters above it.

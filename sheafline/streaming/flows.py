@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -69,34 +69,42 @@ def stream_counts(outcomes: DataFrame) -> DataFrame:
     )
 
 
+#: Folders of URL hashes in the seen table.
+SEEN_BUCKETS = 256
+
+
 def flag_duplicates_into(out_path: str, seen_path: str) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function that flags repeats instead of dropping them.
 
-    First sightings go to a seen table with one folder per micro-batch, read back without the current
-    one; a replayed batch overwrites its own folders, so the result does not change.
+    First sightings go to a seen table, one folder per hash bucket and micro-batch; a micro-batch reads the buckets
+    of its own URLs only. A replayed batch overwrites its own folders, so the result does not change.
     """
 
+    def bucket() -> Column:
+        return F.pmod(F.xxhash64("rdi", "url"), F.lit(SEEN_BUCKETS)).cast("int")
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         columns = ["rdi", "seq", "url"]
         flagged = dedup_urls(batch.select(*columns), mode="flag")
         if batch_id > 0:
+            touched = [row[0] for row in batch.select(bucket()).distinct().collect()]
             earlier = (
-                spark.read.schema("rdi string, url string, batch_id bigint")
+                spark.read.schema("rdi string, url string, bucket int, batch_id bigint")
                 .parquet(seen_path)
-                .filter(F.col("batch_id") < batch_id)
-                .select("rdi", "url")
+                .filter((F.col("batch_id") < batch_id) & F.col("bucket").isin(touched))
+                .select(F.col("rdi").alias("__rdi"), F.col("url").alias("__url"))
                 .distinct()
                 .withColumn("__seen", F.lit(True))
             )
-            flagged = flagged.join(earlier, ["rdi", "url"], "left").select(
+            same = F.col("rdi").eqNullSafe(F.col("__rdi")) & F.col("url").eqNullSafe(F.col("__url"))
+            flagged = flagged.join(earlier, same, "left").select(
                 *columns, (F.col("is_duplicate") | F.col("__seen").isNotNull()).alias("is_duplicate")
             )
         flagged.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
         flagged_back = spark.read.parquet(f"{out_path}/batch_id={batch_id}")
-        flagged_back.filter(~F.col("is_duplicate")).select("rdi", "url").write.mode("overwrite").parquet(
-            f"{seen_path}/batch_id={batch_id}"
-        )
+        first = flagged_back.filter(~F.col("is_duplicate")).select("rdi", "url", bucket().alias("bucket"))
+        first.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{seen_path}/batch_id={batch_id}")
 
     return handle
 

@@ -12,6 +12,7 @@ from sheafline.operators import dedup, fallback, fetchlog, outcomes, paging, rep
 
 from sheafline.operators.scan import blocked_row_number, blocked_scan, ordinal_block, ordinal_width
 from sheafline.plans import record_arc as ra
+from sheafline.plans import registry
 from sheafline.plans.registry import MAPPERS, SOURCES, Registry
 from sheafline.sources import iso, robots, sinks
 from sheafline.streaming import flows
@@ -267,3 +268,25 @@ def test_stream_flag_is_idempotent_per_batch(spark, tmp_path):
     for row in out:
         flags[row["is_duplicate"]].append(row["seq"])
     assert sorted(flags[False]) == [1, 3, 5] and sorted(flags[True]) == [2, 4]
+
+
+def test_a_failing_source_is_a_row(spark, tmp_path):
+    body = "<r><MD_Metadata><fileIdentifier><CharacterString>a</CharacterString></fileIdentifier></MD_Metadata></r>"
+    schema = "rdi string, base_url string, batch bigint, body string"
+    bad = spark.createDataFrame([("x", "http://c", -1, body), ("x", "http://c", -2, body)], schema)
+    page = '<script type="application/ld+json">{"@context":"https://schema.org/","@type":"Dataset","name":"n"}</script>'
+    good = spark.createDataFrame([("w", 0, "http://p", page)], "rdi string, seq bigint, url string, body string")
+    out, failures = registry.run_isolated({"iso": bad, "html_jsonld": good, "ftp": bad}, str(tmp_path))
+    assert [(r["rdi"], r["kind"]) for r in out.collect()] == [("w", "arc")]
+    assert [r["rdi"] for r in failures.collect()] == ["x"]
+
+
+def test_raw_files_stream_into_outcomes(spark, tmp_path):
+    for page, ident in ((1, "a"), (2, "b")):
+        record = f"<MD_Metadata><fileIdentifier><CharacterString>{ident}</CharacterString></fileIdentifier></MD_Metadata>"
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / "in" / f"page-{page}.xml").write_text(f"<r>{record}</r>")
+    stream = flows.stream_record_outcomes(flows.stream_bodies(spark, str(tmp_path / "in"), "r", "http://c"))
+    flows.run_available(stream, flows.publish_into(str(tmp_path / "out")), str(tmp_path / "state"))
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted((r["rdi"], r["seq"] >> 32, r["record_id"]) for r in rows) == [("r", 1, "a"), ("r", 2, "b")]
