@@ -47,7 +47,7 @@ base AS (
   FROM d LEFT JOIN cov USING (doc_id)),
 failed AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND NOT (100 * n_symbols > 20 * n_words) AND NOT (100 * n_dup_lines > 30 * n_lines)
+       NOT base_failed AND NOT (100 * n_symbols > 20 * n_words) AND NOT (100 * n_dup_lines > 60 * n_lines)
        AND NOT (word_chars < 2 * n_words OR word_chars > 15 * n_words)
        AND NOT (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 40 * word_chars) AS kept
 FROM failed

@@ -87,7 +87,7 @@ def default_rules(text: str = "text") -> list[Rule]:
         Rule("few_words", F.col("n_words") < 50),
         Rule("repeated_windows", 100 * F.col("n_repeat_words") > 50 * F.col("n_words")),
         Rule("symbols", 100 * F.col("n_symbols") > 20 * F.col("n_words")),
-        Rule("repeated_lines", 100 * F.col("n_dup_lines") > 30 * F.col("n_lines")),
+        Rule("repeated_lines", 100 * F.col("n_dup_lines") > 60 * F.col("n_lines")),
         Rule(
             "word_length",
             (F.col("word_chars") < 2 * F.col("n_words")) | (F.col("word_chars") > 15 * F.col("n_words")),
