@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from samples import awkward, empty
 
-from sheafline.llm import ngram_join
+from sheafline.llm import common, ngram_join
 
 
 def shingle_set(text):
@@ -53,9 +53,11 @@ def corpus():
     return [(i, " ".join(w)) for i, w in enumerate(docs)]
 
 
-@pytest.mark.parametrize("group", [2, 16])
-def test_groups(spark, monkeypatch, group):
+@pytest.mark.parametrize("group,broadcast", [(2, 500_000), (2, 0), (16, 500_000)])
+def test_groups(spark, monkeypatch, group, broadcast):
     monkeypatch.setattr(ngram_join, "GROUP", group)
+    monkeypatch.setattr(ngram_join, "BROADCAST_IDS", broadcast)
+    monkeypatch.setattr(common, "BROADCAST_IDS", broadcast)
     monkeypatch.setattr(ngram_join, "BLOCK", 16)
     monkeypatch.setattr(ngram_join, "CHUNK", 8)
     docs = corpus()
