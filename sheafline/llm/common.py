@@ -51,11 +51,11 @@ def release() -> None:
         SparkContext._jvm.System.gc()
 
 
-def matching(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """Rows of ``df`` whose key is among ``ids`` (one column, distinct, materialised by the caller).
+def matching(df: DataFrame, ids: DataFrame, key: str, how: str = "left_semi") -> DataFrame:
+    """Rows of ``df`` whose key is among ``ids`` (one column, distinct, materialised by the caller), or is not.
 
     The ids are counted: up to ``BROADCAST_IDS`` of them are broadcast, so that wide rows do not move; more are
     joined by shuffle.
     """
     few = ids.count() <= BROADCAST_IDS
-    return df.join(F.broadcast(ids) if few else ids, key, "left_semi")
+    return df.join(F.broadcast(ids) if few else ids, key, how)

@@ -147,7 +147,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, calibrate: Column) -
                 )
 
     measured = chosen.mapInArrow(measure, f"doc_id {dict(chosen.dtypes)['doc_id']}, held boolean, stats array<double>")
-    rows = measured.join(known, "doc_id").select("held", "y", "stats").coalesce(FIT_PARTITIONS).persist()
+    rows = measured.join(known, "doc_id").select("held", "y", "stats").repartition(FIT_PARTITIONS).persist()
     try:
         held = rows.agg(F.sum(F.col("held").cast("int")), F.count(F.lit(1)), F.avg("y"), F.min("y"), F.max("y")).first()
         n_held, n, share, low, high = held[0] or 0, held[1], held[2], held[3], held[4]
