@@ -35,6 +35,8 @@ OPEN = 16
 END_ID = 1
 MERGE_WINDOWS = 4_096
 TOKENIZER = "word_bpe_49k.json"
+#: Bytes of text tokenised at once: new words are merged into the table once per run.
+RUN_BYTES = 2 << 20
 #: Words remembered by a worker before it starts afresh; about 60 bytes each.
 WORDS = 1_500_000
 
@@ -175,7 +177,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, text: str = "text") ->
         waiting: dict[int, list[tuple]] = {}
         for batch in batches:
             names = batch.column("doc_id").to_pylist()
-            for a, b, buf, off in tb.runs(batch.column(text)):
+            for a, b, buf, off in tb.runs(batch.column(text), RUN_BYTES):
                 ids, counts = table.of_run(buf, off)
                 ends = np.cumsum(counts)
                 done = []

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-RUN_BYTES = 2 << 20
+RUN_BYTES = 1 << 19
 SEGMENT_BYTES = 1 << 18
 
 GAP = np.zeros(256, dtype=bool)
@@ -24,8 +24,8 @@ _LETTER = np.random.default_rng(7).integers(1, 2**63, 256, dtype=np.uint64) * np
 _POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def runs(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, bytes, offsets) of each run; null counts as empty."""
+def runs(column: pa.Array, size: int = RUN_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, bytes, offsets) of each run of about ``size`` bytes; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.cast(pa.large_string()).fill_null("")
@@ -36,7 +36,7 @@ def runs(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     buf = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     row = 0
     while row < len(column):
-        end = max(row + 1, int(np.searchsorted(off, off[row] + RUN_BYTES, "right")) - 1)
+        end = max(row + 1, int(np.searchsorted(off, off[row] + size, "right")) - 1)
         yield row, end, buf[off[row] : off[end]], off[row : end + 1] - off[row]
         row = end
 
