@@ -8,8 +8,8 @@ tokens are posted once per class and sorted by token:
    linked to the smallest of them. The shared tokens of a pair are counted, and the pair is dropped if even all
    remaining tokens could not make up the overlap it needs. What is left is matched in a prefix tree (``Trie``).
 2. Common tokens whose holders are not all connected by then: for their holders these tokens are moved to the end of
-   the global order, new first fifths are posted, and step 1 is repeated. A document that merely contains a popular
-   passage now posts its own tokens.
+   the global order, new first fifths are posted, and step 1 is repeated, as long as that settles documents. A
+   document that merely contains popular passages soon posts its own tokens only.
 3. Holders of tokens that are still common and not connected consist of common text. They form families; the members
    outside a family's largest component are matched in prefix trees against blocks of the whole family.
 
@@ -29,18 +29,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheafline.llm import textbytes as tb
-from sheafline.llm.common import matching, release, stored
+from sheafline.llm.common import BROADCAST_IDS, matching, release, small_batches, stored
 from sheafline.llm.components import components
 
 WORDS = 5
 PERCENT = 80
 #: Holders of one token that are paired with each other; beyond it they are linked to one of them.
-GROUP = 16
+GROUP = 32
 #: Partners of one class, or members of one block, in a tree.
 CHUNK = 256
 BLOCK = 512
-#: Tokens below this may be moved to the end of the order: about a third of all, and nearly all first fifths.
-MOVABLE = int(0.35 * 2**63)
+#: Step 2 is repeated while it leaves at most this share of the documents it began with.
+SHRINK = 0.7
 
 _ODD = np.random.default_rng(5).integers(1, 2**62, WORDS + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -95,51 +95,54 @@ def _tokens(value: pa.Scalar) -> np.ndarray:
     return np.frombuffer(value.as_buffer(), np.int64)
 
 
-def sets_of(docs: DataFrame, text: str, digest: bool) -> DataFrame:
-    """doc_id, n and, of every text, either the digest and first fifth of its set or the set itself."""
+def _digests(batches):
+    """(doc_id, text) -> doc_id, n, a digest of the set in two numbers, and its first fifth."""
+    for batch in batches:
+        for a, b, buf, off in tb.runs(batch.column(1)):
+            token, n = shingles(buf, off)
+            ends, sums = np.cumsum(n), []
+            for salt in (1, 2):
+                at = np.zeros(len(token) + 1, np.uint64)
+                np.cumsum(tb.mixed(token.astype(np.uint64) + _ODD[salt]), out=at[1:])
+                sums.append(pa.array((at[ends] - at[ends - n]).view(np.int64)))
+            first = np.where(n > 0, prefix_size(n), 0)
+            parts = _binary([token[e - c : e - c + p] for e, c, p in zip(ends, n, first, strict=True)])
+            own = [batch.column(0).slice(a, b - a), pa.array(n.astype(np.int64))]
+            yield pa.RecordBatch.from_arrays([*own, *sums, parts], names=["doc_id", "n", "s1", "s2", "prefix"])
+
+
+def _sets(batches):
+    """(doc_id, text) -> id, n, tokens."""
+    for batch in batches:
+        for a, b, buf, off in tb.runs(batch.column(1)):
+            token, n = shingles(buf, off)
+            ends = np.cumsum(n)
+            parts = _binary([token[e - c : e] for e, c in zip(ends, n, strict=True)])
+            own = [batch.column(0).slice(a, b - a), pa.array(n.astype(np.int64))]
+            yield pa.RecordBatch.from_arrays([*own, parts], names=["id", "n", "tokens"])
+
+
+def _postings(batches):
+    """(id, n, tokens) -> token, id, n for every token."""
+    for batch in batches:
+        lists = [_tokens(v) for v in batch.column(2)]
+        counts = [len(v) for v in lists]
+        token = np.concatenate(lists) if lists else np.zeros(0, np.int64)
+        ids = np.repeat(batch.column(0).to_numpy(), counts)
+        n = np.repeat(batch.column(1).to_numpy(), counts).astype(np.int32)
+        for a in range(0, len(token), 1 << 18):
+            part = slice(a, a + (1 << 18))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(token[part]), pa.array(ids[part]), pa.array(n[part])], names=["token", "id", "n"]
+            )
 
-    def run(batches):
-        for batch in batches:
-            for a, b, buf, off in tb.runs(batch.column(1)):
-                token, n = shingles(buf, off)
-                ends = np.cumsum(n)
-                own = [batch.column(0).slice(a, b - a), pa.array(n.astype(np.int64))]
-                if digest:
-                    sums = []
-                    for salt in (1, 2):
-                        mixed = tb.mixed(token.astype(np.uint64) + _ODD[salt])
-                        at = np.zeros(len(mixed) + 1, np.uint64)
-                        np.cumsum(mixed, out=at[1:])
-                        sums.append(pa.array((at[ends] - at[ends - n]).view(np.int64)))
-                    first = np.where(n > 0, prefix_size(n), 0)
-                    parts = _binary([token[e - c : e - c + p] for e, c, p in zip(ends, n, first, strict=True)])
-                    yield pa.RecordBatch.from_arrays([*own, *sums, parts], names=["doc_id", "n", "s1", "s2", "prefix"])
-                else:
-                    parts = _binary([token[e - c : e] for e, c in zip(ends, n, strict=True)])
-                    yield pa.RecordBatch.from_arrays([*own, parts], names=["id", "n", "tokens"])
-
-    chosen = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text)
-    schema = "doc_id bigint, n bigint, s1 bigint, s2 bigint, prefix binary" if digest else "id bigint, n bigint, tokens binary"
-    return chosen.mapInArrow(run, schema)
-
-
-def posted(sets: DataFrame, tokens: str) -> DataFrame:
-    """(token, id, n) for every token in a binary column."""
 
-    def run(batches):
-        for batch in batches:
-            lists = [_tokens(v) for v in batch.column(2)]
-            counts = [len(v) for v in lists]
-            token = np.concatenate(lists) if lists else np.zeros(0, np.int64)
-            ids = np.repeat(batch.column(0).to_numpy(), counts)
-            n = np.repeat(batch.column(1).to_numpy(), counts).astype(np.int32)
-            for a in range(0, len(token), 1 << 18):
-                part = slice(a, a + (1 << 18))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(token[part]), pa.array(ids[part]), pa.array(n[part])], names=["token", "id", "n"]
-                )
+_POSTING = "token bigint, id bigint, n int"
+_SET = "id bigint, n bigint, tokens binary"
+
 
-    return sets.select("id", "n", tokens).mapInArrow(run, "token bigint, id bigint, n int")
+def _texts(docs: DataFrame, text: str) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text)
 
 
 def _pairs_of(token, ids, n, percent):
@@ -340,35 +343,48 @@ def unsettled(found: DataFrame, groups: DataFrame) -> DataFrame:
     return held.join(mixed.select("token"), "token", "left_semi")
 
 
-def reordered(sets: DataFrame, moved: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """First fifths of ``sets`` when the tokens in ``moved`` come last in the order."""
+def _firsts(batch, lists, lates, percent):
+    """First fifths of token lists when those in ``lates`` come last."""
+    parts = []
+    for tokens, late in zip(lists, lates, strict=True):
+        order = np.concatenate([tokens[~late], tokens[late]])
+        parts.append(order[: prefix_size(len(tokens), percent)])
+    return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _binary(parts)], names=["id", "n", "prefix"])
 
-    def movable(batches):
-        for batch in batches:
-            lists = [_tokens(v) for v in batch.column(1)]
-            lists = [v[: np.searchsorted(v, MOVABLE)] for v in lists]
-            ids = np.repeat(batch.column(0).to_numpy(), [len(v) for v in lists])
-            token = np.concatenate(lists) if lists else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(token)], names=["id", "token"])
 
-    held = sets.select("id", "tokens").mapInArrow(movable, "id bigint, token bigint")
-    late = held.join(moved.select("token").where(F.col("token") < MOVABLE).distinct(), "token")
-    late = late.groupBy("id").agg(F.collect_set("token").alias("late"))
+def reposted(docs: DataFrame, text: str, moved: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Postings of the first fifths of ``docs`` when the tokens in the table ``moved`` come last in the order.
+
+    Up to ``BROADCAST_IDS`` moved tokens go to every task; more are joined to the sets' tokens by shuffle. Steps that
+    follow each other without a shuffle share one Python worker.
+    """
+    if moved.count() <= BROADCAST_IDS:
+        shared = docs.sparkSession.sparkContext.broadcast(np.sort(moved.toArrow().column("token").to_numpy()))
+
+        def known(batches):
+            for batch in batches:
+                lists = [_tokens(v) for v in batch.column(2)]
+                ends = np.cumsum([len(v) for v in lists])
+                late = np.isin(np.concatenate(lists), shared.value) if lists else np.zeros(0, bool)
+                yield _firsts(batch, lists, [late[e - len(v) : e] for e, v in zip(ends, lists, strict=True)], percent)
 
-    def first(batches):
+        return _texts(docs, text).mapInArrow(lambda batches: _postings(known(_sets(batches))), _POSTING)
+
+    sets = _texts(docs, text).mapInArrow(_sets, _SET)
+    every = _texts(docs, text).mapInArrow(lambda batches: _postings(_sets(batches)), _POSTING)
+    late = every.join(moved, "token").groupBy("id").agg(F.collect_set("token").alias("late"))
+
+    def joined(batches):
         for batch in batches:
-            parts = []
-            for tokens, late in zip(batch.column(2), batch.column(3), strict=True):
-                tokens = _tokens(tokens)
-                last = np.isin(tokens, np.array(late.as_py() or [], np.int64))
-                order = np.concatenate([tokens[~last], tokens[last]])
-                parts.append(order[: prefix_size(len(tokens), percent)])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), _binary(parts)], names=["id", "n", "prefix"]
-            )
+            lists = [_tokens(v) for v in batch.column(2)]
+            lates = [np.isin(t, np.array(v.as_py() or [], np.int64)) for t, v in zip(lists, batch.column(3), strict=True)]
+            yield _firsts(batch, lists, lates, percent)
 
-    joined = sets.join(late, "id", "left").select("id", "n", "tokens", "late")
-    return joined.mapInArrow(first, "id bigint, n bigint, prefix binary")
+    return (
+        sets.join(late, "id", "left")
+        .select("id", "n", "tokens", "late")
+        .mapInArrow(lambda batches: _postings(joined(batches)), _POSTING)
+    )
 
 
 def family_links(held: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -396,7 +412,9 @@ def family_links(held: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Da
 
 def classes(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n, s1, s2) of every row, and (s1, s2, id, n, prefix) of every class of equal non-empty sets."""
-    rows = stored(sets_of(docs, text, digest=True), "sets")
+    small_batches(docs.sparkSession)
+    digested = "doc_id bigint, n bigint, s1 bigint, s2 bigint, prefix binary"
+    rows = stored(_texts(docs, text).mapInArrow(_digests, digested), "sets")
     grouped = rows.where("n > 0 and doc_id is not null").groupBy("s1", "s2", "n")
     kinds = grouped.agg(F.min("doc_id").alias("id"), F.min_by("prefix", "doc_id").alias("prefix"))
     return rows.select("doc_id", "n", "s1", "s2"), stored(kinds, "classes")
@@ -404,31 +422,44 @@ def classes(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> tupl
 
 def groups_of(docs: DataFrame, kinds: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFrame:
     """(node, component) of every class that has a link."""
-    found = stored(paired(posted(kinds, "prefix"), percent), "pairs")
+    small_batches(docs.sparkSession)
+    first = kinds.select("id", "n", "prefix").mapInArrow(_postings, _POSTING)
+    found = stored(paired(first, percent), "pairs")
     release()
     pairs = stored(promising(found, percent), "pairs")
 
+    def named(ids: DataFrame) -> DataFrame:
+        """Documents of the given classes."""
+        return matching(docs, stored(ids.distinct(), "ids").withColumnRenamed("id", "doc_id"), "doc_id")
+
     def fetched(ids: DataFrame) -> DataFrame:
-        """Sets of the given classes, from their documents' texts."""
-        ids = stored(ids.distinct(), "ids")
-        return sets_of(matching(docs, ids.withColumnRenamed("id", "doc_id"), "doc_id"), text, digest=False)
+        """Sets of the given classes, made again from the texts: kept, they would be larger than those."""
+        return _texts(named(ids), text).mapInArrow(_sets, _SET)
 
-    ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
-    links = stored(verified(pairs, fetched(ends), percent), "links")
-    release()
-    groups = components(links)
-    open_tokens = stored(unsettled(found, groups), "held")
-    if open_tokens.isEmpty():
-        return groups
-    sets = stored(fetched(open_tokens.select("id")), "sets")
-    again = stored(paired(posted(reordered(sets, open_tokens, percent), "prefix"), percent), "pairs")
+    def ends_of(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+
+    links = stored(verified(pairs, fetched(ends_of(pairs)), percent), "links")
     release()
-    links = links.unionByName(stored(verified(promising(again, percent), sets, percent), "links"))
     groups = components(links)
-    held = stored(unsettled(again, groups), "held")
-    if held.isEmpty():
-        return groups
-    return components(links.unionByName(stored(family_links(held, sets, percent), "links")))
+    before, moved = None, None
+    while True:
+        held = stored(unsettled(found, groups), "held")
+        ids = stored(held.select("id").distinct(), "ids")
+        left = ids.count()
+        if not left:
+            return groups
+        if before is not None and left > SHRINK * before:
+            return components(links.unionByName(stored(family_links(held, fetched(ids), percent), "links")))
+        before = left
+        tokens = held.select("token").distinct()
+        moved = stored(tokens if moved is None else moved.unionByName(tokens).distinct(), "moved")
+        found = stored(paired(reposted(named(ids), text, moved, percent), percent), "pairs")
+        release()
+        pairs = stored(promising(found, percent), "pairs")
+        links = links.unionByName(stored(verified(pairs, fetched(ends_of(pairs)), percent), "links"))
+        release()
+        groups = components(links)
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -446,4 +477,4 @@ def one_of_each(docs: DataFrame, text: str = "text", percent: int = PERCENT) ->
     """Rows of ``docs`` whose document is the smallest of its group; rows without words stay."""
     found = near_duplicates(docs, text, percent)
     dropped = stored(found.where("component_id <> doc_id").select("doc_id").distinct(), "dropped")
-    return docs.join(dropped, "doc_id", "left_anti")
+    return matching(docs, dropped, "doc_id", "left_anti")
