@@ -13,10 +13,13 @@ from sheafline.llm.common import stored
 
 
 def _large(links: DataFrame) -> DataFrame:
-    """Link each larger neighbour of a node to the smallest node around it."""
+    """Link each larger neighbour of a node to the smallest node around it; where that is the node, nothing moves."""
     around = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = around.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-    return around.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = around.groupBy("u").agg(F.min("v").alias("m")).where("m < u")
+    larger = around.where("v > u")
+    moved = larger.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    kept = larger.join(least.select("u"), "u", "left_anti").select(F.col("v").alias("u"), F.col("u").alias("v"))
+    return moved.unionByName(kept)
 
 
 def _small(links: DataFrame) -> DataFrame:

@@ -9,7 +9,8 @@ tokens are posted once per class and sorted by token:
    remaining tokens could not make up the overlap it needs. What is left is matched in a prefix tree (``Trie``).
 2. Common tokens whose holders are not all connected by then: for their holders these tokens are moved to the end of
    the global order, new first fifths are posted, and step 1 is repeated, as long as that settles documents. A
-   document that merely contains popular passages soon posts its own tokens only.
+   document that merely contains popular passages soon posts its own tokens only. Tokens that many neighbouring rows
+   share are moved in the first round already.
 3. Holders of tokens that are still common and not connected consist of common text. They form families; the members
    outside a family's largest component are matched in prefix trees against blocks of the whole family.
 
@@ -36,6 +37,8 @@ WORDS = 5
 PERCENT = 80
 #: Holders of one token that are paired with each other; beyond it they are linked to one of them.
 GROUP = 32
+#: Tokens of neighbouring sets that are counted at once.
+COUNT_TOKENS = 1 << 20
 #: Partners of one class, or members of one block, in a tree.
 CHUNK = 256
 BLOCK = 512
@@ -302,11 +305,27 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
 
 
 def matched(rows: DataFrame, keys: list[str], percent: int = PERCENT) -> DataFrame:
-    """Links between the probes (side 0) and the sets (side 1) of each key; a key holds a bounded number of both."""
+    """Links between the probes (side 0) and the sets (side 1) of each key; a key holds a bounded number of both.
+
+    Links inside what a key has already connected are left out: the result is the components.
+    """
 
     def links(probes, targets):
-        trie = Trie(targets)
-        return [(i, j) for i, tokens in probes for j in trie.matches(tokens, percent) if i != j]
+        """Of the links found, those that connect something: fewer than there are probes and sets."""
+        trie, root, out = Trie(targets), {}, []
+
+        def find(x):
+            while root.setdefault(x, x) != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        for i, tokens in probes:
+            for j in trie.matches(tokens, percent):
+                a, b = find(i), find(j)
+                if a != b:
+                    root[a] = b
+                    out.append((i, j))
+        return out
 
     def run(batches):
         key, probes, targets = None, [], []
@@ -387,6 +406,36 @@ def reposted(docs: DataFrame, text: str, moved: DataFrame, percent: int = PERCEN
     )
 
 
+def _repeated(batches):
+    """(id, n, tokens) -> token, count of the tokens that several sets of the same ``COUNT_TOKENS`` hold."""
+    lists, size = [], 0
+
+    def counted():
+        token, count = np.unique(np.concatenate(lists), return_counts=True)
+        more = count > 1
+        return pa.RecordBatch.from_arrays([pa.array(token[more]), pa.array(count[more])], names=["token", "count"])
+
+    for batch in batches:
+        for value in batch.column(2):
+            lists.append(_tokens(value))
+            size += len(lists[-1])
+        if size > COUNT_TOKENS:
+            yield counted()
+            lists, size = [], 0
+    if lists:
+        yield counted()
+
+
+def likely_common(docs: DataFrame, text: str) -> DataFrame:
+    """Tokens that are common among ``docs``, judged by stretches of neighbouring rows.
+
+    Which tokens are moved decides how soon documents settle, not what is linked; so a token whose few holders lie far
+    apart may be missed here, and a later round finds it.
+    """
+    counts = _texts(docs, text).mapInArrow(lambda batches: _repeated(_sets(batches)), "token bigint, count bigint")
+    return counts.groupBy("token").agg(F.sum("count").alias("holders")).where(F.col("holders") > GROUP).select("token")
+
+
 def family_links(held: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Links of the members outside a family's largest component to any member."""
     family = components(held.select(F.col("id").alias("a"), F.col("pivot").alias("b")))
@@ -436,6 +485,10 @@ def groups_of(docs: DataFrame, kinds: DataFrame, text: str = "text", percent: in
         """Sets of the given classes, made again from the texts: kept, they would be larger than those."""
         return _texts(named(ids), text).mapInArrow(_sets, _SET)
 
+    def settled(groups: DataFrame) -> DataFrame:
+        """What earlier links come to: one link per node."""
+        return groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
+
     def ends_of(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
 
@@ -450,16 +503,16 @@ def groups_of(docs: DataFrame, kinds: DataFrame, text: str = "text", percent: in
         if not left:
             return groups
         if before is not None and left > SHRINK * before:
-            return components(links.unionByName(stored(family_links(held, fetched(ids), percent), "links")))
+            return components(settled(groups).unionByName(stored(family_links(held, fetched(ids), percent), "links")))
         before = left
-        tokens = held.select("token").distinct()
-        moved = stored(tokens if moved is None else moved.unionByName(tokens).distinct(), "moved")
+        known = likely_common(named(ids), text) if moved is None else moved
+        moved = stored(known.unionByName(held.select("token")).distinct(), "moved")
         found = stored(paired(reposted(named(ids), text, moved, percent), percent), "pairs")
         release()
         pairs = stored(promising(found, percent), "pairs")
-        links = links.unionByName(stored(verified(pairs, fetched(ends_of(pairs)), percent), "links"))
+        links = stored(verified(pairs, fetched(ends_of(pairs)), percent), "links")
         release()
-        groups = components(links)
+        groups = components(settled(groups).unionByName(links))
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFrame:
