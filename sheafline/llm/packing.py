@@ -38,7 +38,9 @@ TOKENIZER = "word_bpe_49k.json"
 #: Bytes of text tokenised at once: new words are merged into the table once per run.
 RUN_BYTES = 2 << 20
 #: Words remembered by a worker before it starts afresh; about 60 bytes each.
-WORDS = 1_500_000
+WORDS = 1_000_000
+#: Pieces of words remembered besides; Python objects, some 200 bytes each.
+PIECES = 100_000
 
 _PIECE = "start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, window bigint, offset bigint, open boolean"
 
@@ -68,6 +70,8 @@ class WordIds:
         """Ids of each word; plain lower-case ASCII pieces skip the tokenizer's normaliser."""
         out: list[list[int] | None] = []
         hard = []
+        if len(self.pieces) > PIECES:
+            self.pieces.clear()
         for word in words:
             if word.isascii() and "<|" not in word and word.isprintable():
                 ids: list[int] = []
