@@ -1,19 +1,28 @@
-"""Licence scan, in Spark expressions only: TF-IDF cosine of notices to templates, then inheritance along directories.
+"""Licence scan, in Spark expressions only: TF-IDF cosine of notices and licence texts to templates, then inheritance along directories.
 
-A notice is a line or sentence of a text that holds one of ``CUES``. Notices and ``TEMPLATES`` are sparse vectors of
-lower-case ASCII words; a word weighs its count times ln((1 + N) / (1 + df)) + 1, with N and df counted over all
-notices of the corpus. A notice of cosine ``CLOSE`` or more to a template carries that template's licence; the best
-notice of a text is its own licence. A text of at most ``FILE_WORDS`` words with a licence is the licence file of its
-directory. A text without a licence of its own takes that of the nearest ancestor directory that has one.
+A notice is a line or sentence of a text that holds one of ``CUES``. Notices, whole texts and the templates (``TEMPLATES``
+and the full licence texts in ``licences/``) are sparse vectors of lower-case ASCII words; a word weighs its count times
+ln((1 + N) / (1 + df)) + 1, with N and df counted over all notices of the corpus. A notice of cosine ``CLOSE`` or more to a
+template carries that template's licence. A whole text is compared with the full licence texts whose telling words
+(``FULL``) it holds.
 
-Equal notices are scored once; the directories are resolved once each, not per file. Ties go to the higher cosine,
-then to the smaller licence name, line number and path. Null or empty text has no notice but may inherit; a null path
+A licence file is a text, of any length, that is close to a full licence text as a whole, or that its path names LICENSE,
+COPYING or NOTICE. Its licence is that of the whole text, else its best notice, and holds for its directory. A text
+without a licence of its own takes that of the nearest ancestor directory that has one. Where paths name no files,
+``short_words`` also takes texts of at most so many words with a notice as licence files, behind the others.
+
+Equal units are scored once; the directories are resolved once each, not per file. Ties go to the higher cosine,
+then to the smaller licence name and path. Null or empty text has no notice but may inherit; a null path
 is the root directory's. Repeated rows get equal results; an empty table gives an empty result. Other columns pass
 through; clashing output columns are replaced.
 """
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,8 +47,31 @@ TEMPLATES = (
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
 )
 CUES = "(?i)licen[cs]e|copyright|spdx"
+#: Cues of licence texts that may lack the others.
+FULL_CUES = f"{CUES}|permission|redistribut|public\\s+domain|altered\\s+source"
 CLOSE = 0.6
+#: The query's ``short_words``: its paths name no files.
 FILE_WORDS = 60
+#: Full licence texts and the words, as of :func:`plain`, without which no text is taken for them.
+FULL = (
+    ("Apache-2.0", "apache license version 2 0 january 2004|terms and conditions for use reproduction and distribution 1 definitions"),
+    ("BSD-2-Clause", "^(?!.*endorse or promote).*redistributions in binary form must reproduce"),
+    ("BSD-3-Clause", "redistributions in binary form must reproduce.*endorse or promote"),
+    ("CC-BY-SA-4.0", "attribution sharealike 4 0 international"),
+    ("CC0-1.0", "cc0 1 0 universal"),
+    ("GPL-2.0", r"\bgnu general public license version 2 june 1991"),
+    ("GPL-3.0", r"\bgnu general public license version 3 29 june 2007"),
+    ("ISC", "permission to use copy modify and (?:or )?distribute this software for any purpose"),
+    ("LGPL-2.1", "gnu lesser general public license version 2 1 february 1999"),
+    ("LGPL-3.0", "gnu lesser general public license version 3 29 june 2007"),
+    ("MIT", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
+    ("MPL-2.0", "mozilla public license version 2 0"),
+    ("Unlicense", "free and unencumbered software released into the public domain"),
+    ("Zlib", "altered source versions must be plainly marked"),
+)
+#: File names of licence files, and endings of those that only deal with licences.
+_NAMED = r"(?i)^(?:[\w+-]+[-_.])?(?:(?:un)?licen[cs]es?|copying|notices?)(?:[-_.][\w.+-]*)?$"
+_CODE = r"(?i)\.(?:py|pyi|ipynb|js|jsx|mjs|ts|tsx|java|kt|scala|go|rs|rb|php|cs|c|cc|cpp|h|hpp|m|swift|sh|ps1|sql|r|pl|lua|css|scss|json|ya?ml|toml|xml)$"
 #: Sentence ends at which a line is cut further.
 _SENTENCE = r"\n|(?<=[.!?])\x20+"
 _OUT = ("license", "cosine", "inherited", "inherited_from")
@@ -51,35 +83,64 @@ def notices(text: Column) -> Column:
     return F.when(text.rlike(CUES), parts).otherwise(F.array().cast("array<string>"))
 
 
-def terms(line: Column) -> Column:
-    """Lower-case ASCII words of a line."""
-    return F.regexp_extract_all(F.lower(line), F.lit("([a-z0-9]+)"), 1)
+def plain(text: Column) -> Column:
+    """Lower-case ASCII words of a text with one space between them."""
+    return F.array_join(F.regexp_extract_all(F.lower(text), F.lit("([a-z0-9]+)"), 1), " ")
+
+
+def full_text(text: Column) -> Column:
+    """The words of a text that has telling words of a full licence text, else null."""
+    words = plain(F.when(text.rlike(FULL_CUES), text))
+    return F.when(words.rlike("|".join(f"(?:{telling})" for _, telling in FULL)), words)
+
+
+def is_named(path: Column) -> Column:
+    """Whether the path names a licence file."""
+    name = F.element_at(F.split(path, "/"), -1)
+    return name.rlike(_NAMED) & ~name.rlike(_CODE)
 
 
-def scored_notices(lines: DataFrame) -> DataFrame:
-    """The best template of each distinct line: line, license, cosine; ``lines`` has line and times."""
-    spark = lines.sparkSession
-    counted = lines.select("line", "times", F.explode(terms(F.col("line"))).alias("term"))
-    counted = counted.groupBy("line", "times", "term").agg(F.count(F.lit(1)).alias("tf"))
-    df = counted.groupBy("term").agg(F.sum("times").alias("df"))
+def templates() -> list[tuple[int, str, bool, str, str]]:
+    """Every template: number, licence, whether it is a full text, telling words, words."""
+    folder = Path(__file__).with_name("licences")
+    texts = [(name, True, telling, (folder / f"{name}.txt").read_text()) for name, telling in FULL]
+    texts += [(name, False, "", notice) for name, notice in TEMPLATES]
+    return [(k, name, full, telling, " ".join(re.findall("[a-z0-9]+", t.lower()))) for k, (name, full, telling, t) in enumerate(texts)]
+
+
+def scored(units: DataFrame, lines: DataFrame) -> DataFrame:
+    """Templates that each distinct unit is close to: unit, license, full, cosine.
+
+    ``units`` has unit, words and whole, of which only whole texts are held against full ones; ``lines`` has the words
+    and times of every notice, for the weights.
+    """
+    spark = units.sparkSession
+    seen = lines.select("times", F.explode(F.array_distinct(F.split("words", " "))).alias("term"))
+    df = seen.groupBy("term").agg(F.sum("times").alias("df"))
     total = lines.agg(F.coalesce(F.sum("times"), F.lit(0)).alias("total"))
     idf = F.log((1 + F.col("total")) / (1 + F.coalesce("df", F.lit(0)))) + 1
-    rows = [(k, license, notice) for k, (license, notice) in enumerate(TEMPLATES)]
-    known = spark.createDataFrame(rows, "template int, license string, notice string")
-    known = known.select("template", "license", F.explode(terms(F.col("notice"))).alias("term"))
-    known = known.groupBy("template", "license", "term").agg(F.count(F.lit(1)).alias("tf"))
-    # The total is one row and the templates are a fixed number of words.
-    known = known.join(df, "term", "left").join(F.broadcast(total)).withColumn("w", F.col("tf") * idf)
-    known = known.select("template", "license", "term", F.col("w").alias("tw"))
+
+    def weighed(counted: DataFrame) -> DataFrame:
+        # The total is one row.
+        return counted.join(df, "term", "left").join(F.broadcast(total)).withColumn("w", F.col("tf") * idf)
+
+    all_ = templates()
+    counts = [(k, term, tf) for k, *_, words in all_ for term, tf in Counter(words.split()).items()]
+    known = weighed(spark.createDataFrame(counts, "template int, term string, tf bigint"))
+    known = known.select("template", "term", F.col("w").alias("tw"))
     norms = known.groupBy("template").agg(F.sqrt(F.sum(F.col("tw") * F.col("tw"))).alias("tn"))
-    own = counted.join(df, "term").join(F.broadcast(total)).withColumn("w", F.col("tf") * idf).select("line", "term", "w")
-    own_norms = own.groupBy("line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("n"))
-    dots = own.join(F.broadcast(known), "term").groupBy("line", "template", "license")
+    named = spark.createDataFrame([t[:4] for t in all_], "template int, license string, full boolean, telling string")
+    counted = units.select("unit", F.explode(F.split("words", " ")).alias("term")).groupBy("unit", "term")
+    own = weighed(counted.agg(F.count(F.lit(1)).alias("tf"))).select("unit", "term", "w")
+    own_norms = own.groupBy("unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("n"))
+    # The templates are a fixed number of words.
+    dots = own.join(F.broadcast(known), "term").groupBy("unit", "template")
     dots = dots.agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
-    cosines = dots.join(F.broadcast(norms), "template").join(own_norms, "line")
-    cosines = cosines.select("line", "license", (F.col("dot") / (F.col("tn") * F.col("n"))).alias("cosine"))
-    best = F.min_by("license", F.struct(-F.round("cosine", 9), "license")).alias("license")
-    return cosines.groupBy("line").agg(best, F.max("cosine").alias("cosine")).where(F.col("cosine") >= CLOSE)
+    cosines = dots.join(F.broadcast(norms), "template").join(own_norms, "unit")
+    cosines = cosines.withColumn("cosine", F.col("dot") / (F.col("tn") * F.col("n"))).where(F.col("cosine") >= CLOSE)
+    told = cosines.join(F.broadcast(named), "template").join(units, "unit")
+    told = told.where((F.col("full") == F.col("whole")) & F.regexp_like("words", F.col("telling")))
+    return told.select("unit", "license", "full", "cosine")
 
 
 def ancestors(path: Column) -> Column:
@@ -89,30 +150,39 @@ def ancestors(path: Column) -> Column:
     return F.transform(depths, lambda k: F.array_join(F.slice(parts, F.lit(1), k), "/"))
 
 
-def scan(files: DataFrame, key: str, path: Column, text: str = "text") -> DataFrame:
+def scan(files: DataFrame, key: str, path: Column, text: str = "text", short_words: int | None = None) -> DataFrame:
     """``files`` with license, cosine, and the licence inherited and the directory it comes from.
 
     ``key`` names the rows; rows of equal key share their best notice.
     """
     columns = [c for c in files.columns if c not in _OUT]
-    whole = F.coalesce(F.col(text), F.lit(""))
+    content = F.coalesce(F.col(text), F.lit(""))
+    short = F.lit(False) if short_words is None else F.size(words_of(F.col(text))) <= short_words
     placed = files.select(
         *columns,
         F.coalesce(path, F.lit("")).alias("__path"),
-        notices(whole).alias("__lines"),
-        (F.size(words_of(F.col(text))) <= FILE_WORDS).alias("__short"),
-    ).withColumn("__dir", F.get(ancestors(F.col("__path")), F.lit(0)))
-    held = placed.where(F.size("__lines") > 0).select(
-        F.col(key).alias("__key"), "__path", "__dir", "__short", F.explode("__lines").alias("line")
+        F.transform(notices(content), plain).alias("__lines"),
+        full_text(content).alias("__full"),
+        short.alias("__short"),
+    ).withColumns({"__dir": F.get(ancestors(F.col("__path")), F.lit(0)), "__named": is_named(F.col("__path"))})
+    lines = placed.select(F.explode("__lines").alias("words")).groupBy("words").agg(F.count(F.lit(1)).alias("times"))
+    unit = lambda words, whole: F.struct(words.alias("words"), F.lit(whole).alias("whole"))
+    parts = F.concat(
+        F.transform("__lines", lambda x: unit(x, False)),
+        F.when(F.col("__full").isNull(), F.array()).otherwise(F.array(unit(F.col("__full"), True))),
     )
-    lines = held.groupBy("line").agg(F.count(F.lit(1)).alias("times"))
-    found = held.join(scored_notices(lines), "line")
-    better = F.struct(-F.round("cosine", 9), "license", "__path")
+    held = placed.select(F.col(key).alias("__key"), "__path", "__dir", "__short", "__named", F.explode(parts).alias("u"))
+    digest = F.md5(F.concat(F.col("u.whole").cast("string"), F.col("u.words")))
+    held = held.select("*", digest.alias("unit"), "u.whole", "u.words").drop("u")
+    units = held.groupBy("unit").agg(F.first("words").alias("words"), F.first("whole").alias("whole"))
+    found = held.drop("words", "whole").join(scored(units, lines), "unit")
+    better = F.struct(~F.col("full"), -F.round("cosine", 9), "license", "__path")
     own = found.groupBy("__key").agg(
-        F.min_by("license", better).alias("license"), F.max("cosine").alias("cosine")
+        F.min_by("license", better).alias("license"), F.min_by("cosine", better).alias("cosine")
     )
-    in_files = found.where("__short").groupBy(F.col("__dir").alias("up"))
-    in_files = in_files.agg(F.min_by("license", better).alias("dir_license"))
+    sure = F.col("full") | F.col("__named")
+    in_files = found.where(sure | F.col("__short")).groupBy(F.col("__dir").alias("up"))
+    in_files = in_files.agg(F.min_by("license", F.struct(~sure, better)).alias("dir_license"))
     dirs = placed.select("__dir").distinct()
     chain = F.array_distinct(F.concat(F.array("__dir"), ancestors(F.col("__dir"))))
     up = dirs.select("__dir", F.posexplode(chain).alias("far", "up"))

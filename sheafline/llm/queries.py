@@ -212,8 +212,11 @@ FROM d LEFT JOIN own USING (doc_id) LEFT JOIN fd ON fd.dir = d.dir
 """,
 )
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Licence of every document, its own or its directory's; a document's path is source/lang/doc_id."""
+    """Licence of every document, its own or its directory's; a document's path is source/lang/doc_id.
+
+    Such a path names no file, so texts of at most ``FILE_WORDS`` words with a notice are licence files as well.
+    """
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
     folder = [F.coalesce(F.col(c), F.lit("-")) for c in ("source", "lang")]
-    found = license_scan.scan(docs, "doc_id", F.concat_ws("/", *folder, F.col("doc_id").cast("string")))
+    found = license_scan.scan(docs, "doc_id", F.concat_ws("/", *folder, F.col("doc_id").cast("string")), short_words=license_scan.FILE_WORDS)
     return found.select("doc_id", "license", F.round("cosine", 4).alias("cosine"), "inherited", "inherited_from")

@@ -3,7 +3,9 @@
 import hashlib
 import random
 import re
+import textwrap
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -69,6 +71,35 @@ def test_licences(spark):
     assert license_scan.scan(files.limit(0), "id", F.col("path")).collect() == []
 
 
+def licence_text(name, width=70):
+    """A full licence text under another holder, wrapped at another width."""
+    text = (Path(license_scan.__file__).with_name("licences") / f"{name}.txt").read_text()
+    text = text.replace("<year> <copyright holders>", "2019 Jane Roe").replace("The Regents of the University of California", "Jane Roe 2019")
+    return "\n\n".join(textwrap.fill(p, width) for p in re.split(r"\n\s*\n", text))
+
+
+def test_whole_licence_texts_are_licence_files(spark):
+    names = ["MIT", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "GPL-3.0", "LGPL-3.0", "ISC"]
+    rows = [(n, f"{n}/{file}", licence_text(n)) for n, file in zip(names, ["LICENSE", "x.txt", "COPYING", "LICENSE.md", "COPYING", "y", "z"], strict=True)]
+    rows += [(f"below {n}", f"{n}/src/deep/a.txt", PROSE) for n in names]
+    rows += [
+        ("named", "named/NOTICE", f"{PROSE}\nReleased under the MIT License.\n{PROSE}"),
+        ("below named", "named/a.txt", PROSE),
+        ("code", "code/license_scan.py", f"{PROSE}\nReleased under the MIT License.\n{PROSE}"),
+        ("below code", "code/a.txt", PROSE),
+        ("short", "short/a.txt", "Released under the MIT License."),
+        ("below short", "short/b.txt", PROSE),
+    ]
+    files = spark.createDataFrame(rows, "id string, path string, text string")
+    got = {r.id: r for r in license_scan.scan(files, "id", F.col("path")).collect()}
+    assert {n: got[n].license for n in names} == {n: n for n in names}
+    assert {n: (got[f"below {n}"].inherited, got[f"below {n}"].inherited_from) for n in names} == {n: (n, n) for n in names}
+    assert got["below named"].inherited == "MIT" and got["below code"].inherited is None
+    assert got["below short"].inherited is None
+    stand_in = license_scan.scan(files, "id", F.col("path"), short_words=60)
+    assert {r.id: r for r in stand_in.collect()}["below short"].inherited == "MIT"
+
+
 def digest(turns):
     return hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
 
