@@ -1,10 +1,11 @@
 """Licence scan, in Spark expressions only: TF-IDF cosine of notices and licence texts to templates, then inheritance along directories.
 
-A notice is a line or sentence of a text that holds one of ``CUES``. Notices, whole texts and the templates (``TEMPLATES``
-and the full licence texts in ``licences/``) are sparse vectors of lower-case ASCII words; a word weighs its count times
-ln((1 + N) / (1 + df)) + 1, with N and df counted over all notices of the corpus. A notice of cosine ``CLOSE`` or more to a
-template carries that template's licence. A whole text is compared with the full licence texts whose telling words
-(``FULL``) it holds.
+A unit is a line or sentence of a text that holds one of ``CUES``, a paragraph (line breaks joined, comment marks left
+out), a sentence of one, the comment at the head of a text, or the whole text. Units and the templates (``TEMPLATES``,
+``HEADERS``, SPDX tags of ``SPDX``, and the full licence texts in ``licences/``) are sparse vectors of lower-case ASCII
+words; a word weighs its count times ln((1 + N) / (1 + df)) + 1, with N and df counted over all lines and sentences with
+a cue. A unit of cosine ``CLOSE`` or more to a template carries that template's licence if it holds the licence's telling
+words too: its name and version (``TELLING``), its tag, or those of a full text (``FULL``).
 
 A licence file is a text, of any length, that is close to a full licence text as a whole, or that its path names LICENSE,
 COPYING or NOTICE. Its licence is that of the whole text, else its best notice, and holds for its directory. A text
@@ -46,6 +47,70 @@ TEMPLATES = (
     ("MIT", "SPDX-License-Identifier: MIT"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
 )
+#: Notices that stand in headers, and titles of licences without a full text here.
+_GNU = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} as published"
+    " by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+)
+HEADERS = (
+    ("AGPL-3.0", _GNU.format("Affero General Public License", "3")),
+    ("AGPL-3.0", "GNU Affero General Public License Version 3, 19 November 2007"),
+    (
+        "Apache-2.0",
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the'
+        " License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by"
+        " applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS,"
+        " WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language"
+        " governing permissions and limitations under the License.",
+    ),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License"),
+    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
+    ("GPL-2.0", _GNU.format("General Public License", "2")),
+    ("GPL-3.0", _GNU.format("General Public License", "3")),
+    ("ISC", "Released under the ISC License"),
+    ("LGPL-2.1", _GNU.format("Lesser General Public License", "2.1")),
+    ("LGPL-3.0", _GNU.format("Lesser General Public License", "3")),
+    (
+        "MPL-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not"
+        " distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    ),
+)
+#: Licences with an SPDX tag as template.
+SPDX = (
+    "AGPL-3.0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0", "CC0-1.0",
+    "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.1", "LGPL-3.0", "MIT", "MPL-2.0", "Unlicense", "Zlib",
+)
+
+
+def _named_version(name: str, version: str) -> str:
+    """Name before version with other words between, or ``version N of the name``; words as of :func:`plain`."""
+    after = rf"\b(?:{name}) (?:[a-z0-9]+ ){{0,12}}?(?:version |v ?)?{version}"
+    return rf"{after}|\b(?:version |v ?){version} (?:or later |of |the )+(?:{name})\b"
+
+
+_GNU_2, _GNU_3 = r"2(?: 0)?\b(?! [0-9])", r"3(?: 0)?\b(?! [0-9])"
+_LESSER = "(?:lesser|library) general public licen[cs]e|lgpl"
+#: Name and version, as of :func:`plain`, without which no notice is taken for the licence.
+TELLING = {
+    "AGPL-3.0": _named_version("affero general public licen[cs]e|agpl", r"3\b") + r"|\bagplv3\b",
+    "Apache-2.0": _named_version("apache(?: software)?(?: licen[cs]e)?", r"2(?: 0)?\b"),
+    "BSD-2-Clause": "bsd 2 clause|2 clause bsd|simplified bsd|freebsd licen[cs]e",
+    "BSD-3-Clause": "bsd 3 clause|3 clause bsd|(?:new|modified|revised) bsd",
+    "CC-BY-4.0": r"\bcc by 4 0\b|creative commons attribution 4 0\b",
+    "CC-BY-NC-4.0": r"\bcc by nc 4 0\b|creative commons attribution non ?commercial 4 0\b",
+    "CC-BY-SA-4.0": r"\bcc by sa 4 0\b|creative commons attribution share ?alike 4 0\b",
+    "CC0-1.0": r"\bcc0 1 0\b",
+    "GPL-2.0": _named_version("gnu general public licen[cs]e|gpl", _GNU_2) + r"|\bgplv2\b",
+    "GPL-3.0": _named_version("gnu general public licen[cs]e|gpl", _GNU_3) + r"|\bgplv3\b",
+    "ISC": r"\bisc\b",
+    "LGPL-2.1": _named_version(_LESSER, r"2 1\b") + r"|\blgplv2 1\b",
+    "LGPL-3.0": _named_version(_LESSER, _GNU_3) + r"|\blgplv3\b",
+    "MIT": r"\bmit\b(?! 0\b)",
+    "MPL-2.0": _named_version("mozilla public licen[cs]e|mpl", r"2 0\b"),
+}
 CUES = "(?i)licen[cs]e|copyright|spdx"
 #: Cues of licence texts that may lack the others.
 FULL_CUES = f"{CUES}|permission|redistribut|public\\s+domain|altered\\s+source"
@@ -74,6 +139,14 @@ _NAMED = r"(?i)^(?:[\w+-]+[-_.])?(?:(?:un)?licen[cs]es?|copying|notices?)(?:[-_.
 _CODE = r"(?i)\.(?:py|pyi|ipynb|js|jsx|mjs|ts|tsx|java|kt|scala|go|rs|rb|php|cs|c|cc|cpp|h|hpp|m|swift|sh|ps1|sql|r|pl|lua|css|scss|json|ya?ml|toml|xml)$"
 #: Sentence ends at which a line is cut further.
 _SENTENCE = r"\n|(?<=[.!?])\x20+"
+#: Blank lines, also those of comment marks only; line breaks with the comment marks of the next line.
+_PARAGRAPH = r"\n(?:[^\p{L}\p{N}\n]*+\n)++"
+_BREAK = r"\n[^\p{L}\p{N}\n]*+"
+#: A comment between delimiters at the head of a text, and lines that are comments or hold no word.
+_DELIMITED = r'^(?:#![^\n]*\n)?\s*+(?:/\*(?s:.*?)\*/|<!--(?s:.*?)-->|"""(?s:.*?)"""|\(\*(?s:.*?)\*\))'
+_COMMENT = r"^(?:\s*+(?://|#|\*|/\*|--|;|%|!|\.\.|dnl\b|(?i:rem)\b).*|[^\p{L}\p{N}]*+)$"
+#: Any telling words, as of :func:`plain`.
+_ANY = "|".join(f"(?:{x})" for x in (*TELLING.values(), r"\bspdx license identifier\b", *(telling for _, telling in FULL)))
 _OUT = ("license", "cosine", "inherited", "inherited_from")
 
 
@@ -83,6 +156,26 @@ def notices(text: Column) -> Column:
     return F.when(text.rlike(CUES), parts).otherwise(F.array().cast("array<string>"))
 
 
+def header(text: Column) -> Column:
+    """The comment at the head of a text: its delimited comment, else its lines up to the first outside a comment."""
+    delimited = F.regexp_extract(text, _DELIMITED, 0)
+    rows = F.split(text, "\n")
+    code = F.array_position(F.transform(rows, lambda x: ~x.rlike(_COMMENT)), F.lit(True))
+    lead = F.when(code == 0, rows).otherwise(F.slice(rows, F.lit(1), F.greatest(code.cast("int") - 1, F.lit(0))))
+    return F.when(delimited != "", delimited).otherwise(F.array_join(lead, "\n"))
+
+
+def blocks(text: Column) -> Column:
+    """Header, paragraphs and their sentences that have telling words, as of :func:`plain`; line breaks are joined."""
+    cued = F.when(text.rlike(FULL_CUES), text)
+    paragraphs = F.split(cued, _PARAGRAPH)
+    joined = F.transform(paragraphs, lambda x: F.regexp_replace(x, _BREAK, " "))
+    sentences = F.flatten(F.transform(joined, lambda x: F.split(x, _SENTENCE)))
+    units = F.transform(F.concat(F.array(header(cued)), joined, sentences), plain)
+    told = F.filter(F.array_distinct(units), lambda x: x.rlike(_ANY))
+    return F.coalesce(told, F.array().cast("array<string>"))
+
+
 def plain(text: Column) -> Column:
     """Lower-case ASCII words of a text with one space between them."""
     return F.array_join(F.regexp_extract_all(F.lower(text), F.lit("([a-z0-9]+)"), 1), " ")
@@ -104,15 +197,20 @@ def templates() -> list[tuple[int, str, bool, str, str]]:
     """Every template: number, licence, whether it is a full text, telling words, words."""
     folder = Path(__file__).with_name("licences")
     texts = [(name, True, telling, (folder / f"{name}.txt").read_text()) for name, telling in FULL]
-    texts += [(name, False, "", notice) for name, notice in TEMPLATES]
+    notes = [(name, text) for name, text in (*TEMPLATES, *HEADERS) if not text.startswith("SPDX")]
+    texts += [(name, False, TELLING[name], text) for name, text in notes]
+    for name in SPDX:
+        tag = " ".join(re.findall("[a-z0-9]+", name.lower()))
+        # The tag may stand anywhere in an expression; MIT-0 is another licence.
+        telling = rf"\bspdx license identifier (?:[a-z0-9]+ ){{0,12}}?{tag}\b(?! (?:0|no|clear|modern|modification)\b)"
+        texts.append((name, False, telling, f"SPDX-License-Identifier: {name}"))
     return [(k, name, full, telling, " ".join(re.findall("[a-z0-9]+", t.lower()))) for k, (name, full, telling, t) in enumerate(texts)]
 
 
 def scored(units: DataFrame, lines: DataFrame) -> DataFrame:
     """Templates that each distinct unit is close to: unit, license, full, cosine.
 
-    ``units`` has unit, words and whole, of which only whole texts are held against full ones; ``lines`` has the words
-    and times of every notice, for the weights.
+    ``units`` has unit and words; ``lines`` has the words and times of every line or sentence with a cue, for the weights.
     """
     spark = units.sparkSession
     seen = lines.select("times", F.explode(F.array_distinct(F.split("words", " "))).alias("term"))
@@ -139,7 +237,7 @@ def scored(units: DataFrame, lines: DataFrame) -> DataFrame:
     cosines = dots.join(F.broadcast(norms), "template").join(own_norms, "unit")
     cosines = cosines.withColumn("cosine", F.col("dot") / (F.col("tn") * F.col("n"))).where(F.col("cosine") >= CLOSE)
     told = cosines.join(F.broadcast(named), "template").join(units, "unit")
-    told = told.where((F.col("full") == F.col("whole")) & F.regexp_like("words", F.col("telling")))
+    told = told.where(F.regexp_like("words", F.col("telling")))
     return told.select("unit", "license", "full", "cosine")
 
 
@@ -162,20 +260,20 @@ def scan(files: DataFrame, key: str, path: Column, text: str = "text", short_wor
         *columns,
         F.coalesce(path, F.lit("")).alias("__path"),
         F.transform(notices(content), plain).alias("__lines"),
+        blocks(content).alias("__blocks"),
         full_text(content).alias("__full"),
         short.alias("__short"),
     ).withColumns({"__dir": F.get(ancestors(F.col("__path")), F.lit(0)), "__named": is_named(F.col("__path"))})
     lines = placed.select(F.explode("__lines").alias("words")).groupBy("words").agg(F.count(F.lit(1)).alias("times"))
     unit = lambda words, whole: F.struct(words.alias("words"), F.lit(whole).alias("whole"))
     parts = F.concat(
-        F.transform("__lines", lambda x: unit(x, False)),
+        F.transform(F.filter(F.array_union("__lines", "__blocks"), lambda x: x.rlike(_ANY)), lambda x: unit(x, False)),
         F.when(F.col("__full").isNull(), F.array()).otherwise(F.array(unit(F.col("__full"), True))),
     )
     held = placed.select(F.col(key).alias("__key"), "__path", "__dir", "__short", "__named", F.explode(parts).alias("u"))
-    digest = F.md5(F.concat(F.col("u.whole").cast("string"), F.col("u.words")))
-    held = held.select("*", digest.alias("unit"), "u.whole", "u.words").drop("u")
-    units = held.groupBy("unit").agg(F.first("words").alias("words"), F.first("whole").alias("whole"))
-    found = held.drop("words", "whole").join(scored(units, lines), "unit")
+    held = held.select("*", F.md5("u.words").alias("unit"), "u.whole", "u.words").drop("u")
+    units = held.groupBy("unit").agg(F.first("words").alias("words"))
+    found = held.drop("words").join(scored(units, lines), "unit").withColumn("full", F.col("full") & F.col("whole"))
     better = F.struct(~F.col("full"), -F.round("cosine", 9), "license", "__path")
     own = found.groupBy("__key").agg(
         F.min_by("license", better).alias("license"), F.min_by("cosine", better).alias("cosine")

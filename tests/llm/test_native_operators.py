@@ -100,6 +100,53 @@ def test_whole_licence_texts_are_licence_files(spark):
     assert {r.id: r for r in stand_in.collect()}["below short"].inherited == "MIT"
 
 
+GPL_2 = """/* Frob, a tool.
+ * Copyright (C) 2001 Jane Roe
+ *
+ * This program is free software; you can redistribute it and/or
+ * modify it under the terms of the GNU General Public License
+ * as published by the Free Software Foundation; either version 2
+ * of the License, or (at your option) any later version.
+ */
+int main(void) { return 0; }
+"""
+APACHE = """#!/bin/sh
+# Copyright 2020 Jane Roe
+#
+# Licensed under the Apache License,
+# Version 2.0 (the "License"); you may not use this file except in
+# compliance with the License. You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+echo done
+"""
+
+
+def test_headers_are_read_as_blocks_and_need_name_and_version(spark):
+    comment = lambda name: "".join(f"// {x}\n" for x in licence_text(name).split("\n")) + "let x = 1;\n" * 400
+    want = {
+        GPL_2: "GPL-2.0",
+        GPL_2.replace("version 2", "version 3"): "GPL-3.0",
+        GPL_2.replace("GNU General", "GNU Lesser General").replace("version 2", "version 2.1"): "LGPL-2.1",
+        GPL_2.replace("version 2", "version 9"): None,
+        GPL_2.replace(" * ", "").replace("/* Frob", "/*\nFrob"): "GPL-2.0",
+        APACHE: "Apache-2.0",
+        comment("MIT"): "MIT",
+        comment("BSD-3-Clause").replace("Copyright (c) Jane Roe 2019.", ""): "BSD-3-Clause",
+        comment("ISC"): "ISC",
+        "// SPDX-License-Identifier: GPL-2.0": "GPL-2.0",
+        "// SPDX-License-Identifier: GPL-2.0-or-later\nint x;": "GPL-2.0",
+        "// SPDX-License-Identifier: EPL-2.0": None,
+        "// SPDX-License-Identifier: MIT-0": None,
+        "# SPDX-License-Identifier: MIT": "MIT",
+        "Licensed under the Foo License, Version 2.0": None,
+        "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+    }
+    files = spark.createDataFrame([(k, f"{k}/x", t) for k, t in enumerate(want)], "id int, path string, text string")
+    got = {r.id: r.license for r in license_scan.scan(files, "id", F.col("path")).collect()}
+    assert got == dict(enumerate(want.values()))
+
+
 def digest(turns):
     return hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
 
