@@ -290,3 +290,12 @@ def test_raw_files_stream_into_outcomes(spark, tmp_path):
     flows.run_available(stream, flows.publish_into(str(tmp_path / "out")), str(tmp_path / "state"))
     rows = spark.read.parquet(str(tmp_path / "out")).collect()
     assert sorted((r["rdi"], r["seq"] >> 32, r["record_id"]) for r in rows) == [("r", 1, "a"), ("r", 2, "b")]
+
+
+def test_catalogue_harvest_covers_pages_in_proportion_to_the_table(spark, sf_dir):
+    from sheafline.checks import CHECKS
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+    pages = lambda name: CHECKS[name].run(spark, sf_dir).select("batch").distinct().count()
+    assert pages("harvest_catalogue_whole") > 0.9 * docs
+    assert 0.25 * docs < pages("harvest_catalogue_cuts") < 0.75 * docs
