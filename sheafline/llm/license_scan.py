@@ -27,7 +27,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheafline.llm.common import words_of
+from sheafline.llm.common import stored, words_of
 
 #: Short standard notices of common licences.
 TEMPLATES = (
@@ -254,26 +254,31 @@ def scan(files: DataFrame, key: str, path: Column, text: str = "text", short_wor
     ``key`` names the rows; rows of equal key share their best notice.
     """
     columns = [c for c in files.columns if c not in _OUT]
-    content = F.coalesce(F.col(text), F.lit(""))
-    short = F.lit(False) if short_words is None else F.size(words_of(F.col(text))) <= short_words
-    placed = files.select(
-        *columns,
-        F.coalesce(path, F.lit("")).alias("__path"),
+    at = F.coalesce(path, F.lit(""))
+    short = F.lit(False) if short_words is None else F.size(words_of(F.col("__text"))) <= short_words
+    # All texts are searched for a cue once; what follows reads those that have one.
+    cued = files.where(F.col(text).rlike(FULL_CUES))
+    cued = stored(cued.select(F.col(key).alias("__key"), at.alias("__path"), F.col(text).alias("__text")), "licence_cues")
+    content = F.col("__text")
+    units = cued.select(
+        "__key",
+        "__path",
         F.transform(notices(content), plain).alias("__lines"),
         blocks(content).alias("__blocks"),
         full_text(content).alias("__full"),
         short.alias("__short"),
     ).withColumns({"__dir": F.get(ancestors(F.col("__path")), F.lit(0)), "__named": is_named(F.col("__path"))})
-    lines = placed.select(F.explode("__lines").alias("words")).groupBy("words").agg(F.count(F.lit(1)).alias("times"))
+    placed = files.select(*columns, at.alias("__path")).withColumn("__dir", F.get(ancestors(F.col("__path")), F.lit(0)))
+    lines = units.select(F.explode("__lines").alias("words")).groupBy("words").agg(F.count(F.lit(1)).alias("times"))
     unit = lambda words, whole: F.struct(words.alias("words"), F.lit(whole).alias("whole"))
     parts = F.concat(
         F.transform(F.filter(F.array_union("__lines", "__blocks"), lambda x: x.rlike(_ANY)), lambda x: unit(x, False)),
         F.when(F.col("__full").isNull(), F.array()).otherwise(F.array(unit(F.col("__full"), True))),
     )
-    held = placed.select(F.col(key).alias("__key"), "__path", "__dir", "__short", "__named", F.explode(parts).alias("u"))
+    held = units.select("__key", "__path", "__dir", "__short", "__named", F.explode(parts).alias("u"))
     held = held.select("*", F.md5("u.words").alias("unit"), "u.whole", "u.words").drop("u")
-    units = held.groupBy("unit").agg(F.first("words").alias("words"))
-    found = held.drop("words").join(scored(units, lines), "unit").withColumn("full", F.col("full") & F.col("whole"))
+    distinct = held.groupBy("unit").agg(F.first("words").alias("words"))
+    found = held.drop("words").join(scored(distinct, lines), "unit").withColumn("full", F.col("full") & F.col("whole"))
     better = F.struct(~F.col("full"), -F.round("cosine", 9), "license", "__path")
     own = found.groupBy("__key").agg(
         F.min_by("license", better).alias("license"), F.min_by("cosine", better).alias("cosine")
