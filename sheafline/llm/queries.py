@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheafline.llm import chat, license_scan, mixing, ngram_join, packing, quality, rp_forest, rules, secret_scan, toxicity
+from sheafline.llm import bpe, chat, license_scan, mixing, ngram_join, packing, quality, rp_forest, rules, secret_scan, toxicity
 from sheafline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -174,6 +174,19 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@register("op13_bpe_round_trip")
+def op13_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's token ids and of the text that they decode to."""
+    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
+    decoded = bpe.decode(encoded)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 _TEMPLATE_ROWS = ", ".join(f"({k}, '{name}', '{notice}')" for k, (name, notice) in enumerate(license_scan.TEMPLATES))
 
 
