@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheafline.llm import bpe, chat, license_scan, mixing, ngram_join, packing, quality, rp_forest, rules, secret_scan, toxicity
-from sheafline.llm.common import table
+from sheafline.llm import bpe, chat, license_scan, mixing, ngram_join, packing, period_runs, quality, rp_forest, rules, secret_scan, toxicity
+from sheafline.llm.common import table, words_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -174,6 +174,48 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def repeated(docs: DataFrame) -> DataFrame:
+    """doc_id and text of ``docs``, where one document in ten repeats itself from some word on.
+
+    With n words, h = crc32(doc_id) and g = h div 10: if h mod 10 = 0, each word i >= a becomes word a + (i - a) mod p,
+    where a = g mod n and p = 1 + (n - a) div (3 + g mod 8).
+    """
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+
+    def looped(words):
+        n = F.size(words).cast("bigint")
+        a = F.pmod(g, n)
+        p = F.lit(1) + F.floor((n - a) / (F.lit(3) + F.pmod(g, F.lit(8))))
+        picked = F.transform(
+            F.sequence(F.lit(0).cast("bigint"), n - 1),
+            lambda i: F.get(words, F.when(i < a, i).otherwise(a + F.pmod(i - a, p)).cast("int")),
+        )
+        return F.when(n > 0, F.array_join(picked, " ")).otherwise("")
+
+    changed = F.get(F.transform(F.array(words_of(F.col("text"))), looped), 0)
+    return docs.select("doc_id", F.when(F.pmod(h, F.lit(10)) == 0, changed).otherwise(F.col("text")).alias("text"))
+
+
+@register("op12_period_runs")
+def op12_period_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The repetitions of every document, the longest of them, and digests of all and of what is left without them."""
+    found = period_runs.find_runs(repeated(table(spark, sf_dir, "documents")), keep_text=False)
+    ranked = F.transform("runs", lambda r: F.struct(-r["length"], r["start"], r["period"], r["length"].alias("length")))
+    line = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    rows = found.select("doc_id", "runs", "collapsed", F.array_min(ranked).alias("longest"))
+    return rows.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        F.col("longest.start").alias("start"),
+        F.col("longest.length").alias("length"),
+        F.col("longest.period").alias("period"),
+        F.floor(F.lit(1000) * F.col("longest.length") / F.col("longest.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 @register("op13_bpe_round_trip")
 def op13_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's token ids and of the text that they decode to."""
