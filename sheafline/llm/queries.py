@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheafline.llm import bpe, chat, license_scan, mixing, ngram_join, packing, period_runs, quality, rp_forest, rules, secret_scan, toxicity
+from sheafline.llm import bpe, chat, license_scan, max_sketch, mixing, ngram_join, packing, period_runs, quality, rp_forest, rules, secret_scan, toxicity
 from sheafline.llm.common import table, words_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -174,6 +174,35 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+_TERMS = (
+    "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
+
+@register(
+    "op11_lexical_search",
+    rf"""
+WITH d AS (SELECT doc_id, {_TERMS} AS w FROM documents),
+st AS (SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS length FROM d WHERE len(w) > 0),
+tf AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, CAST(len(w) AS BIGINT) AS n, unnest(w) AS term FROM d) GROUP BY ALL),
+it AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+s AS (SELECT item_id, doc_id,
+             CAST(sum(CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT)
+                      * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // length)))) AS BIGINT) AS score
+      FROM it JOIN df USING (term) JOIN tf USING (term), st GROUP BY item_id, doc_id),
+r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+      FROM s WHERE score > 0)
+SELECT * FROM r WHERE rank <= 10
+""",
+)
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    index = max_sketch.build_index(table(spark, sf_dir, "documents"))
+    return max_sketch.search(index, table(spark, sf_dir, "benchmark"))
+
+
 def repeated(docs: DataFrame) -> DataFrame:
     """doc_id and text of ``docs``, where one document in ten repeats itself from some word on.
 
