@@ -19,6 +19,58 @@ def test_held_out_accuracy(spark, query, label, least):
     assert np.mean([r.predicted == r.y for r in rows]) >= least
 
 
+def plain_ftrl(rows, alpha, beta, l1, l2):
+    """One machine, one example after another: (weights by slot, intercept)."""
+    z, n, bias = {}, {}, "bias"
+
+    def weight(k):
+        zk = z.get(k, 0.0)
+        if k == bias:
+            return -zk / ((beta + n.get(k, 0.0) ** 0.5) / alpha)
+        return 0.0 if abs(zk) <= l1 else -(zk - np.sign(zk) * l1) / ((beta + n.get(k, 0.0) ** 0.5) / alpha + l2)
+
+    for slots, y in rows:
+        w = {k: weight(k) for k in [*slots, bias]}
+        g = 1 / (1 + np.exp(-np.clip(sum(w.values()), -30, 30))) - y
+        for k, wk in w.items():
+            before = n.get(k, 0.0)
+            n[k] = before + g * g
+            z[k] = z.get(k, 0.0) + g - (n[k] ** 0.5 - before**0.5) / alpha * wk
+    return {k: weight(k) for k in z if k != bias}, weight(bias)
+
+
+@pytest.mark.parametrize("shard_rows", [10_000, 60])
+def test_ftrl_of_any_number_of_shards_is_that_of_one_machine(spark, monkeypatch, shard_rows):
+    """With 60 rows a shard there are more than ten of them."""
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", shard_rows)
+    monkeypatch.setattr(toxicity, "ROUNDS", 2)
+    seen = []
+    keep = toxicity.stored
+    monkeypatch.setattr(toxicity, "stored", lambda df, name: seen.append(keep(df, name)) or seen[-1])
+    docs, known = (spark.read.parquet(f"{SF}/{name}.parquet") for name in ("documents", "labels"))
+    model = toxicity.fit(docs, known, F.lit(True))
+    rows = sorted(seen[0].collect(), key=lambda r: (r.shard, r.o, r.doc_id))
+    assert len({r.shard for r in rows}) >= (4 if shard_rows == 60 else 1)
+    learnt = [(np.frombuffer(r.slots, np.int32).tolist(), float(r.y >= 0.5)) for r in rows if (r.o >> 20) % toxicity.CALIBRATE]
+    weights, intercept = plain_ftrl(learnt * 2, toxicity.ALPHA, toxicity.BETA, toxicity.L1, toxicity.L2)
+    want = np.zeros(toxicity.SLOTS, np.float32)
+    for k, w in weights.items():
+        want[k] = w
+    assert np.allclose(model["weights"], want, atol=1e-4) and abs(model["intercept"] - intercept) < 1e-6
+    assert 0 < np.count_nonzero(want) < toxicity.SLOTS // 10
+
+
+def test_held_out_toxic_rows_are_caught_and_clean_ones_left(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 500)
+    sf = "/root/testdata/sf0.1"
+    known = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", F.col("toxic").alias("y"))
+    rows = QUERIES["op9_toxicity"](spark, sf).join(known, "doc_id").where("held_out").collect()
+    score, y = np.array([r.score for r in rows]), np.array([r.y for r in rows])
+    toxic, clean = score[y == 1], score[y == 0]
+    assert (toxic >= np.quantile(clean, 0.9)).mean() >= 0.8
+    assert (clean < toxicity.THRESHOLD).mean() >= 0.98 and (toxic >= toxicity.THRESHOLD).mean() >= 0.6
+
+
 @pytest.mark.parametrize("module", [quality, toxicity])
 def test_awkward_rows(spark, module):
     fit = (lambda d, la: quality.fit(d, la, F.lit(True), F.lit(False))) if module is quality else (
