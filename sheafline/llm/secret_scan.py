@@ -21,12 +21,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sheafline.llm.common import small_batches
+from sheafline.llm.common import small_batches, stored
 
 SAMPLE_DOCS = 2_000
 #: Words of one sample document that count as identifiers, drawn by position; the sample is bounded by this.
 SAMPLE_WORDS = 200
 MIN_TOKEN = 20
+#: Different secrets and different words of the sample that the models count at most, each kind for itself.
+MAX_SECRETS = 10_000
+MAX_WORDS = 10_000
 #: Nats per character by which a token must be likelier under the model of random strings.
 MARGIN = 1.0
 #: A token of fewer different characters is filler, such as a rule of dashes.
@@ -93,10 +96,11 @@ def fit(docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS) ->
                 value += [*sorted(strings), *words]
             yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(value, pa.string())], names=["k", "v"])
 
-    counted = (
-        sample.mapInArrow(label, "k int, v string").groupBy("k", "v").count().orderBy(F.desc("count"), "k", "v")
-    ).limit(20_000)
-    rows = counted.collect()
+    different = stored(sample.mapInArrow(label, "k int, v string").distinct(), "words")
+    # Each kind has its own bound, and a hash decides what goes beyond it: secrets are rare and must not compete.
+    drawn = F.xxhash64("v", F.lit("drawn"))
+    kinds = [different.where(F.col("k") == k).orderBy(drawn, "v").limit(n) for k, n in ((0, MAX_WORDS), (1, MAX_SECRETS))]
+    rows = kinds[0].unionByName(kinds[1]).collect()
     rng = np.random.default_rng(12)
     words = [r.v for r in rows if r.k == 0] or ["name"]
     joined = []

@@ -45,6 +45,18 @@ def test_secrets(spark):
     assert secret_scan.scan(empty(spark), secret_scan.fit(empty(spark))).collect() == []
 
 
+def test_labelled_secrets_reach_the_model_beside_many_words(spark):
+    """More different words than the bound: the secrets of the sample still count."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = [" ".join(f"{letters[i % 26]}{letters[i // 26 % 26]}{letters[i // 676 % 26]}{letters[d % 26]}" for i in range(d * 150, d * 150 + 150)) for d in range(200)]
+    secrets = [f"token = zqzqzqzqzqzqzq{letters[d % 26]}{letters[d // 26]}" for d in range(200)]
+    fit = lambda texts: secret_scan.fit(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"))
+    assert len({w for t in words for w in t.split()}) > secret_scan.MAX_WORDS
+    without, with_secrets = fit(words), fit([f"{w} {x}" for w, x in zip(words, secrets, strict=True)])
+    z, q = secret_scan.coded("zq")
+    assert with_secrets[z, q] > without[z, q] + 0.5
+
+
 def encoded(texts):
     import public_tokenizers
     from tokenizers import Tokenizer
