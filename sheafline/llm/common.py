@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +34,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written.stored_at = path
+    return written
+
+
+def discard(df: DataFrame) -> None:
+    """Empty a table made by ``stored`` after its last use, so that the shared folder does not grow with the steps."""
+    df.sparkSession.createDataFrame([], df.schema).coalesce(1).write.mode("overwrite").parquet(df.stored_at)
+
+
+def set_aside(docs: DataFrame, names: Iterable[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with the columns in ``names`` under private names, and what gives a result their old names back."""
+    moved = {c: f"__aside_{c}" for c in docs.columns if c in set(names)}
+    back = {v: k for k, v in moved.items()}
+    columns = [moved.get(c, c) for c in docs.columns]
+    return docs.withColumnsRenamed(moved), lambda df: df.select(*columns).withColumnsRenamed(back)
 
 
 def small_batches(spark: SparkSession) -> None:

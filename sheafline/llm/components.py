@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheafline.llm.common import stored
+from sheafline.llm.common import discard, stored
 
 
 def _large(links: DataFrame) -> DataFrame:
@@ -44,4 +44,5 @@ def components(links: DataFrame) -> DataFrame:
                 links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
             )
         before = state
-        links = stored(_small(_large(links).distinct()).distinct(), "links")
+        earlier, links = links, stored(_small(_large(links).distinct()).distinct(), "links")
+        discard(earlier)

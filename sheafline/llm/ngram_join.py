@@ -18,8 +18,10 @@ Every step is exact: no partner, candidate or group is cut off. Pairs inside one
 the result is the components; so a group of n near copies costs about n rows, not n squared.
 
 Null text and texts without a word have empty sets and link with nothing. Shorter texts have their whole word sequence
-as one shingle. Rows that share a ``doc_id`` are one node. A null ``doc_id`` gets a null component. Repeated rows get
-equal results; an empty table gives an empty result; other columns are ignored.
+as one shingle. ``doc_id`` is a whole number; other types are refused. Where it is null or repeated the rows get keys of
+their own: rows that share a ``doc_id`` are one node, whatever their texts, rows without one are nodes, and a component
+is named by its smallest ``doc_id`` (null if it has none, and for rows without ``doc_id``). Repeated rows get equal
+results; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,9 +30,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sheafline.llm import textbytes as tb
-from sheafline.llm.common import BROADCAST_IDS, matching, release, small_batches, stored
+from sheafline.llm.common import BROADCAST_IDS, discard, matching, release, small_batches, stored
 from sheafline.llm.components import components
 
 WORDS = 5
@@ -98,20 +101,24 @@ def _tokens(value: pa.Scalar) -> np.ndarray:
     return np.frombuffer(value.as_buffer(), np.int64)
 
 
-def _digests(batches):
-    """(doc_id, text) -> doc_id, n, a digest of the set in two numbers, and its first fifth."""
-    for batch in batches:
-        for a, b, buf, off in tb.runs(batch.column(1)):
-            token, n = shingles(buf, off)
-            ends, sums = np.cumsum(n), []
-            for salt in (1, 2):
-                at = np.zeros(len(token) + 1, np.uint64)
-                np.cumsum(tb.mixed(token.astype(np.uint64) + _ODD[salt]), out=at[1:])
-                sums.append(pa.array((at[ends] - at[ends - n]).view(np.int64)))
-            first = np.where(n > 0, prefix_size(n), 0)
-            parts = _binary([token[e - c : e - c + p] for e, c, p in zip(ends, n, first, strict=True)])
-            own = [batch.column(0).slice(a, b - a), pa.array(n.astype(np.int64))]
-            yield pa.RecordBatch.from_arrays([*own, *sums, parts], names=["doc_id", "n", "s1", "s2", "prefix"])
+def _digests(percent: int):
+    """(doc_id, text) -> doc_id, n, a digest of the set in two numbers, and the tokens of which a partner holds one."""
+
+    def run(batches):
+        for batch in batches:
+            for a, b, buf, off in tb.runs(batch.column(1)):
+                token, n = shingles(buf, off)
+                ends, sums = np.cumsum(n), []
+                for salt in (1, 2):
+                    at = np.zeros(len(token) + 1, np.uint64)
+                    np.cumsum(tb.mixed(token.astype(np.uint64) + _ODD[salt]), out=at[1:])
+                    sums.append(pa.array((at[ends] - at[ends - n]).view(np.int64)))
+                first = np.where(n > 0, prefix_size(n, percent), 0)
+                parts = _binary([token[e - c : e - c + p] for e, c, p in zip(ends, n, first, strict=True)])
+                own = [batch.column(0).slice(a, b - a), pa.array(n.astype(np.int64))]
+                yield pa.RecordBatch.from_arrays([*own, *sums, parts], names=["doc_id", "n", "s1", "s2", "prefix"])
+
+    return run
 
 
 def _sets(batches):
@@ -463,19 +470,30 @@ def classes(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> tupl
     """(doc_id, n, s1, s2) of every row, and (s1, s2, id, n, prefix) of every class of equal non-empty sets."""
     small_batches(docs.sparkSession)
     digested = "doc_id bigint, n bigint, s1 bigint, s2 bigint, prefix binary"
-    rows = stored(_texts(docs, text).mapInArrow(_digests, digested), "sets")
-    grouped = rows.where("n > 0 and doc_id is not null").groupBy("s1", "s2", "n")
-    kinds = grouped.agg(F.min("doc_id").alias("id"), F.min_by("prefix", "doc_id").alias("prefix"))
-    return rows.select("doc_id", "n", "s1", "s2"), stored(kinds, "classes")
+    wide = stored(_texts(docs, text).mapInArrow(_digests(percent), digested), "sets")
+    grouped = wide.where("n > 0").groupBy("s1", "s2", "n")
+    kinds = stored(grouped.agg(F.min("doc_id").alias("id"), F.min_by("prefix", "doc_id").alias("prefix")), "classes")
+    rows = stored(wide.select("doc_id", "n", "s1", "s2"), "rows")
+    discard(wide)
+    return rows, kinds
 
 
 def groups_of(docs: DataFrame, kinds: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """(node, component) of every class that has a link."""
+    """(node, component) of every class that has a link. The table ``kinds`` is used up: its prefixes are needed once."""
     small_batches(docs.sparkSession)
+
+    def narrowed(found: DataFrame) -> DataFrame:
+        """What is needed of ``found`` once its pairs are counted: the holders of common tokens."""
+        common = stored(found.where("common"), "common")
+        discard(found)
+        return common
+
     first = kinds.select("id", "n", "prefix").mapInArrow(_postings, _POSTING)
     found = stored(paired(first, percent), "pairs")
+    discard(kinds)
     release()
     pairs = stored(promising(found, percent), "pairs")
+    found = narrowed(found)
 
     def named(ids: DataFrame) -> DataFrame:
         """Documents of the given classes."""
@@ -493,8 +511,10 @@ def groups_of(docs: DataFrame, kinds: DataFrame, text: str = "text", percent: in
         return pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
 
     links = stored(verified(pairs, fetched(ends_of(pairs)), percent), "links")
+    discard(pairs)
     release()
     groups = components(links)
+    discard(links)
     before, moved = None, None
     while True:
         held = stored(unsettled(found, groups), "held")
@@ -507,27 +527,78 @@ def groups_of(docs: DataFrame, kinds: DataFrame, text: str = "text", percent: in
         before = left
         known = likely_common(named(ids), text) if moved is None else moved
         moved = stored(known.unionByName(held.select("token")).distinct(), "moved")
+        discard(found)
         found = stored(paired(reposted(named(ids), text, moved, percent), percent), "pairs")
+        discard(held)
         release()
         pairs = stored(promising(found, percent), "pairs")
+        found = narrowed(found)
         links = stored(verified(pairs, fetched(ends_of(pairs)), percent), "links")
+        discard(pairs)
         release()
         groups = components(settled(groups).unionByName(links))
+        discard(links)
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row."""
+def components_of(docs: DataFrame, text: str, percent: int, same: DataFrame | None = None) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row; ids are unique, ``same`` holds pairs (a, b) of ids to link."""
     rows, kinds = classes(docs, text, percent)
+    names = stored(kinds.select("s1", "s2", "n", "id"), "names")
     groups = groups_of(docs, kinds, text, percent)
-    named = kinds.select("s1", "s2", "n", "id").join(groups.withColumnRenamed("node", "id"), "id", "left")
+    if same is not None:
+        owner = rows.join(names, ["s1", "s2", "n"]).select("doc_id", "id")
+        ends = same.join(owner.withColumnsRenamed({"doc_id": "a", "id": "ka"}), "a")
+        ends = ends.join(owner.withColumnsRenamed({"doc_id": "b", "id": "kb"}), "b").select(F.col("ka").alias("a"), F.col("kb").alias("b"))
+        groups = components(ends.unionByName(groups.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+    named = names.join(groups.withColumnRenamed("node", "id"), "id", "left")
     named = named.select("s1", "s2", "n", F.coalesce("component", "id").alias("component"))
     return rows.join(named, ["s1", "s2", "n"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
     )
 
 
+_KEY = "__row"
+
+
+def _keyed(docs: DataFrame) -> DataFrame | None:
+    """None if every row has a ``doc_id`` of its own; else the rows with a key, written so that the key stays."""
+    kind = docs.schema["doc_id"].dataType
+    if not isinstance(kind, T.IntegralType):
+        raise TypeError(f"doc_id must be a whole number, not {kind.simpleString()}")
+    counted = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    if counted.where("n > 1 or doc_id is null").isEmpty():
+        return None
+    return stored(docs.withColumn(_KEY, F.monotonically_increasing_id()), "keyed")
+
+
+def near_duplicates(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row."""
+    keyed = _keyed(docs.select("doc_id", text))
+    if keyed is None:
+        return components_of(docs, text, percent)
+    ids = keyed.select(_KEY, "doc_id")
+    firsts = ids.where("doc_id is not null").groupBy("doc_id").agg(F.min(_KEY).alias("b"))
+    same = ids.join(firsts, "doc_id").where(F.col(_KEY) != F.col("b")).select(F.col(_KEY).alias("a"), "b")
+    found = components_of(keyed.select(F.col(_KEY).alias("doc_id"), text), text, percent, same)
+    found = stored(ids.join(found.withColumnRenamed("doc_id", _KEY), _KEY), "found")
+    names = found.groupBy("component_id").agg(F.min("doc_id").alias("name"))
+    own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("name"))
+    return found.join(names, "component_id").select("doc_id", "n_shingles", own.alias("component_id"))
+
+
 def one_of_each(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """Rows of ``docs`` whose document is the smallest of its group; rows without words stay."""
-    found = near_duplicates(docs, text, percent)
-    dropped = stored(found.where("component_id <> doc_id").select("doc_id").distinct(), "dropped")
-    return matching(docs, dropped, "doc_id", "left_anti")
+    """One row of each group of near duplicates, that of the smallest ``doc_id``; rows without words stay.
+
+    Rows count by their texts: rows that share a ``doc_id`` but not a text are compared like any others.
+    """
+    keyed = _keyed(docs)
+    if keyed is None:
+        found = components_of(docs, text, percent)
+        dropped = stored(found.where("component_id <> doc_id").select("doc_id").distinct(), "dropped")
+        return matching(docs, dropped, "doc_id", "left_anti")
+    found = components_of(keyed.select(F.col(_KEY).alias("doc_id"), text), text, percent).where("n_shingles > 0")
+    found = stored(found.withColumnRenamed("doc_id", _KEY).join(keyed.select(_KEY, "doc_id"), _KEY), "found")
+    first = F.min_by(_KEY, F.struct(F.col("doc_id").isNull(), "doc_id", _KEY)).alias("first")
+    firsts = found.groupBy("component_id").agg(first)
+    dropped = stored(found.join(firsts, "component_id").where(F.col(_KEY) != F.col("first")).select(_KEY), "dropped")
+    return matching(keyed, dropped, _KEY, "left_anti").drop(_KEY)
