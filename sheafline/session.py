@@ -42,6 +42,10 @@ def built_once(name: str, build: Callable):
     return column
 
 
+#: The folder of each local application.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder for checkpoints and intermediate tables: the one the cluster names in ``spark.checkpoint.dir``.
 
@@ -52,7 +56,10 @@ def shared_folder(spark: SparkSession) -> str:
     if configured:
         return configured
     if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="spark-")
+        application = spark.sparkContext.applicationId
+        if application not in _LOCAL_FOLDERS:
+            _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="spark-")
+        return _LOCAL_FOLDERS[application]
     raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder for checkpoints")
 
 

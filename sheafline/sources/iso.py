@@ -79,6 +79,11 @@ _XML_OPTIONS = {"ignoreNamespace": "true", "ignoreSurroundingSpaces": "true", "m
 _RECORD_START = r"<(?:[\w.-]+:)?MD_Metadata(?=[\s>/])"
 # A record up to its end tag, or an element that is closed at once.
 _RECORD_CLOSED = r"(?s)\A(<[^<>]*/>|.*</(?:[\w.-]+:)?MD_Metadata\s*>)"
+# A comment or CDATA section, closed or not.
+_ASIDE = r"<!--.*?(?:-->|\z)|<!\[CDATA\[.*?(?:\]\]>|\z)"
+# Such a section before the first record, or (group 1) a record with all that follows up to the next one. The
+# possessive loop runs without recursion and never steps back.
+_RECORD_PIECE = rf"(?s)(?:{_ASIDE})|({_RECORD_START}(?:[^<]++|{_ASIDE}|(?!{_RECORD_START})<)*+)"
 
 
 def _txt(t: Column) -> Column:
@@ -198,32 +203,27 @@ def all_tagged(metadata_contacts: Column, resource_contacts: Column) -> Column:
 # --- response -> records ---------------------------------------------------------------------
 
 
-def _opens(piece: Column, start: str, end: str) -> Column:
-    """Whether the last ``start`` of the text has no ``end`` behind it."""
-    return piece.contains(start) & ~F.substring_index(piece, start, -1).contains(end)
-
-
 def record_pieces(body: Column) -> Column:
     """Every record element of a response as text, cut at each start tag outside comments and CDATA.
 
-    A record without end tag reaches to the next start tag, or to the end of the body, and so costs no neighbour.
+    A record without end tag reaches to the next start tag, or to the end of the body, and so costs no neighbour; an
+    open comment or CDATA section reaches to the end of the body. One pass over the body, whatever it holds.
     """
-    cut = F.split(body, f"(?={_RECORD_START})")
-    # A start tag inside a comment or CDATA cuts a piece in two: what follows an open one is put back.
-    joined = F.aggregate(
-        cut,
-        F.array().cast("array<string>"),
-        lambda done, piece: F.when(
-            (F.size(done) > 0)
-            & (_opens(F.element_at(done, -1), "<!--", "-->") | _opens(F.element_at(done, -1), "<![CDATA[", "]]>")),
-            F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.concat(F.element_at(done, -1), piece))),
-        ).otherwise(F.concat(done, F.array(piece))),
-    )
-    pieces = F.when(body.contains("<!--") | body.contains("<![CDATA["), joined).otherwise(cut)
-    starts = F.filter(pieces, lambda p: p.rlike(rf"\A{_RECORD_START}"))
-    return F.transform(
-        starts, lambda p: F.coalesce(truthy(F.regexp_extract(p, _RECORD_CLOSED, 1)), p)
-    )
+    plain = F.filter(F.split(body, f"(?={_RECORD_START})"), lambda p: p.rlike(rf"\A{_RECORD_START}"))
+    marked = F.filter(F.regexp_extract_all(body, F.lit(_RECORD_PIECE), F.lit(1)), lambda p: p != "")
+    pieces = F.when(body.contains("<!--") | body.contains("<![CDATA["), marked).otherwise(plain)
+    return F.transform(pieces, closed_record)
+
+
+def closed_record(piece: Column) -> Column:
+    """A record element up to its end tag; all of it if there is none."""
+    return F.coalesce(truthy(F.regexp_extract(piece, _RECORD_CLOSED, 1)), piece)
+
+
+def parse_pieces(pieces: DataFrame) -> DataFrame:
+    """Typed records and errors of record elements (``raw`` and other columns), one row per element."""
+    keep = [c for c in pieces.columns if c != "raw"]
+    return parse_records(compute_once(pieces, [*keep, "raw"], x=F.from_xml(F.col("raw"), RECORD_XML, _XML_OPTIONS)))
 
 
 def split_records(responses: DataFrame) -> DataFrame:
@@ -532,10 +532,10 @@ def read_iso(responses: DataFrame) -> DataFrame:
     return parse_records(split_records(responses))
 
 
-def read_iso_files(spark: SparkSession, path: str, rdi: str, page: str = r"(\d+)\D*$") -> DataFrame:
+def read_iso_files(spark: SparkSession, path: str, rdi: str, page: str = r"(\d+)[^\d/]*$") -> DataFrame:
     """Landed response files, one whole body per file.
 
-    ``page`` finds the page number in a file's path, by default its last digits. A path without one is an error:
+    ``page`` finds the page number in a file's path, by default the last digits of its name. A path without one is an error:
     without page numbers neither page stops nor cuts mean anything.
     """
     files = spark.read.format("binaryFile").load(path)

@@ -4,16 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupStateTimeout
 
-from sheafline.operators.dedup import dedup_urls
+from sheafline.operators.dedup import duplicate_outcomes
+from sheafline.operators.outcomes import to_outcomes
 from sheafline.operators.scan import arrival_ordinal
 from sheafline.plans.graph_arc import graph_outcomes
 from sheafline.plans.record_arc import record_outcomes
-from sheafline.sources.iso import read_iso
-from sheafline.sources.jsonld import page_graphs
+from sheafline.sources.iso import closed_record, parse_pieces, read_iso
+from sheafline.sources.jsonld import block_graphs, page_blocks, page_graphs
+from sheafline.sources.sitemap import read_urlset
 
 LANDED = "rdi string, seq bigint, url string, base_url string, batch bigint, body string, landed_at timestamp"
 
@@ -26,28 +30,93 @@ def stream_landed(spark: SparkSession, path: str, schema: str = LANDED, max_file
     return reader.parquet(path)
 
 
-def stream_bodies(spark: SparkSession, path: str, rdi: str, base_url: str, page: str = r"(\d+)\D*$") -> DataFrame:
+#: Pages below 2^22 and bytes of a file below 2^41 share one ordinal.
+_OFFSET_BITS = 41
+_LOST = "no page was landed"
+_PAGES = 2**22
+
+
+def page_number(path: Column, page: str, limit: int = 2**31) -> Column:
+    """Page number in a file's path; null where there is none or it is ``limit`` or more."""
+    number = F.regexp_extract(path, page, 1).try_cast("bigint")
+    return F.when((number >= 0) & (number < limit), number)
+
+
+def unnumbered(path: Column) -> Column:
+    """Message for a file whose path has no usable page number."""
+    return F.concat(F.lit("No page number in "), path)
+
+
+def stream_bodies(spark: SparkSession, path: str, rdi: str, base_url: str, page: str = r"(\d+)[^\d/]*$") -> DataFrame:
     """Raw response files as they arrive, one whole body per row, ready for :func:`stream_record_outcomes`.
 
-    ``page`` finds the page number in a file's path; a path without one is an error.
+    ``page`` finds the page number in a file's path; ``batch`` is null where it finds none.
     """
     raw = spark.readStream.format("text").option("wholetext", "true").load(path)
     named = raw.select(F.col("_metadata.file_path").alias("url"), F.col("value").alias("body"))
-    number = F.regexp_extract("url", page, 1)
-    wrong = F.raise_error(F.concat(F.lit("No page number in "), F.col("url"))).cast("bigint")
     return named.select(
-        F.lit(rdi).alias("rdi"),
-        F.lit(base_url).alias("base_url"),
-        F.when(number != "", number.cast("bigint")).otherwise(wrong).alias("batch"),
-        "url",
-        "body",
+        F.lit(rdi).alias("rdi"), F.lit(base_url).alias("base_url"), page_number(F.col("url"), page).alias("batch"), "url", "body"
     )
 
 
 def stream_record_outcomes(landed: DataFrame) -> DataFrame:
-    """Catalogue responses -> outcomes. Row-local, so a broken record costs one error row and no state."""
-    parsed = read_iso(landed.select("rdi", "base_url", "batch", "body"))
-    return record_outcomes(parsed.withColumn("seq", arrival_ordinal(F.col("batch"), F.col("pos"))), F.col("base_url"))
+    """Catalogue responses -> outcomes. Row-local, so a broken record costs one error row and no state.
+
+    A response without page number is one error: without it neither page stops nor cuts mean anything.
+    """
+    numbered = landed.where("batch IS NOT NULL").select("rdi", "base_url", "batch", "body")
+    parsed = read_iso(numbered)
+    good = record_outcomes(parsed.withColumn("seq", arrival_ordinal(F.col("batch"), F.col("pos"))), F.col("base_url"))
+    url = F.col("url") if "url" in landed.columns else F.col("base_url")
+    return good.unionByName(lost_file(landed.where("batch IS NULL"), url))
+
+
+def lost_file(rows: DataFrame, url: Column) -> DataFrame:
+    """Error outcomes of files without page number."""
+    return to_outcomes(
+        rows, rdi=F.col("rdi"), kind=F.lit("error"), record_id=url, source_url=url, message=unnumbered(url)
+    )
+
+
+def raw_chunks(reader, path: str, tag: str = "gmd:MD_Metadata") -> DataFrame:
+    """XML files of any size as text cut at the start tags ``<tag`` of their records: ``url, block, chunk``.
+
+    ``reader`` is ``spark.read`` or ``spark.readStream``. A file is divided over tasks; no row holds more than one
+    record and nothing reads a whole file. ``block`` is the offset of the part of the file that a task reads.
+    """
+    raw = reader.format("text").option("lineSep", f"<{tag}").load(path)
+    return raw.select(
+        F.col("_metadata.file_path").alias("url"), F.col("_metadata.file_block_start").alias("block"), F.col("value").alias("chunk")
+    )
+
+
+def chunk_outcomes(
+    chunks: DataFrame, rdi: str, base_url: str, tag: str = "gmd:MD_Metadata", page: str = r"(\d+)[^\d/]*$"
+) -> DataFrame:
+    """Chunks of a batch or micro-batch, as :func:`raw_chunks` or a stream of it yields them -> outcomes.
+
+    A record's ordinal is the page number in the file's path and its place: the offset of its block plus its number
+    there, which stays below the next block's offset. A record that is cut off by the end of the file, or is broken,
+    is an error row and costs no neighbour; so is a file without page number. A start tag in a comment or CDATA between
+    records is no record; inside a record it makes that record an error.
+    """
+    text = F.col("chunk")
+    # What follows a start tag begins with an attribute, with > or with />; the head of a file does not.
+    begins = text.rlike(r"\A(\s+[^\s<]|\s*/?>)")
+    place = F.col("block") + F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))
+    placed = chunks.select("url", "block", place.alias("pos"), text, begins.alias("begins"), F.lit(rdi).alias("rdi"))
+    cut = placed.withColumn("batch", page_number(F.col("url"), page, _PAGES))
+
+    def inside(start: str, end: str) -> Column:
+        at = F.instr(text, end)
+        return (at > 0) & ((F.instr(text, start) == 0) | (at < F.instr(text, start)))
+
+    element = F.concat(F.lit(f"<{tag}"), text)
+    records = cut.where(F.col("batch").isNotNull() & F.col("begins") & ~inside("<!--", "-->") & ~inside("<![CDATA[", "]]>"))
+    pieces = parse_pieces(records.select("rdi", "batch", "pos", closed_record(element).alias("raw")))
+    seq = F.shiftleft(F.col("batch"), _OFFSET_BITS) + F.col("pos")
+    outcomes = record_outcomes(pieces.withColumn("seq", seq), base_url)
+    return outcomes.unionByName(lost_file(cut.where("batch IS NULL AND block = 0 AND NOT begins"), F.col("url")))
 
 
 def stream_page_outcomes(landed: DataFrame) -> DataFrame:
@@ -69,44 +138,103 @@ def stream_counts(outcomes: DataFrame) -> DataFrame:
     )
 
 
-#: Folders of URL hashes in the seen table.
-SEEN_BUCKETS = 256
+def stream_window_counts(
+    outcomes: DataFrame, width: str, late: str, event_time: str = "landed_at", slide: str | None = None
+) -> DataFrame:
+    """Counters per repository and event-time window, each emitted once, when no row for it can count any more.
+
+    The watermark follows the latest ``event_time`` of earlier micro-batches by ``late``. A row counts if its window
+    ends after the watermark; later ones are dropped and reported as ``numRowsDroppedByWatermark`` in the query's
+    progress. State holds the open windows only.
+    """
+    window = F.window(event_time, width, slide) if slide else F.window(event_time, width)
+    counted = outcomes.withWatermark(event_time, late).groupBy("rdi", window.alias("w")).agg(
+        F.count_if(F.col("kind") == "arc").alias("harvested"),
+        F.count_if(F.col("kind") == "error").alias("failed"),
+        F.count_if(F.col("kind") == "skip").alias("skipped"),
+    )
+    return counted.select(
+        "rdi", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "harvested", "failed", "skipped"
+    )
 
 
-def flag_duplicates_into(out_path: str, seen_path: str) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function that flags repeats instead of dropping them.
+def stream_flags(discovered: DataFrame, ttl: str | None = None, event_time: str = "landed_at") -> DataFrame:
+    """Mark repeats (``rdi, seq, url, is_duplicate``) instead of dropping them, with one state entry per URL.
 
-    First sightings go to a seen table, one folder per hash bucket and micro-batch; a micro-batch reads the buckets
-    of its own URLs only. A replayed batch overwrites its own folders, so the result does not change.
+    Of a URL's rows in one micro-batch the one of the lowest ``seq`` is the first unless an earlier micro-batch had
+    it. A micro-batch looks up its own URLs in the state store and reads nothing else, so its cost does not follow
+    the history; with the RocksDB store (:func:`use_rocksdb`) state lies on disk. With ``ttl`` (``"7 days"``) an entry
+    expires once the latest ``event_time`` is that far past the URL's last sighting; rows that land more than ``ttl``
+    behind the latest are then too late and dropped. Only narrow rows reach this step, and a micro-batch is bounded
+    by its files.
     """
+    names = ["rdi", "seq", "url"]
+    timeout = GroupStateTimeout.NoTimeout
+    if ttl is not None:
+        discovered, names, timeout = discovered.withWatermark(event_time, ttl), [*names, event_time], GroupStateTimeout.EventTimeTimeout
+
+    def mark(key, frames, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows = pd.concat(list(frames)).sort_values("seq", kind="stable")
+        rows["is_duplicate"] = True
+        if not state.exists:
+            rows.iloc[0, rows.columns.get_loc("is_duplicate")] = False
+        state.update((True,))
+        if ttl is not None:
+            last = int(rows[event_time].max().timestamp() * 1000)
+            state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs()) + 1)
+        yield rows[["rdi", "seq", "url", "is_duplicate"]]
+
+    return discovered.select(*names).groupBy("rdi", "url").applyInPandasWithState(
+        mark, "rdi string, seq bigint, url string, is_duplicate boolean", "seen boolean", "append", timeout
+    )
 
-    def bucket() -> Column:
-        return F.pmod(F.xxhash64("rdi", "url"), F.lit(SEEN_BUCKETS)).cast("int")
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        columns = ["rdi", "seq", "url"]
-        flagged = dedup_urls(batch.select(*columns), mode="flag")
-        if batch_id > 0:
-            touched = [row[0] for row in batch.select(bucket()).distinct().collect()]
-            earlier = (
-                spark.read.schema("rdi string, url string, bucket int, batch_id bigint")
-                .parquet(seen_path)
-                .filter((F.col("batch_id") < batch_id) & F.col("bucket").isin(touched))
-                .select(F.col("rdi").alias("__rdi"), F.col("url").alias("__url"))
-                .distinct()
-                .withColumn("__seen", F.lit(True))
-            )
-            same = F.col("rdi").eqNullSafe(F.col("__rdi")) & F.col("url").eqNullSafe(F.col("__url"))
-            flagged = flagged.join(earlier, same, "left").select(
-                *columns, (F.col("is_duplicate") | F.col("__seen").isNotNull()).alias("is_duplicate")
-            )
-        flagged.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
-        flagged_back = spark.read.parquet(f"{out_path}/batch_id={batch_id}")
-        first = flagged_back.filter(~F.col("is_duplicate")).select("rdi", "url", bucket().alias("bucket"))
-        first.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{seen_path}/batch_id={batch_id}")
+def use_rocksdb(spark: SparkSession) -> None:
+    """Keep the state of this session's new streams in RocksDB instead of the executors' heaps."""
+    provider = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", provider)
 
-    return handle
+
+def stream_sitemap_outcomes(sitemaps: DataFrame, pages: DataFrame, wait: str) -> DataFrame:
+    """Discovery and extraction as one stream: landed sitemaps and landed pages -> outcomes.
+
+    ``sitemaps``: ``rdi, sitemap_url, batch, body, landed_at``, the URL sets of a repository; ``pages``: ``url, body,
+    landed_at``. A location meets its page if they land within ``wait`` of each other, in either order. A location
+    whose page has not landed by then is an error row once the watermark has passed. Only the JSON-LD blocks of a page
+    are kept while it waits. Locations listed again within ``wait`` are dropped here; :func:`stream_skips` reports
+    them. The watermark is that of the slower side, and after a restart it moves once both sides have landed anew.
+    """
+    listed = read_urlset(sitemaps.withWatermark("landed_at", wait).select("rdi", "sitemap_url", "batch", "body", "landed_at"))
+    seq = arrival_ordinal(F.col("batch"), F.col("pos")).alias("seq")
+    firsts = listed.select("rdi", seq, F.col("url").alias("loc"), F.col("landed_at").alias("listed_at"))
+    firsts = firsts.dropDuplicatesWithinWatermark(["rdi", "loc"])
+    blocks = page_blocks(pages.withWatermark("landed_at", wait).select("url", "landed_at", F.col("body").alias("html")))
+    span = F.expr(f"INTERVAL {wait}")
+    met = (F.col("url") == F.col("loc")) & F.col("landed_at").between(F.col("listed_at") - span, F.col("listed_at") + span)
+    joined = firsts.join(blocks, met, "left_outer")
+    # One branch for pages that came and pages that did not, so that the state exists once.
+    read = block_graphs(joined.select("rdi", "seq", F.col("loc").alias("url"), "blocks", F.col("url").isNull().alias("lost")))
+    graphs = read.withColumn("graph_error", F.when(F.col("lost"), F.lit(_LOST)).otherwise(F.col("graph_error")))
+    outcomes = graph_outcomes(graphs.drop("lost"))
+    lost = F.col("message") == F.concat(F.lit("Failed to map dataset "), "source_url", F.lit(f": {_LOST}"))
+    lost = F.coalesce(lost, F.lit(False))
+    return outcomes.withColumns(
+        {
+            "record_id": F.when(~lost, F.col("record_id")),
+            "message": F.when(lost, F.concat(F.lit("No page was landed for "), "source_url")).otherwise(F.col("message")),
+        }
+    )
+
+
+def stream_skips(sitemaps: DataFrame, ttl: str | None = None) -> DataFrame:
+    """Skip outcomes of the locations that landed sitemaps (with ``landed_at`` if there is a ``ttl``) list again."""
+    keep = [c for c in ("rdi", "sitemap_url", "batch", "body", "landed_at") if c in sitemaps.columns]
+    listed = read_urlset(sitemaps.select(*keep))
+    seq = arrival_ordinal(F.col("batch"), F.col("pos")).alias("seq")
+    return duplicate_outcomes(stream_flags(listed.select("rdi", seq, "url", *[c for c in keep if c == "landed_at"]), ttl))
 
 
 def publish_into(out_path: str) -> Callable[[DataFrame, int], None]:
