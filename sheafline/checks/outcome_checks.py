@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sheafline.checks.base import check, s, spread_table, table
 from sheafline.operators import catalog, fallback, outcomes, paging, report
-from sheafline.plans.registry import repository_rows, run_sources
+from sheafline.plans.registry import Repository, repository_rows, run_repositories, run_sources
 from sheafline.session import scratch_path
 
 _KIND = "CASE event_type WHEN 'error' THEN 'error' WHEN 'view' THEN 'skip' ELSE 'arc' END"
@@ -182,7 +182,7 @@ def repo_report(spark, d):
 
 @check(
     "run_report",
-    "AG7 FN45 SC13",
+    "AG7 FN45",
     f"""
 WITH {_OUT}, {_ERR}, {_COUNTS}, {_ADJUSTED}, {_ENRICHED}, {_FAILED},
 r AS (SELECT a.*, rdi::BIGINT % 4 <> 1 AS started, (SELECT max(rdi::BIGINT) FROM a) = rdi::BIGINT AS last,
@@ -461,6 +461,113 @@ def union_sources(spark, d):
     return outcomes.finalize_counts(repository_rows(repos), outcomes.harvest_counts(out))
 
 
+@check(
+    "repositories_side_by_side",
+    "SO4 AG2",
+    """
+WITH r AS (SELECT unnest(['late', 'docs', 'bad', 'ftp', 'web']) AS rdi, unnest([0, 1, 2, 3, 4])::BIGINT AS repo_no,
+                  unnest(['html_jsonld', 'iso', 'iso', 'ftp', 'html_jsonld']) AS source_type),
+n AS (SELECT 'docs' AS rdi, count(*) AS harvested, 0 AS failed FROM documents
+      UNION ALL SELECT 'web', 0, count(*) FROM pages WHERE page_id % 2 = 0
+      UNION ALL SELECT 'late', 0, count(*) FROM pages WHERE page_id % 2 = 1)
+SELECT r.rdi, repo_no, source_type, source_type <> 'ftp' AS harvest_started, rdi = 'bad' AS crashed, rdi = 'bad' AS explained,
+       CASE WHEN rdi = 'bad' THEN 0 ELSE harvested END AS harvested, CASE WHEN rdi <> 'bad' THEN failed END AS failed, 0::BIGINT AS skipped
+FROM r LEFT JOIN n USING (rdi)
+""",
+)
+def repositories_side_by_side(spark, d):
+    """Two page repositories, two catalogues of which one raises while it is read, and one of unknown type."""
+    from sheafline.checks.builders import iso_record, iso_response
+
+    docs = spread_table(spark, d, "documents")
+    record = iso_record(F.col("doc_id").cast("string"), F.col("source"), F.col("text"))
+    pages = table(spark, d, "pages")
+
+    def catalogue(rdi, batch):
+        return docs.select(
+            s(rdi).alias("rdi"), s("http://c/csw").alias("base_url"), batch.alias("batch"), iso_response(F.lit(10**9), record).alias("body")
+        )
+
+    def web(rdi, part):
+        return pages.where(F.col("page_id") % 2 == part).select(
+            s(rdi).alias("rdi"), F.col("page_id").alias("seq"), F.concat("url", s("#"), F.col("page_id").cast("string")).alias("url"), F.col("html").alias("body")
+        )
+
+    broken = F.when(F.col("doc_id") % 2 == 0, F.col("doc_id")).otherwise(F.raise_error(s("the landed table is damaged")).cast("bigint"))
+    configured = [
+        Repository("late", "html_jsonld", web("late", 1)),
+        Repository("docs", "iso", catalogue("docs", F.col("doc_id"))),
+        Repository("bad", "iso", catalogue("bad", broken)),
+        Repository("ftp", "ftp", web("ftp", 0)),
+        Repository("web", "html_jsonld", web("web", 0)),
+    ]
+    out, rows = run_repositories(configured, scratch_path(spark, "repositories"))
+    final = outcomes.finalize_counts(rows, outcomes.harvest_counts(out))
+    return final.withColumn("explained", F.coalesce(F.col("message").contains("damaged"), F.lit(False))).drop("message")
+
+
+@check(
+    "publish_versions",
+    "SC11 FN38",
+    f"""
+WITH {_OUT}, v AS (SELECT rdi, arc_id, max(seq) AS last, bool_or(seq % 4 = 3) AS late FROM o WHERE kind = 'arc' GROUP BY ALL),
+e AS (SELECT rdi, arc_id, max(seq) FILTER (seq % 4 < 3) AS first_last FROM o WHERE kind = 'arc' GROUP BY ALL)
+SELECT 0::BIGINT AS version, 'created' AS change, count(first_last) AS n FROM e
+UNION ALL SELECT 2, CASE WHEN first_last IS NULL THEN 'created' ELSE 'updated' END, count(*) FROM v JOIN e USING (rdi, arc_id)
+          WHERE first_last IS NULL OR first_last <> last GROUP BY 2
+""",
+)
+def publish_versions(spark, d):
+    """Three quarters of the outcomes, the same again, which changes nothing, then all of them."""
+    from sheafline.sources.sinks import publish_arcs, published
+
+    path = scratch_path(spark, "published")
+    # A document that names its arrival differs whenever a later one of the same object has come.
+    named = F.regexp_replace("arc_json", s("}]}$"), F.concat(s(',"seq":'), F.col("seq").cast("string"), s("}]}")))
+    out = _outcomes(spark, d).withColumn("arc_json", named)
+    for version, part in enumerate((out.where("seq % 4 < 3"), out.where("seq % 4 < 3"), out)):
+        publish_arcs(part, path, version)
+    return published(spark, path).groupBy("version", "change").agg(F.count(F.lit(1)).alias("n"))
+
+
+@check(
+    "run_report_document",
+    "SC13 AG7",
+    f"""
+WITH {_OUT}, {_ERR}, {_COUNTS}, {_ADJUSTED}, {_ENRICHED}, {_FAILED},
+r AS (SELECT a.*, rdi::BIGINT % 4 <> 1 AS started FROM a),
+k AS (SELECT rdi, count(*) AS n, count(record_id) AS ids, count(url) AS urls FROM f GROUP BY rdi)
+SELECT r.rdi, 'PT' || regexp_replace(regexp_replace(printf('%.6f', rdi::BIGINT * 1.5), '0+$', ''), '\\.$', '') || 'S' AS duration,
+       CASE WHEN started THEN coalesce(harvested, 0) END AS harvested, CASE WHEN started THEN coalesce(failed, 0) END AS failed, skipped,
+       coalesce(n, 0) AS n_records, coalesce(ids, 0) AS n_ids, coalesce(urls, 0) AS n_urls
+FROM r LEFT JOIN k USING (rdi)
+""",
+)
+def run_report_document(spark, d):
+    """The run report written, read again by a JSON parser, and taken apart."""
+    from sheafline.sources.sinks import read_report, write_report
+
+    run = table(spark, d, "events").agg(F.min("ts").alias("start_time"), F.max("ts").alias("end_time"))
+    urls = outcomes.error_urls(_client_errors(spark, d), outcomes.arc_urls(_outcomes(spark, d)))
+    path = scratch_path(spark, "report")
+    problem = write_report(report.run_lines(run, _report_rows(spark, d), _failed(spark, d), urls=urls), path)
+    if problem is not None:
+        raise RuntimeError(problem)
+    listed = F.variant_get("report", "$['schema:result']", "array<variant>")
+    repo = read_report(spark, path).select(F.explode(listed).alias("r"))
+    field = lambda name, kind: F.variant_get("r", f"$['{name}']", kind)
+    records = F.coalesce(field("harvest:failedRecords", "array<variant>"), F.array().cast("array<variant>"))
+    holding = lambda name: F.size(F.filter(records, lambda x: F.variant_get(x, f"$['{name}']", "string").isNotNull())).cast("bigint")
+    return repo.select(
+        field("identifier", "string").alias("rdi"),
+        field("schema:duration", "string").alias("duration"),
+        *[field(f"harvest:{n}Datasets", "bigint").alias(n) for n in ("harvested", "failed", "skipped")],
+        F.size(F.filter(records, lambda x: F.variant_get(x, "$['harvest:message']", "string").isNotNull())).cast("bigint").alias("n_records"),
+        holding("harvest:recordId").alias("n_ids"),
+        holding("harvest:url").alias("n_urls"),
+    )
+
+
 @check(
     "sinks_roundtrip",
     "SC11",

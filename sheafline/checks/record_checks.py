@@ -236,7 +236,7 @@ SELECT doc_id,
   md5(array_to_string([CASE len(w[k]) % 5 WHEN 1 THEN 'http' || w[k] ELSE w[k] END || '|' || CASE WHEN k <= half THEN left(w[k], 1) ELSE '-' END
         || '|' || CASE len(w[k]) % 5 WHEN 1 THEN 'http' || w[k] ELSE '-' END for k in ix if len(w[k]) % 5 <> 0 AND w[k] <> ''], ';')) AS identifiers,
   md5(array_to_string([w[k] || '|' || CASE WHEN k <= half THEN 'd' || len(w[k]) ELSE '-' END || '|' || CASE WHEN k <= half + 1 THEN 'true' ELSE '-' END
-        for k in ix if k <= half AND w[k] <> ''], ';')) AS conformance,
+        for k in ix if w[k] <> ''], ';')) AS conformance,
   md5(array_to_string([(len(w[k]) + 0.5)::VARCHAR || '|' || CASE WHEN k <= 2 AND k <= half THEN 'km' ELSE 'm' END
         for k in ix if len(w[k]) % 3 <> 0], ';')) AS distances
 FROM i
@@ -255,7 +255,7 @@ def iso_arrays(spark, d):
     spaces = F.slice(per(F.col("w"), lambda x: F.substring(x, 1, 1)), F.lit(1), half)
     ids = iso.zip_identifiers(codes, spaces)
     conf = iso.zip_conformance(
-        F.slice("w", F.lit(1), half),
+        F.col("w"),
         F.array().cast("array<string>"),
         F.slice(per(F.col("w"), lambda x: F.concat(s("d"), F.length(x).cast("string"))), F.lit(1), half),
         F.array().cast("array<string>"),

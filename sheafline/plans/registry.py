@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -108,28 +111,57 @@ def run_sources(landed: dict[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def run_isolated(landed: dict[str, DataFrame], path: str) -> tuple[DataFrame, DataFrame]:
-    """Outcomes written source by source below ``path``, and the sources whose whole run failed.
+@dataclass(frozen=True)
+class Repository:
+    """One configured repository: its id, its source type and what was landed for it."""
 
-    A source that fails while it is planned or run leaves nothing behind but a row ``rdi, message, url`` per
-    repository, as ``failed_records`` takes them; the others are not affected.
+    rdi: str
+    source_type: str
+    landed: DataFrame
+
+
+def run_repositories(configured: Sequence[Repository], path: str, side_by_side: int = 8) -> tuple[DataFrame, DataFrame]:
+    """Repositories harvested side by side: their outcomes, and one report row for each in configured order.
+
+    Each is planned and written below ``path`` in a thread and a scheduler pool of its own, ``side_by_side`` at a time,
+    so a slow one does not hold up the others. One that fails at any point leaves no outcome; its row is ``crashed``
+    with a message, as ``finalize_counts`` and ``failed_records`` take it. One of unknown type is not started. The
+    rows are ``rdi, repo_no, source_type, harvest_started, crashed, message``; ids may repeat. Outcomes are those
+    rows of a repository's source that carry its id.
     """
-    spark = next(iter(landed.values())).sparkSession
-    outcomes = spark.createDataFrame([], OUTCOME)
-    failures = spark.createDataFrame([], "rdi string, message string, url string")
-    for kind, df in landed.items():
-        if kind not in SOURCES:
-            continue
-        target = f"{path.rstrip('/')}/source_type={kind}"
+    if not configured:
+        raise ValueError("no repository is configured")
+    spark = configured[0].landed.sparkSession
+    folder = lambda number: f"{path.rstrip('/')}/repo_no={number}"
+
+    def run(number: int, repository: Repository) -> str | None:
+        pool = "spark.scheduler.pool"
+        spark.sparkContext.setLocalProperty(pool, f"repository-{number}")
         try:
-            SOURCES[kind](df).write.parquet(target)
+            found = SOURCES[repository.source_type](repository.landed).where(F.col("rdi") == repository.rdi)
+            found.write.mode("overwrite").parquet(folder(number))
         except Exception as error:  # whatever a source raises is its own failure, not that of the run
-            said = F.lit(f"{type(error).__name__}: {str(error).splitlines()[0][:500]}")
-            lost = df.select("rdi").distinct().select("rdi", said.alias("message"), F.lit(None).cast("string").alias("url"))
-            failures = failures.unionByName(lost)
-        else:
-            outcomes = outcomes.unionByName(spark.read.schema(OUTCOME).parquet(target))
-    return outcomes, failures
+            return f"{type(error).__name__}: {(str(error).splitlines() or [''])[0]}"
+        finally:
+            spark.sparkContext.setLocalProperty(pool, None)
+        return None
+
+    started = [(k, r) for k, r in enumerate(configured) if r.source_type in SOURCES]
+    with ThreadPoolExecutor(max_workers=side_by_side) as threads:
+        work = inheritable_thread_target(spark)(run)
+        messages = dict(zip([k for k, _ in started], threads.map(lambda x: work(*x), started), strict=True))
+    rows = [
+        (r.rdi, k, r.source_type, k in messages, messages.get(k) is not None, messages.get(k)) for k, r in enumerate(configured)
+    ]
+    schema = "rdi string, repo_no bigint, source_type string, harvest_started boolean, crashed boolean, message string"
+    good = [spark.read.schema(OUTCOME).parquet(folder(k)) for k, m in messages.items() if m is None]
+    outcomes = reduce(lambda x, y: x.unionByName(y), good, spark.createDataFrame([], OUTCOME))
+    return outcomes, spark.createDataFrame(rows, schema)
+
+
+def crashed_runs(report: DataFrame) -> DataFrame:
+    """``rdi, message, url`` of the repositories whose whole run failed, for ``failed_records``."""
+    return report.where("crashed").select("rdi", "message", F.lit(None).cast("string").alias("url"))
 
 
 def repository_rows(repos: DataFrame) -> DataFrame:

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sheafline.operators.outcomes import arc_identifier
+from sheafline.operators.once import compute_once
+
+#: Rows of a folder of published objects; each run has a version folder of its own.
+PUBLISHED = "rdi string, arc_id string, digest string, change string, arc_json string, version bigint"
+
 
 def write_arcs(outcomes: DataFrame, path: str, mode: str = "overwrite", rebalance: bool = True) -> None:
     """One JSON-LD document per line, one folder per repository.
@@ -30,10 +37,67 @@ def write_archive(records: DataFrame, path: str, mode: str = "overwrite") -> Non
     ).parquet(path)
 
 
-def write_report(lines: DataFrame, path: str, mode: str = "overwrite") -> None:
+def published(spark: SparkSession, path: str) -> DataFrame:
+    """Every version of every object published below ``path``; ``change`` says how a version came about."""
+    return spark.read.schema(PUBLISHED).parquet(f"{path}/versions")
+
+
+def current_arcs(spark: SparkSession, path: str) -> DataFrame:
+    """The latest version of each object: ``rdi, arc_id, digest, change, arc_json, version``."""
+    rest = F.struct("digest", "change", "arc_json", "version")
+    latest = published(spark, path).groupBy("rdi", "arc_id").agg(F.max_by(rest, "version").alias("o"))
+    return latest.select("rdi", "arc_id", "o.*")
+
+
+def publish_arcs(outcomes: DataFrame, path: str, version: int) -> DataFrame:
+    """Create or update the objects of ``outcomes`` below ``path``; returns what changed (``rdi, arc_id, change``).
+
+    Only objects whose document differs from the one published last are written, as rows of ``version``; earlier
+    versions stay. Of several documents of one object the last by ``seq`` counts; documents without identifier are
+    not published. What is published is read as digests, so unchanged documents are not compared byte by byte nor
+    moved. Versions rise; a run that is repeated under its version sees the versions before it and overwrites its own.
+    """
+    spark = outcomes.sparkSession
+    arcs = compute_once(
+        outcomes.where("kind = 'arc'"), ["rdi", "seq", "arc_json"],
+        arc_id=arc_identifier(F.col("arc_json")), digest=F.sha2("arc_json", 256),
+    ).where("arc_id IS NOT NULL")
+    new = arcs.groupBy("rdi", "arc_id").agg(F.max_by(F.struct("digest", "arc_json"), "seq").alias("o"))
+    new = new.select("rdi", "arc_id", "o.*")
+    known = spark.createDataFrame([], "rdi string, arc_id string, before string")
+    if version > 0:
+        earlier = published(spark, path).where(F.col("version") < version)
+        known = earlier.groupBy("rdi", "arc_id").agg(F.max_by("digest", "version").alias("before"))
+    same = F.col("n.rdi").eqNullSafe(F.col("k.rdi")) & (F.col("n.arc_id") == F.col("k.arc_id"))
+    joined = new.alias("n").join(known.alias("k"), same, "left")
+    changed = joined.where(F.col("before").isNull() | (F.col("before") != F.col("digest"))).select(
+        "n.rdi", "n.arc_id", "digest", F.when(F.col("before").isNull(), "created").otherwise("updated").alias("change"), "arc_json"
+    )
+    target = f"{path}/versions/version={version}"
+    changed.write.mode("overwrite").parquet(target)
+    return spark.read.schema(PUBLISHED).parquet(target).select("rdi", "arc_id", "change")
+
+
+def write_report(lines: DataFrame, path: str, mode: str = "overwrite") -> str | None:
     """Report lines in order: the part files, read in name order, are one JSON document.
 
-    Lines are joined by blanks, since a message may go on in the next line.
+    Lines are joined by blanks, since a message may go on in the next line. Rows are dealt out by ranges of their
+    place, so no task holds the report. A report that cannot be written must not fail the run it tells about: the
+    reason is returned instead.
     """
     ordered = lines.orderBy("repo_no", "section", "seq", "part").select("line")
-    ordered.write.mode(mode).option("lineSep", " ").text(path)
+    try:
+        ordered.write.mode(mode).option("lineSep", " ").text(path)
+    except PySparkException as error:
+        return f"{type(error).__name__}: {(str(error).splitlines() or [''])[0]}"
+    return None
+
+
+def read_report(spark: SparkSession, path: str) -> DataFrame:
+    """A written report as one parsed document (``report``, a variant; null if it is no JSON).
+
+    For readers that want the document in one cell, which holds as much as a cell can.
+    """
+    parts = spark.read.option("wholetext", "true").text(path).select(F.col("_metadata.file_path").alias("p"), F.col("value").alias("v"))
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("p", "v"))), lambda x: x["v"])
+    return parts.agg(F.try_parse_json(F.array_join(texts, "")).alias("report"))

@@ -2,7 +2,8 @@
 
 import json
 import random
-from collections import defaultdict
+import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from sheafline.plans import record_arc as ra
 from sheafline.plans import registry
 from sheafline.plans.registry import MAPPERS, SOURCES, Registry
 from sheafline.sources import iso, robots, sinks
-from sheafline.streaming import flows
+from sheafline.streaming import flows, reconcile
 
 
 def test_blocked_scan_equals_plain_window(spark):
@@ -257,28 +258,180 @@ def test_registry():
     assert "general" in MAPPERS and "iso" in SOURCES
 
 
-def test_stream_flag_is_idempotent_per_batch(spark, tmp_path):
-    handle = flows.flag_duplicates_into(str(tmp_path / "out"), str(tmp_path / "seen"))
-    one = spark.createDataFrame([("r", 1, "u"), ("r", 2, "u"), ("r", 3, "v")], "rdi string, seq bigint, url string")
-    two = spark.createDataFrame([("r", 4, "u"), ("r", 5, "w")], "rdi string, seq bigint, url string")
-    for batch, number in ((one, 0), (two, 1), (two, 1)):
-        handle(batch, number)
+def test_stream_flag_keeps_its_state_over_runs(spark, tmp_path):
+    schema = "rdi string, seq bigint, url string, landed_at timestamp"
+    at = lambda day: f"2024-01-{day:02d} 00:00:00"
+    deliveries = [
+        [("r", 1, "u", at(1)), ("r", 2, "u", at(1)), ("r", 3, "v", at(1))],
+        [("r", 4, "u", at(2)), ("r", 5, "w", at(2)), (None, 6, "u", at(2)), (None, 7, "u", at(2))],
+        [("r", 8, "x", at(30))],
+        [("r", 9, "u", at(30)), ("r", 10, "x", at(30))],
+    ]
+    for ttl, firsts in ((None, [1, 3, 5, 6, 8]), ("7 days", [1, 3, 5, 6, 8, 9])):
+        base = tmp_path / str(ttl)
+        for rows in deliveries:
+            frame = spark.createDataFrame(rows, "rdi string, seq bigint, url string, at string")
+            frame = frame.selectExpr("rdi", "seq", "url", "CAST(at AS TIMESTAMP) AS landed_at")
+            frame.coalesce(1).write.mode("append").parquet(str(base / "in"))
+            stream = flows.stream_flags(flows.stream_landed(spark, str(base / "in"), schema), ttl)
+            write = lambda batch, n, base=base: batch.write.mode("overwrite").parquet(f"{base}/out/batch_id={n}")
+            flows.run_available(stream, write, str(base / "state"))
+        out = spark.read.schema("rdi string, seq bigint, url string, is_duplicate boolean").parquet(str(base / "out")).collect()
+        assert sorted(r.seq for r in out) == list(range(1, 11))
+        assert sorted(r.seq for r in out if not r.is_duplicate) == firsts
+
+
+def test_reconcile_ignores_what_was_not_committed_and_replaces_what_is_run_again(spark, tmp_path):
+    base = str(tmp_path)
+    arc = lambda i: '{"@graph":[{"@id":"./","identifier":"%s"}]}' % i
+    rows = [
+        ("r", 1, "arc", arc("a"), None, "u1", None, None, None),
+        ("r", 2, "arc", arc("a"), None, "u2", None, None, None),
+        ("r", 3, "error", None, "x", "u3", "bad", None, None),
+        ("r", 4, "upload", None, None, None, "twice", "DUPLICATE", "a"),
+        ("s", 5, "skip", None, None, "u", None, None, None),
+        ("t", 6, "upload", None, None, None, "refused", "INVALID", None),
+    ]
+    batch = spark.createDataFrame(rows, reconcile.MIXED)
+    publish = reconcile.reconcile_into(base)
+    for number in (0, 1, 1):
+        publish(batch.where("seq < 4") if number == 0 else batch.where("seq >= 4"), number)
+    # A batch that died before its commit left these behind.
+    stray = spark.createDataFrame([("r", "a", 9, "{}")], reconcile.TABLES["objects"])
+    stray.write.parquet(f"{base}/objects/batch_id=2")
+    counts = {r.rdi: (r.harvested, r.failed, r.skipped) for r in reconcile.reconciled_counts(spark, base).collect()}
+    assert counts == {"r": (1, 2, 0), "s": (None, None, 1)}
+    assert [(r.arc_id, r.arc_json, r.batch_id) for r in reconcile.current_objects(spark, base).collect()] == [("a", arc("a"), 0)]
+    errors, urls = reconcile.reconciled_errors(spark, base)
+    assert {(r.seq, r.message, r.n_urls) for r in errors.collect()} == {(4, "twice — source URLs:", 2), (6, "refused", 0)}
+    assert [r.url for r in urls.orderBy("rn").collect()] == ["u1", "u2"]
+    publish(batch.where("seq < 0"), 3)
+    assert reconcile.reconciled_counts(spark, base).count() == 2
+
+
+def test_no_file_name_or_broken_record_stops_a_raw_stream(spark, tmp_path):
+    record = "<MD_Metadata><fileIdentifier><CharacterString>{}</CharacterString></fileIdentifier>{}</MD_Metadata>"
+    files = {
+        "page-1.xml": "<r>" + record.format("a", "") + "<!-- <MD_Metadata> -->" + record.format("b", "<open>") + record.format("c", "") + "</r>",
+        "page-2.xml": "<r>" + record.format("d", "") + record.format("e", "")[:60],
+        "stray.xml": "<r>" + record.format("f", "") + "</r>",
+        "page-99999999999999999999.xml": "<r>" + record.format("g", "") + "</r>",
+        "page-3.xml": "",
+    }
+    (tmp_path / "in").mkdir()
+    for name, body in files.items():
+        (tmp_path / "in" / name).write_text(body)
+    publish = flows.publish_into(str(tmp_path / "out"))
+    handle = lambda batch, n: publish(flows.chunk_outcomes(batch, "r", "http://c", "MD_Metadata"), n)
+    chunks = flows.raw_chunks(spark.readStream, str(tmp_path / "in"), "MD_Metadata")
+    flows.run_available(chunks, handle, str(tmp_path / "state"))
+    rows = spark.read.parquet(str(tmp_path / "out")).orderBy("seq").collect()
+    placed = [(r.seq >> 41, r.message.split()[0] if r.record_id.startswith("owslib") else r.record_id) for r in rows if r.seq]
+    assert placed == [(1, "a"), (1, "Record"), (1, "c"), (2, "d"), (2, "Record")]
+    assert sorted(r.message.rsplit("/", 1)[1] for r in rows if r.seq is None) == ["page-99999999999999999999.xml", "stray.xml"]
+    again = flows.chunk_outcomes(flows.raw_chunks(spark.read, str(tmp_path / "in"), "MD_Metadata"), "r", "http://c", "MD_Metadata")
+    assert again.count() == len(rows)
+
+
+def test_bodies_without_page_number_are_errors(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "page.xml").write_text("<r/>")
+    stream = flows.stream_record_outcomes(flows.stream_bodies(spark, str(tmp_path / "in"), "r", "http://c"))
+    flows.run_available(stream, flows.publish_into(str(tmp_path / "out")), str(tmp_path / "state"))
+    [row] = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert row.kind == "error" and row.message.startswith("No page number in") and row.source_url.endswith("page.xml")
+
+
+def test_late_rows_are_dropped_and_reported(spark, tmp_path):
+    queries = []
+    for part, rows in enumerate(([("r", "arc", 20), ("r", "arc", 1)], [("r", "skip", 1), ("r", "error", 20)], [("z", "skip", 60)])):
+        frame = spark.createDataFrame(rows, "rdi string, kind string, day int").selectExpr(
+            "rdi", "kind", "timestamp_seconds(86400L * day) AS landed_at"
+        )
+        frame.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = flows.stream_landed(spark, str(tmp_path / "in"), "rdi string, kind string, landed_at timestamp")
+        write = lambda batch, n: batch.write.mode("overwrite").parquet(f"{tmp_path}/out/batch_id={n}")
+        queries.append(flows.run_available(flows.stream_window_counts(stream, "1 day", "3 days"), write, str(tmp_path / "state")))
     out = spark.read.parquet(str(tmp_path / "out")).collect()
-    flags = defaultdict(list)
-    for row in out:
-        flags[row["is_duplicate"]].append(row["seq"])
-    assert sorted(flags[False]) == [1, 3, 5] and sorted(flags[True]) == [2, 4]
-
-
-def test_a_failing_source_is_a_row(spark, tmp_path):
-    body = "<r><MD_Metadata><fileIdentifier><CharacterString>a</CharacterString></fileIdentifier></MD_Metadata></r>"
-    schema = "rdi string, base_url string, batch bigint, body string"
-    bad = spark.createDataFrame([("x", "http://c", -1, body), ("x", "http://c", -2, body)], schema)
-    page = '<script type="application/ld+json">{"@context":"https://schema.org/","@type":"Dataset","name":"n"}</script>'
-    good = spark.createDataFrame([("w", 0, "http://p", page)], "rdi string, seq bigint, url string, body string")
-    out, failures = registry.run_isolated({"iso": bad, "html_jsonld": good, "ftp": bad}, str(tmp_path))
-    assert [(r["rdi"], r["kind"]) for r in out.collect()] == [("w", "arc")]
-    assert [r["rdi"] for r in failures.collect()] == ["x"]
+    assert {(r.rdi, r.window_start.day, r.harvested, r.failed, r.skipped) for r in out} == {("r", 2, 1, 0, 0), ("r", 21, 1, 1, 0)}
+    dropped = [sum(o["numRowsDroppedByWatermark"] for p in q.recentProgress for o in p["stateOperators"]) for q in queries]
+    assert dropped == [0, 1, 0]
+
+
+@pytest.mark.parametrize("count", [40_000])
+def test_a_comment_does_not_make_the_cut_quadratic(spark, count):
+    record = "<MD_Metadata><a>text</a><a>text</a></MD_Metadata>"
+    sized = lambda head: spark.range(1).select(
+        F.size(iso.record_pieces(F.concat(F.lit(f"<r>{head}"), F.repeat(F.lit(record), count), F.lit("</r>")))).alias("n")
+    )
+    seconds = []
+    for head in ("", "<!-- <MD_Metadata> -->", "<![CDATA[<MD_Metadata>]]>"):
+        sized(head).first()
+        start = time.perf_counter()
+        assert sized(head).first().n == count
+        seconds.append(time.perf_counter() - start)
+    assert max(seconds[1:]) < 2 * seconds[0] + 1
+
+
+def test_record_cut_around_comments(spark):
+    bodies = [
+        "<r><!-- <MD_Metadata> --><g:MD_Metadata a='1'>x<!-- <MD_Metadata>y --></g:MD_Metadata> t <MD_Metadata/></r>",
+        "<r><MD_Metadata><![CDATA[<MD_Metadata>]]>q<MD_Metadata>z</MD_Metadata></r>",
+        "<r><MD_Metadata>a</MD_Metadata><!-- open <MD_Metadata>b</MD_Metadata></r>",
+        "<r><MD_MetadataX>no</MD_MetadataX><!-- --></r>",
+    ]
+    rows = spark.createDataFrame([(b,) for b in bodies], "b string").select(iso.record_pieces(F.col("b")).alias("p")).collect()
+    assert [r.p for r in rows] == [
+        ["<g:MD_Metadata a='1'>x<!-- <MD_Metadata>y --></g:MD_Metadata>", "<MD_Metadata/>"],
+        ["<MD_Metadata><![CDATA[<MD_Metadata>]]>q", "<MD_Metadata>z</MD_Metadata>"],
+        ["<MD_Metadata>a</MD_Metadata><!-- open <MD_Metadata>b</MD_Metadata>"],
+        [],
+    ]
+
+
+def test_repositories_run_side_by_side_and_fail_alone(spark, tmp_path, monkeypatch):
+    """Both sources wait for each other, so this ends only if they run at the same time."""
+    meet = threading.Barrier(2, timeout=60)
+
+    def waiting(df):
+        meet.wait()
+        return outcomes.to_outcomes(df, rdi=F.col("rdi"), seq=F.col("seq"), kind=F.lit("skip"))
+
+    def broken(df):
+        raise KeyError("first line\nsecond line")
+
+    monkeypatch.setitem(SOURCES._entries, "waiting", waiting)
+    monkeypatch.setitem(SOURCES._entries, "broken", broken)
+    landed = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "rdi string, seq bigint")
+    configured = [registry.Repository(r, t, landed) for r, t in (("b", "waiting"), ("c", "broken"), ("x", "ftp"), ("a", "waiting"))]
+    out, rows = registry.run_repositories(configured, str(tmp_path))
+    assert sorted((r.rdi, r.seq) for r in out.collect()) == [("a", 1), ("b", 2)]
+    got = [(r.rdi, r.harvest_started, r.crashed, r.message) for r in rows.orderBy("repo_no").collect()]
+    assert got == [("b", True, False, None), ("c", True, True, "KeyError: 'first line\\nsecond line'"), ("x", False, False, None), ("a", True, False, None)]
+    assert [r.message for r in registry.crashed_runs(rows).collect()] == [got[1][3]]
+    counts = {r.rdi: (r.harvested, r.failed, r.skipped) for r in outcomes.finalize_counts(rows, outcomes.harvest_counts(out)).collect()}
+    assert counts == {"b": (0, 0, 1), "c": (0, None, 0), "x": (None, None, 0), "a": (0, 0, 1)}
+
+
+def test_publishing_again_writes_nothing(spark, tmp_path):
+    arc = lambda i, x: '{"@graph":[{"@id":"./","identifier":"%s","x":%d}]}' % (i, x)
+    rows = lambda *objects: spark.createDataFrame([("r", k, "arc", arc(*o)) for k, o in enumerate(objects)], "rdi string, seq bigint, kind string, arc_json string")
+    path = str(tmp_path)
+    published = lambda df, v: sorted((r.arc_id, r.change) for r in sinks.publish_arcs(df, path, v).collect())
+    one = rows(("a", 1), ("b", 1), ("a", 2))
+    assert published(one, 0) == [("a", "created"), ("b", "created")]
+    assert published(one, 1) == []
+    two = rows(("b", 9), ("c", 1), ("a", 2))
+    for _ in range(2):  # a repeated run under one version changes nothing
+        assert published(two, 2) == [("b", "updated"), ("c", "created")]
+    assert published(rows(("b", 1)), 3) == [("b", "updated")]
+    assert {(r.arc_id, r.version) for r in sinks.current_arcs(spark, path).collect()} == {("a", 0), ("b", 3), ("c", 2)}
+    assert sinks.published(spark, path).count() == 5
+
+
+def test_a_report_that_cannot_be_written_does_not_raise(spark, tmp_path):
+    bad = spark.range(1).selectExpr("id repo_no", "0 section", "id seq", "id part", "raise_error('no text') line")
+    assert "no text" in sinks.write_report(bad.selectExpr("repo_no", "section", "seq", "part", "CAST(line AS STRING) line"), str(tmp_path / "r"))
 
 
 def test_raw_files_stream_into_outcomes(spark, tmp_path):
