@@ -2,6 +2,11 @@
 
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and returns the next stage's documents,
 the last one the pieces of the packed sequences.
+
+Every stage takes the whole table as its operator does: null and empty texts are scored, have no secrets and no near
+duplicates, weigh nothing in the mix and pack as their end id. Repeated rows get equal scores; one of them passes the
+second stage. Ties go to the smallest ``doc_id``. Columns beyond those of ``documents`` pass through the first four
+stages unchanged, also where a stage's operator uses their name. An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -10,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheafline.llm import mixing, ngram_join, packing, quality, secret_scan
-from sheafline.llm.common import stored, table
+from sheafline.llm.common import set_aside, stored, table
 
 #: A document goes if it is likelier to be of low quality.
 REJECT_BELOW = 0.5
@@ -20,8 +25,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that the classifier does not reject; it is fitted and calibrated on the labelled ones."""
     fold = quality.fold_of(F.col("doc_id"), 4)
     model = quality.fit(docs, table(spark, sf_dir, "labels"), fold != 2, fold == 3)
-    scored = quality.score(docs, model)
-    return scored.where(F.col("score") >= REJECT_BELOW).select(*docs.columns)
+    own, restored = set_aside(docs, ["score", "predicted"])
+    return restored(quality.score(own, model).where(F.col("score") >= REJECT_BELOW))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sheafline.llm.common import words_of
+from sheafline.llm.common import set_aside, words_of
 
 MAX_COPIES = 3
 WEIGHTS = (1, 2, 3)
@@ -85,7 +85,7 @@ def mix_counts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sour
 
 
 def mixed(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source") -> DataFrame:
-    """The mix itself: each document's row as often as it is taken."""
-    counted = mix_counts(docs, text, doc_id, source).where(F.col("copies") > 0)
-    repeated = counted.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return repeated.select(*docs.columns)
+    """The mix itself: each document's row as often as it is taken, all columns as they were."""
+    own, restored = set_aside(docs, [c for c in _OUT if c not in (text, doc_id, source)])
+    counted = mix_counts(own, text, doc_id, source).where(F.col("copies") > 0)
+    return restored(counted.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies")))))

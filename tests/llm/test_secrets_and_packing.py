@@ -134,3 +134,20 @@ def test_pipeline(spark, sf_dir):
     # How documents are cut follows the partitions; what is packed does not.
     tokens = lambda df: {tuple(r) for r in df.groupBy("doc_id").agg({"length": "sum"}).collect()}
     assert tokens(cp.run(spark, sf_dir)) == tokens(packed)
+
+
+def test_pipeline_stages_leave_columns_alone(spark, sf_dir):
+    """Null, empty, long and repeated rows, and columns that operators use for themselves."""
+    import corpus_pipeline as cp
+
+    docs = awkward(spark)
+    values = {(r.doc_id, r.text): r.asDict() for r in docs.collect()}
+    changed = {"secrets": {"n_chars"}}
+    for name, stage in cp.STAGES[:-1]:
+        out = stage(spark, docs, sf_dir)
+        assert out.columns == docs.columns and out.schema.fieldNames() == docs.schema.fieldNames()
+        for r in out.collect():
+            before = values[r.doc_id, r.text]
+            assert all(r[c] == before[c] for c in docs.columns if c not in changed.get(name, set()))
+        assert stage(spark, empty(spark), sf_dir).collect() == []
+    assert cp.near_duplicate_stage(spark, docs, sf_dir).count() == 6
