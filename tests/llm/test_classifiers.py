@@ -1,6 +1,7 @@
 """Held-out accuracy of the two classifiers, and awkward inputs."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from samples import awkward, empty, labels
@@ -88,6 +89,29 @@ def test_awkward_rows(spark, module):
     assert module.score(empty(spark), model).collect() == []
 
 
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_ridge_of_partition_sums_is_that_of_one_machine(spark, monkeypatch, partitions):
+    """All labelled rows in one least-squares problem, for any number of partitions; no copy of the model's own sums."""
+    monkeypatch.setattr(quality, "FIT_PARTITIONS", partitions)
+    docs, known = (spark.read.parquet(f"{SF}/{name}.parquet") for name in ("documents", "labels"))
+    fold = quality.fold_of(F.col("doc_id"), 4)
+    model = quality.fit(docs, known, fold != 2, fold == 3)
+    rows = docs.join(quality.mean_labels(known, "quality"), "doc_id").select("text", "y", fold.alias("fold")).collect()
+    [(_, _, buf, off)] = quality.tb.runs(pa.array([r.text for r in rows], pa.large_string()), 1 << 40)
+    stats, y, part = quality.statistics(buf, off), np.array([r.y for r in rows]), np.array([r.fold for r in rows])
+    seen = stats[part != 2]
+    assert np.allclose(model["mean"], seen.mean(axis=0)) and np.allclose(model["scale"], np.where(seen.std(axis=0) > 0, seen.std(axis=0), 1))
+    learnt = (part != 2) & (part != 3)
+    phi = quality.Projection(seen.mean(axis=0), np.where(seen.std(axis=0) > 0, seen.std(axis=0), 1))(stats[learnt])
+    # Ridge as least squares over extra rows; the last column is the intercept and is not penalised.
+    root = np.sqrt(quality.RIDGE * max(1.0, learnt.sum()) + 1e-9) * np.eye(phi.shape[1])
+    root[-1, -1] = np.sqrt(1e-9)
+    want = np.linalg.lstsq(np.vstack([phi, root]), np.append(y[learnt], np.zeros(len(root))), rcond=None)[0]
+    assert np.allclose(phi @ model["weights"], phi @ want, atol=1e-6)
+    scored = {r.doc_id: r.score for r in quality.score(docs, model).collect()}
+    assert len(scored) == docs.count() and min(scored.values()) >= 0 and max(scored.values()) <= 1
+
+
 def test_pooled_is_the_isotonic_fit():
     knots, values = quality.pooled(np.array([1.0, 2, 3, 4]), np.ones(4), np.array([0.0, 0.6, 0.2, 1.0]))
     assert knots.tolist() == [1, 2, 3, 4] and np.allclose(values, [0, 0.4, 0.4, 1])
