@@ -45,11 +45,15 @@ base AS (
          CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
          CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
   FROM d LEFT JOIN cov USING (doc_id)),
-failed AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base)
+failed AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+                  list_filter(string_split(text, chr(10) || chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS pa FROM base)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND NOT (100 * n_symbols > 20 * n_words) AND NOT (100 * n_dup_lines > 60 * n_lines)
+       NOT base_failed AND NOT (100 * n_symbols > 20 * n_words) AND NOT (100 * n_dup_lines > (CASE WHEN n_lines >= 10 THEN 30 ELSE 60 END) * n_lines)
        AND NOT (word_chars < 2 * n_words OR word_chars > 15 * n_words)
-       AND NOT (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 40 * word_chars) AS kept
+       AND NOT (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 40 * word_chars)
+       AND NOT (100 * length(regexp_replace(text, '[^0-9]', '', 'g')) > 40 * word_chars)
+       AND NOT (100 * len(list_filter({_WORDS}, lambda x: NOT regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]'))) > 50 * n_words)
+       AND NOT (len(pa) >= 4 AND 100 * len(list_distinct(pa)) < 50 * len(pa)) AS kept
 FROM failed
 """,
 )

@@ -42,6 +42,33 @@ def test_cascade_verdict_does_not_depend_on_order(spark):
     assert {r.name for r in rules.ordered(docs, given)} == {r.name for r in given}
 
 
+def test_long_texts_may_not_repeat_lines_as_short_ones_may(spark):
+    line = lambda k: " ".join(f"word{k}x{i} and" for i in range(5))
+    long_, short = [line(0 if k < 45 else k) for k in range(100)], [line(0 if k < 3 else k) for k in range(6)]
+    docs = spark.createDataFrame([(1, "\n".join(long_)), (2, "\n".join(short))], "doc_id bigint, text string")
+    verdicts = {r.doc_id: (r.base_failed, r.kept) for r in rules.apply_rules(docs).collect()}
+    assert verdicts == {1: (False, False), 2: (False, True)}
+
+
+def test_costly_rules_reject_and_run_on_survivors_only(spark):
+    prose = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)} and" for i in range(40))
+    texts = {
+        1: prose,
+        2: " ".join(f"{i}{i}{i} of" for i in range(100, 140)),
+        3: " ".join(f"({i}) -- x{i}" for i in "abcdefghijklmnopqrstuvwxyz"[:20]) + " ;; ??" * 30,
+        4: "\n\n".join([prose, "alpha beta gamma", "alpha beta gamma", "alpha beta gamma", "alpha beta gamma"]),
+    }
+    docs = rules.base_counts(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string"))
+    by_name = {r.name: r for r in rules.default_rules()}
+    for name, wanted in (("figures", {2}), ("repeated_paragraphs", {4})):
+        kept = {r.doc_id for r in rules.cascade(docs, [by_name[name]]).where("kept").collect()}
+        assert kept == set(texts) - wanted
+    assert 3 not in {r.doc_id for r in rules.cascade(docs, [by_name["no_letters"]]).where("kept").collect()}
+    # What a later rule needs is never computed for a row that an earlier one has rejected.
+    trap = rules.Rule("trap", F.col("__t") == 1, {"__t": F.when(F.col("doc_id") == 2, F.raise_error(F.lit("computed")).cast("int")).otherwise(0)})
+    assert rules.cascade(docs, [by_name["figures"], trap]).where("kept").count() == 3
+
+
 def test_rules_take_awkward_rows(spark):
     out = rules.apply_rules(awkward(spark))
     rows = {r.doc_id: r for r in out.collect()}
