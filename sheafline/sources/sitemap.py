@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sheafline.functions.text import strip
 from sheafline.operators.once import compute_once
-from sheafline.session import cut_lineage
+from sheafline.session import cut_lineage, scratch_path
 
 _XML_OPTIONS = {"ignoreNamespace": "true", "ignoreSurroundingSpaces": "false", "mode": "PERMISSIVE"}
 # First element after the prolog, comments and processing instructions.
@@ -70,29 +70,36 @@ def expand_sitemaps(roots: DataFrame, docs: DataFrame) -> DataFrame:
     """Documents reachable from each root through sitemap indexes: ``root, sitemap_url, depth``.
 
     One join round per level against the links of the index documents; a document already reached from
-    the same root is not visited again, so cycles and self-links end. Links and each level are written to the
-    shared folder once: XML is parsed once, lineage does not grow with the depth, and no level is rewritten.
+    the same root is not visited again, so cycles and self-links end. Links are written to the shared folder once:
+    XML is parsed once. Every level is a partition of one table there, its rows counted as they are written: lineage
+    and plan stay the same at any depth, and no level is rewritten.
     Spark sends a level to every executor when its measured size is small.
     """
+    spark = docs.sparkSession
     links = cut_lineage(
         _locs(docs, "sitemapindex", ["sitemap_url"]).select("sitemap_url", F.col("loc").alias("child")).distinct()
     )
-    frontier = cut_lineage(
-        roots.select(F.col("root"), F.col("root").alias("sitemap_url"), F.lit(0).alias("depth")).distinct()
-    )
-    reached, depth = frontier, 0
-    while not frontier.isEmpty():
-        depth += 1
-        nxt = (
-            links.join(frontier.select("root", "sitemap_url"), "sitemap_url")
+    levels = scratch_path(spark, "levels")
+    nodes = roots.select(F.col("root"), F.col("root").alias("sitemap_url")).distinct()
+    schema, depth = "root string, sitemap_url string, depth int", 0
+    while _written(nodes, f"{levels}/depth={depth}"):
+        reached = spark.read.schema(schema).parquet(levels)
+        nodes = (
+            reached.where(F.col("depth") == depth)
+            .join(links, "sitemap_url")
             .select("root", F.col("child").alias("sitemap_url"))
             .distinct()
-            .join(reached.select("root", "sitemap_url"), ["root", "sitemap_url"], "left_anti")
-            .withColumn("depth", F.lit(depth))
+            .join(reached, ["root", "sitemap_url"], "left_anti")
         )
-        frontier = cut_lineage(nxt)
-        reached = reached.unionByName(frontier)
-    return reached
+        depth += 1
+    return spark.read.schema(schema).parquet(levels)
+
+
+def _written(df: DataFrame, path: str) -> int:
+    """Write a table and return its number of rows; metrics of a plan that proved empty may be missing."""
+    rows = Observation()
+    df.observe(rows, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    return rows.get.get("n", 0)
 
 
 def discover_sitemap_urls(roots: DataFrame, docs: DataFrame) -> DataFrame:
