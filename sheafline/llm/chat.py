@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sheafline.llm.common import words_of
+from sheafline.llm.common import stored, words_of
 
 SPAN_TOKENS = 1024
 HISTORY_TOKENS = 256
@@ -70,57 +70,55 @@ def windows(turns: DataFrame) -> DataFrame:
     scanned = base.select(
         "*", F.sum("tokens").over(inside).alias("__ti"), F.count(F.lit(1)).over(inside).alias("__ni")
     ).join(blocks, [*conv, "__b"])
+    begin = F.col("__t0") + F.col("__ti") - F.col("tokens")
+    head, body = F.concat(F.lit("["), escape(F.col("role")), F.lit("] ")), escape(F.col("text"))
     placed = scanned.select(
         *conv,
-        "role",
-        "text",
         (F.col("__n0") + F.col("__ni")).alias("pos"),
-        (F.col("__t0") + F.col("__ti") - F.col("tokens")).alias("begin"),
-    ).withColumn("window", F.floor(F.col("begin") / SPAN_TOKENS).cast("bigint"))
-
-    starts = placed.groupBy(*conv, "window").agg(F.min("begin").alias("__start"))
-    system = (
-        placed.where(F.col("role") == "system")
-        .groupBy(*conv)
-        .agg(F.min_by(F.struct("pos", "window", "text"), "pos").alias("__s"))
-    )
-    fresh = placed.select(*conv, "window", "pos", "role", "text", F.lit(False).alias("again"))
-    is_first_system = F.col("__s.pos").isNotNull() & (F.col("pos") == F.col("__s.pos"))
-    narrow_system = system.select(*conv, F.struct("__s.pos").alias("__s"))
-    near_end = placed.where(F.col("begin") + HISTORY_TOKENS >= (F.col("window") + 1) * SPAN_TOKENS)
-    history = (
-        near_end.join(narrow_system, conv, "left")
-        .where(~is_first_system)
-        .withColumn("window", F.col("window") + 1)
-        .join(starts, [*conv, "window"])
-        .where(F.col("__start") - F.col("begin") <= HISTORY_TOKENS)
-        .select(*conv, "window", "pos", "role", "text", F.lit(True).alias("again"))
-    )
-    kept_system = (
-        starts.join(system, conv)
-        .where(F.col("window") > F.col("__s.window"))
-        .select(
-            *conv, "window", F.col("__s.pos").alias("pos"), F.lit("system").alias("role"),
-            F.col("__s.text").alias("text"), F.lit(True).alias("again"),
-        )
-    )
-    rows = fresh.unionByName(history).unionByName(kept_system)
-    head = F.concat(F.lit("["), escape(F.col("role")), F.lit("] "))
-    rows = rows.select(
-        *conv, "window", "pos", "again", head.alias("__head"), escape(F.col("text")).alias("__body"),
-        (~F.col("again") & (F.col("role") == "assistant")).alias("__loss"),
+        begin.alias("begin"),
+        F.floor(begin / SPAN_TOKENS).cast("bigint").alias("window"),
+        "role",
+        head.alias("__head"),
+        body.alias("__body"),
     ).select(
         *conv,
+        "pos",
+        "begin",
         "window",
-        F.struct(
-            "pos", "again",
-            F.concat("__head", "__body", F.lit(END)).alias("piece"),
-            F.length("__head").alias("skip"),
-            F.length("__body").alias("body"),
-            F.col("__loss").alias("loss"),
-        ).alias("t"),
+        "role",
+        F.concat("__head", "__body", F.lit(END)).alias("piece"),
+        F.length("__head").alias("skip"),
+        F.length("__body").alias("body"),
+    )
+    # Numbered once; what follows reads a few columns of it and moves every piece once more, to its windows.
+    placed = stored(placed, "turns")
+
+    fresh = F.struct("window", F.lit(False).alias("again"))
+    later = F.struct((F.col("window") + 1).alias("window"), F.lit(True).alias("again"))
+    near_end = F.col("begin") + HISTORY_TOKENS >= (F.col("window") + 1) * SPAN_TOKENS
+    turn = lambda again, retained: F.struct(
+        "pos", again.alias("again"), "piece", "skip", "body",
+        (~again & (F.col("role") == "assistant")).alias("loss"), "begin", F.lit(retained).alias("retained"),
+    ).alias("t")
+    rows = placed.select("*", F.explode(F.when(near_end, F.array(fresh, later)).otherwise(F.array(fresh))).alias("at"))
+    rows = rows.select(*conv, "at.window", turn(F.col("at.again"), False))
+    system = placed.where(F.col("role") == "system").groupBy(*conv)
+    system = system.agg(F.min_by(F.struct("window", turn(F.lit(True), True)), "pos").alias("__s"))
+    retained = (
+        placed.select(*conv, "window").distinct().join(system, conv).where(F.col("window") > F.col("__s.window"))
+    ).select(*conv, "window", "__s.t")
+    grouped = rows.unionByName(retained).groupBy(*conv, "window").agg(F.collect_list("t").alias("all"))
+    # A window that only history reaches does not exist; its first own turn says how far the history goes back.
+    grouped = grouped.withColumns(
+        {
+            "__start": F.array_min(F.transform(F.filter("all", lambda t: ~t.again), lambda t: t.begin)),
+            "__system": F.array_max(F.transform(F.filter("all", lambda t: t.retained), lambda t: t.pos)),
+        }
+    ).where("__start IS NOT NULL")
+    recent = lambda t: (F.col("__start") - t.begin <= HISTORY_TOKENS) & ~t.pos.eqNullSafe(F.col("__system"))
+    grouped = grouped.select(
+        *conv, "window", F.array_sort(F.filter("all", lambda t: ~t.again | t.retained | recent(t))).alias("ts")
     )
-    grouped = rows.groupBy(*conv, "window").agg(F.array_sort(F.collect_list("t")).alias("ts"))
     ts = F.col("ts")
     spans = F.aggregate(
         ts,
