@@ -16,7 +16,7 @@ through; clashing output columns are replaced.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sheafline.llm.common import set_aside, words_of
@@ -49,13 +49,23 @@ def source_targets(sized: DataFrame) -> DataFrame:
     return levels.select(*_SRC, "source_size", target.alias("target"))
 
 
-def mix_counts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source") -> DataFrame:
-    """``docs`` with ``size``, ``source_size``, ``target``, ``copies`` and ``taken`` (copies times size)."""
+def size_of(text: Column) -> Column:
+    """Number of words of a text."""
+    return F.size(words_of(text)).cast("bigint")
+
+
+def mix_counts(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source", sized_by: str | None = None
+) -> DataFrame:
+    """``docs`` with ``size``, ``source_size``, ``target``, ``copies`` and ``taken`` (copies times size).
+
+    ``docs`` is read three times. ``sized_by`` names a column that holds the sizes already, so that no text is needed.
+    """
     columns = [c for c in docs.columns if c not in _OUT]
     digest = F.md5(F.concat_ws(":", F.lit(SEED), F.col(doc_id).cast("string")))
     sized = docs.select(
         *columns,
-        F.size(words_of(F.col(text))).cast("bigint").alias("size"),
+        (size_of(F.col(text)) if sized_by is None else F.col(sized_by).cast("bigint")).alias("size"),
         F.col(source).isNull().cast("int").alias("__none"),
         F.coalesce(F.col(source), F.lit("")).alias("__src"),
         digest.alias("__h"),

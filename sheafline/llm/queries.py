@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheafline.llm import bpe, chat, license_scan, max_sketch, mixing, ngram_join, packing, period_runs, quality, rp_forest, rules, secret_scan, toxicity
-from sheafline.llm.common import table, words_of
+from sheafline.llm.common import stored, table, words_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -88,7 +88,10 @@ FROM r
 )
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document the mix takes."""
-    counted = mixing.mix_counts(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    # Texts are read once, to be counted.
+    narrow = stored(docs.select("doc_id", "source", mixing.size_of(F.col("text")).alias("n_words")), "sizes")
+    counted = mixing.mix_counts(narrow, sized_by="n_words")
     return counted.select("doc_id", "size", "source_size", "target", "taken")
 
 
