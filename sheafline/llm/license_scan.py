@@ -147,7 +147,9 @@ _DELIMITED = r'^(?:#![^\n]*\n)?\s*+(?:/\*(?s:.*?)\*/|<!--(?s:.*?)-->|"""(?s:.*?)
 _COMMENT = r"^(?:\s*+(?://|#|\*|/\*|--|;|%|!|\.\.|dnl\b|(?i:rem)\b).*|[^\p{L}\p{N}]*+)$"
 #: Any telling words, as of :func:`plain`.
 _ANY = "|".join(f"(?:{x})" for x in (*TELLING.values(), r"\bspdx license identifier\b", *(telling for _, telling in FULL)))
-_OUT = ("license", "cosine", "inherited", "inherited_from")
+#: An SPDX tag of more than one licence, as of :func:`plain`.
+_EXPRESSION = r"\bspdx license identifier (.+ (?:or|and|with) .+)"
+_OUT = ("license", "licenses", "cosine", "inherited", "inherited_from")
 
 
 def notices(text: Column) -> Column:
@@ -156,6 +158,13 @@ def notices(text: Column) -> Column:
     return F.when(text.rlike(CUES), parts).otherwise(F.array().cast("array<string>"))
 
 
+def alternatives(units: Column) -> Column:
+    """The licences of each SPDX expression among ``units`` as tags of their own, all as of :func:`plain`."""
+    tags = F.filter(units, lambda x: x.rlike(_EXPRESSION))
+    rests = F.transform(tags, lambda x: F.split(F.regexp_extract(x, _EXPRESSION, 1), " (?:or|and|with) "))
+    return F.transform(F.flatten(rests), lambda x: F.concat(F.lit("spdx license identifier "), x))
+
+
 def header(text: Column) -> Column:
     """The comment at the head of a text: its delimited comment, else its lines up to the first outside a comment."""
     delimited = F.regexp_extract(text, _DELIMITED, 0)
@@ -249,7 +258,10 @@ def ancestors(path: Column) -> Column:
 
 
 def scan(files: DataFrame, key: str, path: Column, text: str = "text", short_words: int | None = None) -> DataFrame:
-    """``files`` with license, cosine, and the licence inherited and the directory it comes from.
+    """``files`` with license, licenses, cosine, and the licence inherited and the directory it comes from.
+
+    ``license`` is that of the closest notice; ``licenses`` has, sorted, the licences of all notices of the text, each
+    licence of an SPDX expression included, and is empty where there is none.
 
     ``key`` names the rows; rows of equal key share their best notice.
     """
@@ -271,8 +283,9 @@ def scan(files: DataFrame, key: str, path: Column, text: str = "text", short_wor
     placed = files.select(*columns, at.alias("__path")).withColumn("__dir", F.get(ancestors(F.col("__path")), F.lit(0)))
     lines = units.select(F.explode("__lines").alias("words")).groupBy("words").agg(F.count(F.lit(1)).alias("times"))
     unit = lambda words, whole: F.struct(words.alias("words"), F.lit(whole).alias("whole"))
+    told = F.filter(F.array_union("__lines", "__blocks"), lambda x: x.rlike(_ANY))
     parts = F.concat(
-        F.transform(F.filter(F.array_union("__lines", "__blocks"), lambda x: x.rlike(_ANY)), lambda x: unit(x, False)),
+        F.transform(F.array_union(told, alternatives(told)), lambda x: unit(x, False)),
         F.when(F.col("__full").isNull(), F.array()).otherwise(F.array(unit(F.col("__full"), True))),
     )
     held = units.select("__key", "__path", "__dir", "__short", "__named", F.explode(parts).alias("u"))
@@ -281,7 +294,9 @@ def scan(files: DataFrame, key: str, path: Column, text: str = "text", short_wor
     found = held.drop("words").join(scored(distinct, lines), "unit").withColumn("full", F.col("full") & F.col("whole"))
     better = F.struct(~F.col("full"), -F.round("cosine", 9), "license", "__path")
     own = found.groupBy("__key").agg(
-        F.min_by("license", better).alias("license"), F.min_by("cosine", better).alias("cosine")
+        F.min_by("license", better).alias("license"),
+        F.min_by("cosine", better).alias("cosine"),
+        F.array_sort(F.collect_set("license")).alias("licenses"),
     )
     sure = F.col("full") | F.col("__named")
     in_files = found.where(sure | F.col("__short")).groupBy(F.col("__dir").alias("up"))
@@ -296,6 +311,7 @@ def scan(files: DataFrame, key: str, path: Column, text: str = "text", short_wor
     return out.select(
         *columns,
         "license",
+        F.coalesce("licenses", F.array().cast("array<string>")).alias("licenses"),
         "cosine",
         F.when(lacks, F.col("__near.dir_license")).alias("inherited"),
         F.when(lacks, F.col("__near.up")).alias("inherited_from"),

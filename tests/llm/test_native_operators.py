@@ -178,6 +178,25 @@ def digest(turns):
     return hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
 
 
+def test_every_licence_of_an_expression(spark):
+    texts = {
+        "a.c": "// SPDX-License-Identifier: MIT OR Apache-2.0\nint a;",
+        "b.c": "/* SPDX-License-Identifier: (GPL-2.0-or-later WITH Classpath-exception-2.0) AND BSD-3-Clause */\nint b;",
+        "c.py": "# SPDX-License-Identifier: MPL-2.0\nx = 1",
+        "d.py": "# SPDX-License-Identifier: Foo-1.0 OR Bar\nx = 1",
+        "e.py": None,
+    }
+    files = spark.createDataFrame([(p, t, [1]) for p, t in texts.items()], "path string, text string, licenses array<int>")
+    got = {r.path: (r.license, r.licenses) for r in license_scan.scan(files, "path", F.col("path")).collect()}
+    assert got == {
+        "a.c": ("Apache-2.0", ["Apache-2.0", "MIT"]),
+        "b.c": ("BSD-3-Clause", ["BSD-3-Clause", "GPL-2.0"]),
+        "c.py": ("MPL-2.0", ["MPL-2.0"]),
+        "d.py": (None, []),
+        "e.py": (None, []),
+    }
+
+
 def test_chat_round_trip(spark, monkeypatch):
     monkeypatch.setattr(chat, "SPAN_TOKENS", 40)
     monkeypatch.setattr(chat, "HISTORY_TOKENS", 15)
