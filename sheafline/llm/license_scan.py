@@ -268,9 +268,8 @@ def scan(files: DataFrame, key: str, path: Column, text: str = "text", short_wor
     columns = [c for c in files.columns if c not in _OUT]
     at = F.coalesce(path, F.lit(""))
     short = F.lit(False) if short_words is None else F.size(words_of(F.col("__text"))) <= short_words
-    # All texts are searched for a cue once; what follows reads those that have one.
     cued = files.where(F.col(text).rlike(FULL_CUES))
-    cued = stored(cued.select(F.col(key).alias("__key"), at.alias("__path"), F.col(text).alias("__text")), "licence_cues")
+    cued = cued.select(F.col(key).alias("__key"), at.alias("__path"), F.col(text).alias("__text"))
     content = F.col("__text")
     units = cued.select(
         "__key",
@@ -280,6 +279,8 @@ def scan(files: DataFrame, key: str, path: Column, text: str = "text", short_wor
         full_text(content).alias("__full"),
         short.alias("__short"),
     ).withColumns({"__dir": F.get(ancestors(F.col("__path")), F.lit(0)), "__named": is_named(F.col("__path"))})
+    # Texts are searched and cut once, where they lie; what follows reads the units of those that have a cue.
+    units = stored(units, "licence_units")
     placed = files.select(*columns, at.alias("__path")).withColumn("__dir", F.get(ancestors(F.col("__path")), F.lit(0)))
     lines = units.select(F.explode("__lines").alias("words")).groupBy("words").agg(F.count(F.lit(1)).alias("times"))
     unit = lambda words, whole: F.struct(words.alias("words"), F.lit(whole).alias("whole"))
