@@ -59,14 +59,14 @@ MAPPERS = Registry("payload type")
 
 
 def _first_of_each(found: DataFrame, order: list[str]) -> DataFrame:
-    """The first row of each URL, within its repository where there is one."""
-    keys = ["rdi", "url"] if "rdi" in found.columns else ["url"]
+    """The first row of each URL, within its repository; without repositories every sitemap is a source of its own."""
+    keys = ["rdi", "url"] if "rdi" in found.columns else ["sitemap_url", "url"]
     return dedup_urls(found.withColumn("__at", F.struct(*order)), mode="drop", keys=keys, seq="__at").drop("__at")
 
 
 @SITEMAPS.register("xml")
 def xml_urls(docs: DataFrame) -> DataFrame:
-    """Distinct locations of XML URL sets (``sitemap_url, body``)."""
+    """Distinct locations of XML URL sets (``sitemap_url, body``): of a repository with ``rdi``, else of each sitemap."""
     return _first_of_each(read_urlset(docs), ["sitemap_url", "pos"])
 
 

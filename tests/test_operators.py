@@ -14,7 +14,7 @@ from sheafline.operators import dedup, fallback, fetchlog, outcomes, paging, rep
 from sheafline.operators.scan import blocked_row_number, blocked_scan, ordinal_block, ordinal_width
 from sheafline.plans import record_arc as ra
 from sheafline.plans import registry
-from sheafline.plans.registry import MAPPERS, SOURCES, Registry
+from sheafline.plans.registry import MAPPERS, SITEMAPS, SOURCES, Registry
 from sheafline.sources import iso, robots, sinks
 from sheafline.streaming import flows, reconcile
 
@@ -258,6 +258,14 @@ def test_registry():
     assert "general" in MAPPERS and "iso" in SOURCES
 
 
+def test_sitemaps_without_repository_keep_locations_that_others_list_too(spark):
+    listed = lambda *urls: "<urlset>" + "".join(f"<url><loc>{u}</loc></url>" for u in urls) + "</urlset>"
+    docs = spark.createDataFrame([("r", "a", listed("u", "v", "u")), ("r", "b", listed("u"))], "rdi string, sitemap_url string, body string")
+    found = lambda df: sorted((r.sitemap_url, r.pos, r.url) for r in SITEMAPS["xml"](df).collect())
+    assert found(docs.drop("rdi")) == [("a", 0, "u"), ("a", 1, "v"), ("b", 0, "u")]
+    assert found(docs) == [("a", 0, "u"), ("a", 1, "v")]
+
+
 def test_stream_flag_keeps_its_state_over_runs(spark, tmp_path):
     schema = "rdi string, seq bigint, url string, landed_at timestamp"
     at = lambda day: f"2024-01-{day:02d} 00:00:00"
