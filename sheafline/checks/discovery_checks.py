@@ -120,8 +120,7 @@ WITH {_HITS} SELECT lang AS rdi, min(seq) AS seq, word AS object_id, 'https://'
 )
 def solr_docs(spark, d):
     hits = SITEMAPS["mycore_solr"](_search_pages(spark, d))
-    numbered = hits.select("rdi", arrival_ordinal(F.col("batch"), F.col("pos")).alias("seq"), "object_id", "url")
-    return dedup_urls(numbered, mode="drop")
+    return hits.select("rdi", arrival_ordinal(F.col("batch"), F.col("pos")).alias("seq"), "object_id", "url")
 
 
 @check(

@@ -34,6 +34,11 @@ def arrival_ordinal(batch: Column, pos: Column) -> Column:
     return F.shiftleft(number, _POSITION_BITS) + pos
 
 
+def ordinal_parts(ordinal: Column) -> tuple[Column, Column]:
+    """Body number and place of an :func:`arrival_ordinal`."""
+    return F.shiftright(ordinal, _POSITION_BITS), ordinal.bitwiseAND(F.lit(2**_POSITION_BITS - 1)).cast("int")
+
+
 def ordinal_block(col: Column, width: int = BLOCK_ROWS) -> Column:
     """Block number of a whole-number ordinal."""
     return F.floor(col / F.lit(width)).cast("bigint")

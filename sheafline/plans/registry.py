@@ -17,7 +17,7 @@ from sheafline.plans.harvest import harvest_catalogue
 from sheafline.schemas import OUTCOME
 from sheafline.sources.jsonld import block_graphs, page_blocks, page_graphs
 from sheafline.sources.sitemap import read_urlset
-from sheafline.sources.solr import solr_docs
+from sheafline.sources.solr import first_hits, solr_docs
 
 Transform = Callable[[DataFrame], DataFrame]
 
@@ -73,7 +73,7 @@ def xml_urls(docs: DataFrame) -> DataFrame:
 @SITEMAPS.register("mycore_solr")
 def solr_urls(pages: DataFrame) -> DataFrame:
     """Distinct landing pages of search hits (``rdi, batch, url, body``)."""
-    return _first_of_each(solr_docs(pages), ["batch", "pos"])
+    return first_hits(solr_docs(pages))
 
 
 DATASETS.register("html_jsonld")(page_graphs)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sheafline.functions.text import base_url, is_filled, receive_url
 from sheafline.operators.once import compute_once
+from sheafline.operators.scan import arrival_ordinal, ordinal_parts
 
 
 def _integral(doc: Column, path: str) -> Column:
@@ -54,3 +55,25 @@ def solr_docs(pages: DataFrame) -> DataFrame:
     return hits.filter(is_filled(F.col("object_id"))).select(
         "rdi", "batch", "pos", "object_id", receive_url(F.col("__base"), F.col("object_id")).alias("url")
     )
+
+
+def first_hits(hits: DataFrame) -> DataFrame:
+    """The first hit of each landing page within its repository; ``hits`` as :func:`solr_docs` yields them.
+
+    A page's hits are its words, so most rows are repeats. What is aggregated is one number, in a hash table: a
+    struct with texts would be sorted, and spilled, before the first repeat goes. The object id is read from the URL
+    again. A hit whose page URL has no host has no landing page and is told apart by its id; hits without page number
+    come first.
+    """
+    pageless = F.col("batch").isNull()
+    firsts = hits.groupBy("rdi", "url", F.when(F.col("url").isNull(), F.col("object_id")).alias("__id")).agg(
+        F.min(arrival_ordinal(F.col("batch"), F.col("pos"))).alias("__at"), F.min(F.when(pageless, F.col("pos"))).alias("__pos")
+    )
+    batch, pos = ordinal_parts(F.col("__at"))
+    return firsts.select(
+        "rdi",
+        F.when(F.col("__pos").isNull(), batch).alias("batch"),
+        F.coalesce("__pos", pos).alias("pos"),
+        F.coalesce("__id", F.regexp_extract("url", r"(?s)\A[^/]*//[^/]*/receive/(.*)\z", 1)).alias("object_id"),
+        "url",
+    )

@@ -217,3 +217,16 @@ def test_iso_files(spark, tmp_path):
     (tmp_path / "page.xml").write_text(body)
     with pytest.raises(Exception, match="No page number"):
         iso.read_iso_files(spark, str(tmp_path / "page.xml"), "r", r"/([0-9]+)[^/0-9]*$").collect()
+
+
+def test_first_hits_aggregate_numbers_only(spark):
+    rows = [
+        ("r", 2, 0, "a", "http://receive/receive/a"), ("r", 1, 5, "a", "http://receive/receive/a"), ("r", 1, 7, "x/receive/\n", "http://h/receive/x/receive/\n"),
+        ("s", 3, 1, "a", "http://receive/receive/a"), ("r", 4, 1, "p", None), ("r", 3, 2, "q", None), ("r", 5, 2, "q", None),
+        ("t", 0, 0, "n", "http://h/receive/n"), ("t", None, 9, "n", "http://h/receive/n"), ("t", None, 8, "n", "http://h/receive/n"),
+    ]
+    first = solr.first_hits(spark.createDataFrame(rows, "rdi string, batch bigint, pos int, object_id string, url string"))
+    assert first.columns == ["rdi", "batch", "pos", "object_id", "url"]
+    assert {tuple(r) for r in first.collect()} == {rows[1], rows[2], rows[3], rows[4], rows[5], rows[9]}
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
