@@ -266,6 +266,18 @@ def test_sitemaps_without_repository_keep_locations_that_others_list_too(spark):
     assert found(docs) == [("a", 0, "u"), ("a", 1, "v")]
 
 
+def test_bodies_do_not_move_to_learn_their_announced_total(spark):
+    from sheafline.checks.harvest_checks import _half_announced
+
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16k")  # as far below the documents as at scale
+    try:
+        plan = _half_announced(spark, "/root/testdata/sf0.1")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(rdi" not in plan
+
+
 def test_stream_flag_keeps_its_state_over_runs(spark, tmp_path):
     schema = "rdi string, seq bigint, url string, landed_at timestamp"
     at = lambda day: f"2024-01-{day:02d} 00:00:00"
