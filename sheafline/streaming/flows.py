@@ -104,7 +104,7 @@ def chunk_outcomes(
     # What follows a start tag begins with an attribute, with > or with />; the head of a file does not.
     begins = text.rlike(r"\A(\s+[^\s<]|\s*/?>)")
     place = F.col("block") + F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))
-    placed = chunks.select("url", "block", place.alias("pos"), text, begins.alias("begins"), F.lit(rdi).alias("rdi"))
+    placed = _gathered(chunks.select("url", "block", place.alias("pos"), text, begins.alias("begins"), F.lit(rdi).alias("rdi")))
     cut = placed.withColumn("batch", page_number(F.col("url"), page, _PAGES))
 
     def inside(start: str, end: str) -> Column:
@@ -119,6 +119,20 @@ def chunk_outcomes(
     return outcomes.unionByName(lost_file(cut.where("batch IS NULL AND block = 0 AND NOT begins"), F.col("url")))
 
 
+#: Blocks of files that one task reads in turn once every core has tasks enough.
+_BLOCKS = 256
+
+
+def _gathered(placed: DataFrame) -> DataFrame:
+    """Many small blocks in few tasks, without a shuffle: the mapping of records costs more to start than a block to read.
+
+    Places are numbered below, block by block, so they do not change.
+    """
+    blocks = placed.rdd.getNumPartitions()
+    tasks = max(4 * placed.sparkSession.sparkContext.defaultParallelism, -(-blocks // _BLOCKS))
+    return placed.coalesce(tasks) if tasks < blocks else placed
+
+
 def stream_page_outcomes(landed: DataFrame) -> DataFrame:
     """Dataset pages -> outcomes, in arrival order of the micro-batches. Row-local and stateless."""
     return graph_outcomes(page_graphs(landed.select("rdi", "seq", "url", F.col("body").alias("html"))))

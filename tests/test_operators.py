@@ -472,3 +472,19 @@ def test_catalogue_harvest_covers_pages_in_proportion_to_the_table(spark, sf_dir
     pages = lambda name: CHECKS[name].run(spark, sf_dir).select("batch").distinct().count()
     assert pages("harvest_catalogue_whole") > 0.9 * docs
     assert 0.25 * docs < pages("harvest_catalogue_cuts") < 0.75 * docs
+
+
+def test_many_blocks_are_read_by_few_tasks_in_their_places(spark, tmp_path):
+    record = "<MD_Metadata><fileIdentifier><CharacterString>{}</CharacterString></fileIdentifier></MD_Metadata>"
+    (tmp_path / "page-1.xml").write_text("<r>" + "".join(record.format(f"d{k:04d}") for k in range(2000)) + "</r>")
+    block = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    try:
+        chunks = flows.raw_chunks(spark.read, str(tmp_path), "MD_Metadata")
+        blocks = chunks.rdd.getNumPartitions()
+        out = flows.chunk_outcomes(chunks, "r", "http://c", "MD_Metadata")
+        tasks, ids = out.rdd.getNumPartitions(), [r.record_id for r in out.select("seq", "record_id").orderBy("seq").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    assert blocks > 64 and tasks <= 64
+    assert ids == [f"d{k:04d}" for k in range(2000)]
