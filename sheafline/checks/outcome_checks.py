@@ -574,9 +574,9 @@ def run_report_document(spark, d):
     f"WITH {_OUT} SELECT rdi, arc_id, count(*) AS n FROM o WHERE kind = 'arc' GROUP BY ALL",
 )
 def sinks_roundtrip(spark, d):
-    from sheafline.sources.sinks import write_arcs
+    from sheafline.sources.sinks import read_arcs, write_arcs
 
     path = scratch_path(spark, "arcs")
     write_arcs(_outcomes(spark, d), path)
-    back = spark.read.schema("value string, rdi string").text(path)
-    return back.groupBy("rdi", outcomes.arc_identifier(F.col("value")).alias("arc_id")).agg(F.count(F.lit(1)).alias("n"))
+    arc_id = outcomes.arc_identifier(F.col("arc_json")).alias("arc_id")
+    return read_arcs(spark, path).groupBy("rdi", arc_id).agg(F.count(F.lit(1)).alias("n"))

@@ -17,6 +17,7 @@ from sheafline.plans.graph_arc import graph_outcomes
 from sheafline.plans.record_arc import record_outcomes
 from sheafline.sources.iso import closed_record, parse_pieces, read_iso
 from sheafline.sources.jsonld import block_graphs, page_blocks, page_graphs
+from sheafline.sources.sinks import shelf
 from sheafline.sources.sitemap import read_urlset
 
 LANDED = "rdi string, seq bigint, url string, base_url string, batch bigint, body string, landed_at timestamp"
@@ -252,11 +253,11 @@ def stream_skips(sitemaps: DataFrame, ttl: str | None = None) -> DataFrame:
 
 
 def publish_into(out_path: str) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function that writes outcomes under their micro-batch; a replay overwrites itself."""
+    """``foreachBatch`` function that writes outcomes by shelves under their micro-batch; a replay overwrites itself."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        rebalanced = batch.hint("rebalance", "rdi")
-        rebalanced.write.mode("overwrite").partitionBy("rdi").parquet(f"{out_path}/batch_id={batch_id}")
+        rebalanced = batch.withColumn("shelf", shelf(F.col("rdi"))).hint("rebalance", "shelf")
+        rebalanced.write.mode("overwrite").partitionBy("shelf").parquet(f"{out_path}/batch_id={batch_id}")
 
     return handle
 

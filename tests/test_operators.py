@@ -488,3 +488,37 @@ def test_many_blocks_are_read_by_few_tasks_in_their_places(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", block)
     assert blocks > 64 and tasks <= 64
     assert ids == [f"d{k:04d}" for k in range(2000)]
+
+
+def test_written_folders_do_not_grow_with_repositories(spark, tmp_path):
+    named = F.concat(F.lit("r/"), F.col("id").cast("string"))
+    out = spark.range(300).select(
+        named.alias("rdi"), F.col("id").alias("seq"), F.lit("arc").alias("kind"), F.format_string('{"n":%d}', "id").alias("arc_json"),
+        named.alias("identifier"), F.lit("<x/>").cast("binary").alias("raw_xml"),
+    )
+    sinks.write_arcs(out, str(tmp_path / "arcs"))
+    sinks.write_archive(out, str(tmp_path / "archive"))
+    flows.publish_into(str(tmp_path / "stream"))(out, 0)
+    folders = [sum(p.is_dir() for p in (tmp_path / n).iterdir()) for n in ("arcs", "archive", "stream/batch_id=0")]
+    assert max(folders) <= 32, folders
+    want = sorted(f"r/{k}" for k in range(300))
+    for df in (sinks.read_arcs(spark, str(tmp_path / "arcs")), *[spark.read.parquet(str(tmp_path / n)) for n in ("archive", "stream")]):
+        assert sorted(r.rdi for r in df.select("rdi").collect()) == want
+        assert [r.rdi for r in sinks.of_repository(df, "r/7").select("rdi").collect()] == ["r/7"]
+
+
+def test_any_repository_name_and_document_comes_back_as_written(spark, tmp_path):
+    rows = [(rdi, "arc", arc) for rdi in ("a", "", None, "7", "x=1/ü\n") for arc in ('{"a": "é\\n"}', '{\n "a":\r\n 1}', "", None, "no {json", '{"a":1}', '{"a":1}')]
+    df = spark.createDataFrame([*rows, ("a", "skip", "{}")], "rdi string, kind string, arc_json string")
+    for rebalance in (True, False):
+        sinks.write_arcs(df, str(tmp_path), rebalance=rebalance)
+        back = [(r.rdi, "arc", r.arc_json) for r in sinks.read_arcs(spark, str(tmp_path)).collect()]
+        assert sorted(back, key=repr) == sorted(rows, key=repr)
+    sinks.write_arcs(df, str(tmp_path), mode="append")
+    assert sinks.of_repository(sinks.read_arcs(spark, str(tmp_path)), "").count() == 14
+
+
+def test_a_document_longer_than_the_json_reader_expects_comes_back(spark, tmp_path):
+    df = spark.sql("SELECT 'a' AS rdi, 'arc' AS kind, repeat('x', 20000001) AS arc_json")
+    sinks.write_arcs(df, str(tmp_path))
+    assert [r.n for r in sinks.read_arcs(spark, str(tmp_path)).select(F.length("arc_json").alias("n")).collect()] == [20000001]
