@@ -173,37 +173,61 @@ def stream_window_counts(
     )
 
 
-def stream_flags(discovered: DataFrame, ttl: str | None = None, event_time: str = "landed_at") -> DataFrame:
-    """Mark repeats (``rdi, seq, url, is_duplicate``) instead of dropping them, with one state entry per URL.
+#: State entries of :func:`stream_flags`.
+FLAG_BUCKETS = 2**14
+
+
+def stream_flags(
+    discovered: DataFrame, ttl: str | None = None, event_time: str = "landed_at", buckets: int = FLAG_BUCKETS
+) -> DataFrame:
+    """Mark repeats (``rdi, seq, url, is_duplicate``) instead of dropping them, with state that holds every URL once.
 
     Of a URL's rows in one micro-batch the one of the lowest ``seq`` is the first unless an earlier micro-batch had
-    it. A micro-batch looks up its own URLs in the state store and reads nothing else, so its cost does not follow
-    the history; with the RocksDB store (:func:`use_rocksdb`) state lies on disk. With ``ttl`` (``"7 days"``) an entry
-    expires once the latest ``event_time`` is that far past the URL's last sighting; rows that land more than ``ttl``
-    behind the latest are then too late and dropped. Only narrow rows reach this step, and a micro-batch is bounded
-    by its files.
+    it. URLs are dealt to ``buckets`` by hash; a bucket is one entry of the state store and one call of the state
+    function, which costs far more than a row. A micro-batch reads and rewrites the buckets of its own URLs, each a
+    ``buckets``-th of all URLs; the number must stay the same for a checkpoint. With the RocksDB store
+    (:func:`use_rocksdb`) state lies on disk. With ``ttl`` (``"7 days"``) a URL expires once the latest ``event_time``
+    is that far past its last sighting; rows that land more than ``ttl`` behind the latest are then too late and
+    dropped. A bucket forgets its expired URLs when it is read, and goes when the last of them has expired. Only narrow
+    rows reach this step, and a micro-batch is bounded by its files.
     """
     names = ["rdi", "seq", "url"]
     timeout = GroupStateTimeout.NoTimeout
     if ttl is not None:
         discovered, names, timeout = discovered.withWatermark(event_time, ttl), [*names, event_time], GroupStateTimeout.EventTimeTimeout
+    bucket = F.pmod(F.xxhash64("rdi", "url"), F.lit(buckets)).alias("bucket")
 
     def mark(key, frames, state):
         if state.hasTimedOut:
             state.remove()
             return
         rows = pd.concat(list(frames)).sort_values("seq", kind="stable")
-        rows["is_duplicate"] = True
-        if not state.exists:
-            rows.iloc[0, rows.columns.get_loc("is_duplicate")] = False
-        state.update((True,))
+        urls = list(zip(rows["rdi"], rows["url"]))
+        # Last sightings in milliseconds; without ttl nothing expires and they stay 0.
+        watermark, seen_at = 0, [0] * len(urls)
+        if ttl is not None:
+            watermark = state.getCurrentWatermarkMs()
+            seen_at = rows[event_time].to_numpy("datetime64[ms]").astype("int64").tolist()
+        last = {}
+        if state.exists:
+            last = {(rdi, url): at for rdi, url, at in zip(*state.get) if at + 1 >= watermark}
+        repeated = []
+        for url, at in zip(urls, seen_at):
+            before = last.get(url)
+            repeated.append(before is not None)
+            last[url] = max(at, watermark, before or 0)
+        rows["is_duplicate"] = repeated
+        state.update(([rdi for rdi, _ in last], [url for _, url in last], list(last.values())))
         if ttl is not None:
-            last = int(rows[event_time].max().timestamp() * 1000)
-            state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs()) + 1)
+            state.setTimeoutTimestamp(max(last.values()) + 1)
         yield rows[["rdi", "seq", "url", "is_duplicate"]]
 
-    return discovered.select(*names).groupBy("rdi", "url").applyInPandasWithState(
-        mark, "rdi string, seq bigint, url string, is_duplicate boolean", "seen boolean", "append", timeout
+    return discovered.select(*names, bucket).groupBy("bucket").applyInPandasWithState(
+        mark,
+        "rdi string, seq bigint, url string, is_duplicate boolean",
+        "rdi array<string>, url array<string>, last array<bigint>",
+        "append",
+        timeout,
     )
 
 

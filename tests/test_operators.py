@@ -301,6 +301,39 @@ def test_stream_flag_keeps_its_state_over_runs(spark, tmp_path):
         assert sorted(r.seq for r in out if not r.is_duplicate) == firsts
 
 
+def test_flags_of_many_urls_share_few_state_entries(spark, tmp_path):
+    base = str(tmp_path)
+    rows = spark.range(40_000).selectExpr(
+        "CASE WHEN id % 3 > 0 THEN 'r' || id % 3 END AS rdi", "id AS seq", "'u' || id % 20000 % 17001 AS url", "id DIV 30000 AS part"
+    )
+    for part in range(2):
+        rows.where(F.col("part") == part).drop("part").write.mode("append").parquet(f"{base}/in")
+        stream = flows.stream_flags(flows.stream_landed(spark, f"{base}/in", "rdi string, seq bigint, url string"))
+        write = lambda batch, n: batch.write.mode("overwrite").parquet(f"{base}/out/batch_id={n}")
+        query = flows.run_available(stream, write, f"{base}/state")
+    out = spark.read.schema("rdi string, seq bigint, url string, is_duplicate boolean").parquet(f"{base}/out")
+    firsts = {r.seq for r in rows.groupBy("rdi", "url").agg(F.min("seq").alias("seq")).collect()}
+    got = [(r.seq, r.is_duplicate) for r in out.select("seq", "is_duplicate").collect()]
+    assert sorted(got) == [(k, k not in firsts) for k in range(40_000)]
+    entries = [o["numRowsTotal"] for p in query.recentProgress for o in p["stateOperators"]]
+    assert 0 < max(entries) <= flows.FLAG_BUCKETS < len(firsts)
+
+
+def test_urls_of_one_bucket_expire_alone(spark, tmp_path):
+    base = str(tmp_path)
+    # The last sighting counts: "a" is seen on days 1 and 6, "b" on day 1 only; on day 12 one of them has expired.
+    for k, rows in enumerate(([("a", 1), ("b", 1)], [("a", 6)], [("c", 12)], [("a", 12), ("b", 12)], [("d", 40)], [("a", 40), ("b", 40), (None, 40)])):
+        frame = spark.createDataFrame([("r", 10 * k + n, *row) for n, row in enumerate(rows)], "rdi string, seq bigint, url string, day int")
+        frame = frame.selectExpr("rdi", "seq", "url", "timestamp_seconds(86400L * day) AS landed_at")
+        frame.coalesce(1).write.mode("append").parquet(f"{base}/in")
+        landed = flows.stream_landed(spark, f"{base}/in", "rdi string, seq bigint, url string, landed_at timestamp")
+        write = lambda batch, n: batch.write.mode("overwrite").parquet(f"{base}/out/batch_id={n}")
+        flows.run_available(flows.stream_flags(landed, "7 days", buckets=1), write, f"{base}/state")
+    out = spark.read.schema("rdi string, seq bigint, url string, is_duplicate boolean").parquet(f"{base}/out").collect()
+    assert sorted(r.seq for r in out if r.is_duplicate) == [10, 30]
+    assert sorted(r.seq for r in out if not r.is_duplicate) == [0, 1, 20, 31, 40, 50, 51, 52]
+
+
 def test_reconcile_ignores_what_was_not_committed_and_replaces_what_is_run_again(spark, tmp_path):
     base = str(tmp_path)
     arc = lambda i: '{"@graph":[{"@id":"./","identifier":"%s"}]}' % i
