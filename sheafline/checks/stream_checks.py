@@ -32,7 +32,9 @@ def stream_pages(spark, d):
     landed = flows.stream_landed(spark, f"{base}/landed", "rdi string, batch bigint, base_url string, body string")
     flows.run_available(flows.stream_record_outcomes(landed), flows.publish_into(f"{base}/out"), f"{base}/state")
     out = spark.read.schema(f"{OUTCOME}, batch_id bigint").parquet(f"{base}/out")
-    return out.groupBy("rdi", "kind").agg(F.count(F.lit(1)).alias("n"))
+    # A repository without outcomes of a kind has none of it, which is a row too.
+    counts = out.groupBy("rdi").agg(*[F.count_if(F.col("kind") == k).alias(k) for k in ("arc", "error")])
+    return counts.selectExpr("rdi", "stack(2, 'arc', arc, 'error', error) AS (kind, n)")
 
 
 @check(

@@ -301,6 +301,25 @@ def test_stream_flag_keeps_its_state_over_runs(spark, tmp_path):
         assert sorted(r.seq for r in out if not r.is_duplicate) == firsts
 
 
+def _documents(spark, path, *rows):
+    """A folder of driver tables that holds these documents (``doc_id, lang``)."""
+    frame = spark.createDataFrame(rows, "doc_id bigint, lang string")
+    path.mkdir(exist_ok=True)
+    frame.selectExpr("doc_id", "'a text' AS text", "lang", "'src1' AS source", "6L AS n_chars").toPandas().to_parquet(path / "documents.parquet")
+    return str(path)
+
+
+def test_a_repository_without_errors_counts_none(spark, tmp_path):
+    from oracle import differences, duck
+    from sheafline.checks import CHECKS
+
+    tables = _documents(spark, tmp_path / "in", (1, "xx"), (2, "en"), (15, "en"), (6, "yy"), (6, "yy"))
+    check = CHECKS["stream_pages"]
+    out = check.run(spark, tables)
+    assert not differences(out, duck(tables), check.sql)
+    assert {(r.rdi, r.kind): r.n for r in out.collect()}[("xx", "error")] == 0
+
+
 def test_flags_of_many_urls_share_few_state_entries(spark, tmp_path):
     base = str(tmp_path)
     rows = spark.range(40_000).selectExpr(
