@@ -295,13 +295,14 @@ def stream_raw_xml(spark, d):
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(64 << 10))
     try:
         publish = flows.publish_into(f"{base}/out")
-        outcomes = lambda batch: flows.chunk_outcomes(batch, "r", "http://c/", "MD_Metadata", page=r"page=(\d+)/")
+        # Pages below 2^31 of at most 2^32 bytes.
+        outcomes = lambda batch: flows.chunk_outcomes(batch, "r", "http://c/", "MD_Metadata", r"page=(\d+)/", offset_bits=32)
         stream = flows.raw_chunks(spark.readStream, f"{base}/landed", "MD_Metadata")
         flows.run_available(stream, lambda batch, batch_id: publish(outcomes(batch), batch_id), f"{base}/state")
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", block)
     out = spark.read.schema(f"{OUTCOME}, batch_id bigint").parquet(f"{base}/out")
-    batch = F.shiftright("seq", 41)
+    batch = F.shiftright("seq", 32)
     ident = F.when(F.col("kind") == "arc", F.regexp_extract("source_url", "id=([^&]*)", 1))
     nth = F.row_number().over(Window.partitionBy(batch).orderBy("seq"))
     return out.select(batch.alias("batch"), nth.cast("bigint").alias("nth"), "kind", ident.alias("id"))

@@ -31,10 +31,9 @@ def stream_landed(spark: SparkSession, path: str, schema: str = LANDED, max_file
     return reader.parquet(path)
 
 
-#: Pages below 2^22 and bytes of a file below 2^41 share one ordinal.
-_OFFSET_BITS = 41
+#: Pages below 2^22 and bytes of a file below 2^41 share one ordinal, unless a caller divides its 63 bits otherwise.
+OFFSET_BITS = 41
 _LOST = "no page was landed"
-_PAGES = 2**22
 
 
 def page_number(path: Column, page: str, limit: int = 2**31) -> Column:
@@ -92,12 +91,14 @@ def raw_chunks(reader, path: str, tag: str = "gmd:MD_Metadata") -> DataFrame:
 
 
 def chunk_outcomes(
-    chunks: DataFrame, rdi: str, base_url: str, tag: str = "gmd:MD_Metadata", page: str = r"(\d+)[^\d/]*$"
+    chunks: DataFrame, rdi: str, base_url: str, tag: str = "gmd:MD_Metadata", page: str = r"(\d+)[^\d/]*$", offset_bits: int = OFFSET_BITS
 ) -> DataFrame:
     """Chunks of a batch or micro-batch, as :func:`raw_chunks` or a stream of it yields them -> outcomes.
 
     A record's ordinal is the page number in the file's path and its place: the offset of its block plus its number
-    there, which stays below the next block's offset. A record that is cut off by the end of the file, or is broken,
+    there, which stays below the next block's offset. ``offset_bits`` of the ordinal hold the place, the others the page:
+    a file has a usable page number below 2^(63 - ``offset_bits``), and a place that does not fit is an error, not a
+    collision. A record that is cut off by the end of the file, or is broken,
     is an error row and costs no neighbour; so is a file without page number. A start tag in a comment or CDATA between
     records is no record; inside a record it makes that record an error.
     """
@@ -106,7 +107,7 @@ def chunk_outcomes(
     begins = text.rlike(r"\A(\s+[^\s<]|\s*/?>)")
     place = F.col("block") + F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))
     placed = _gathered(chunks.select("url", "block", place.alias("pos"), text, begins.alias("begins"), F.lit(rdi).alias("rdi")))
-    cut = placed.withColumn("batch", page_number(F.col("url"), page, _PAGES))
+    cut = placed.withColumn("batch", page_number(F.col("url"), page, 2 ** (63 - offset_bits)))
 
     def inside(start: str, end: str) -> Column:
         at = F.instr(text, end)
@@ -114,9 +115,10 @@ def chunk_outcomes(
 
     element = F.concat(F.lit(f"<{tag}"), text)
     records = cut.where(F.col("batch").isNotNull() & F.col("begins") & ~inside("<!--", "-->") & ~inside("<![CDATA[", "]]>"))
-    pieces = parse_pieces(records.select("rdi", "batch", "pos", closed_record(element).alias("raw")))
-    seq = F.shiftleft(F.col("batch"), _OFFSET_BITS) + F.col("pos")
-    outcomes = record_outcomes(pieces.withColumn("seq", seq), base_url)
+    far = F.raise_error(F.concat(F.lit("Place in a file out of range: "), F.col("url"))).cast("bigint")
+    seq = F.shiftleft(F.col("batch"), offset_bits) + F.when(F.col("pos") < 2**offset_bits, F.col("pos")).otherwise(far)
+    pieces = parse_pieces(records.select("rdi", "batch", "pos", seq.alias("seq"), closed_record(element).alias("raw")))
+    outcomes = record_outcomes(pieces, base_url)
     return outcomes.unionByName(lost_file(cut.where("batch IS NULL AND block = 0 AND NOT begins"), F.col("url")))
 
 

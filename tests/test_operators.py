@@ -320,6 +320,24 @@ def test_a_repository_without_errors_counts_none(spark, tmp_path):
     assert {(r.rdi, r.kind): r.n for r in out.collect()}[("xx", "error")] == 0
 
 
+def test_files_of_large_page_numbers_are_read(spark, tmp_path):
+    from oracle import differences, duck
+    from sheafline.checks import CHECKS
+
+    ids = [3, 101, 102, 419_430_399, 419_430_400, 419_430_401, 7_000_000_012, 7_000_000_013, 214_748_364_799]
+    tables = _documents(spark, tmp_path / "in", *[(k, "en") for k in ids])
+    check = CHECKS["stream_raw_xml"]
+    assert not differences(check.run(spark, tables), duck(tables), check.sql)
+
+
+def test_a_place_beyond_its_bits_is_an_error(spark, tmp_path):
+    (tmp_path / "page-5.xml").write_text("<r>" + "<MD_Metadata></MD_Metadata>" * 20 + "</r>")
+    out = lambda bits: flows.chunk_outcomes(flows.raw_chunks(spark.read, str(tmp_path), "MD_Metadata"), "r", "http://c", "MD_Metadata", offset_bits=bits)
+    assert sorted((r.seq >> 5, r.seq % 32) for r in out(5).select("seq").collect()) == [(5, k) for k in range(1, 21)]
+    with pytest.raises(Exception, match="Place in a file out of range: .*page-5.xml"):
+        out(4).select("seq").collect()
+
+
 def test_flags_of_many_urls_share_few_state_entries(spark, tmp_path):
     base = str(tmp_path)
     rows = spark.range(40_000).selectExpr(
